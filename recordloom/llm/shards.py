@@ -77,7 +77,8 @@ def write_shards(docs: DataFrame, vocabulary: str, end_id: int, folder: str | No
     ship(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     order = ["id", F.xxhash64("text")]
-    return rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(write, MANIFEST).orderBy("shard").collect()
+    made = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).mapInArrow(write, MANIFEST).collect()
+    return sorted(made, key=lambda m: m["shard"])
 
 
 class Shard:

@@ -8,22 +8,22 @@ import re
 
 import numpy as np
 
-#: A space with white space, or the end of the text, on both sides: the only spaces that may not start a word.
-_INSIDE_RUN = re.compile(r"\s (?:\s|\Z)")
-_WHITE = re.compile(r"\s")
+#: White space of other kinds than a space or a line break, and line breaks in a row.
+_OTHER = re.compile(r"[^\S \n]|\n\n")
+_PUNCTUATION = ".,;:!?%$&*#|"
 _encoders: dict[str, "Encoder"] = {}
 
 
 class Encoder:
     """Encodes texts to little-endian ids, 16 bits wide if the vocabulary allows.
 
-    Byte-level BPE never merges across the start of a word with its leading space, so a text's ids are those of its
-    first word and of each further word with its space.  Words are encoded once by the library and remembered, up to
-    ``cache_limit`` of them; texts with runs of white space, and vocabularies of another kind, go to the library whole.
-    Strings of special tokens in a text are ordinary text.
+    Byte-level BPE never merges across the start of a word with its leading space, nor across a single line break, nor
+    between a word and the punctuation after it; so a text's ids are those of its parts.  Parts are encoded by the
+    library and remembered, the most recent ``cache_limit`` to twice as many; texts with runs of white space, and
+    vocabularies of another kind, go to the library whole.  Strings of special tokens in a text are ordinary text.
     """
 
-    def __init__(self, path: str, cache_limit: int = 400_000):
+    def __init__(self, path: str, cache_limit: int = 450_000):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -33,11 +33,12 @@ class Encoder:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
-        newline = self._whole("\n")
-        self.by_word = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer") and len(newline) == self.dtype.itemsize
-        self.newline = newline
+        self.newline = self._whole("\n")
+        self.by_part = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer") and len(self.newline) == self.dtype.itemsize
         self.cache_limit = cache_limit
-        self.words: dict[str, bytes] = {}
+        self.parts: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
@@ -45,32 +46,62 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_word or _INSIDE_RUN.search(text):
+        if not self.by_part:
             return self._whole(text)
-        first, *rest = text.split(" ")
-        try:
-            return self._whole(first) + b"".join(map(self.words.__getitem__, rest))
-        except KeyError:
-            self._learn(rest)
-            return self._whole(first) + b"".join(map(self.words.__getitem__, rest))
+        first, *rest = text.replace("\n", " \n").split(" ")  # a part is a word after a space, or a line break and a word
+        if new := set(rest).difference(self.parts):
+            if "" in new or "\n" in new or _OTHER.search("".join(new)):  # runs of white space, or other kinds of it
+                return self._whole(text)
+            self._learn(new, rest)
+        if _OTHER.search(first.lstrip("\n")):
+            return self._whole(text)
+        return self._whole(first) + b"".join(map(self.parts.__getitem__, rest))
 
-    def _learn(self, rest: list[str]) -> None:
-        new = set(rest).difference(self.words)
-        if len(self.words) + len(new) > self.cache_limit:
-            self.words.clear()
-            new = set(rest)
-        plain = [w for w in new if w and not _WHITE.search(w)]
-        if plain:
-            raw = np.array(self.library.encode(" " + "\n ".join(plain), add_special_tokens=False).ids, self.dtype)
-            ends = np.append(np.flatnonzero(raw == np.frombuffer(self.newline, self.dtype)[0]), len(raw))
-            if len(ends) == len(plain):
-                data, size, start = raw.tobytes(), self.dtype.itemsize, 0
-                for w, e in zip(plain, ends.tolist()):
-                    self.words[w] = data[start * size : e * size]
-                    start = e + 1
+    def _learn(self, new: set[str], rest: list[str]) -> None:
+        parts, older, marks = self.parts, self.older, self.marks
+        if len(parts) > self.cache_limit:
+            self.older, self.parts = parts, {}
+            older, parts, new = self.older, self.parts, set(rest)
+        fresh: dict[str, list[tuple[str, bytes]]] = {}
         for w in new:
-            if w not in self.words:
-                self.words[w] = self._whole(" " + w)
+            if w in older:
+                parts[w] = older[w]
+                continue
+            word, mark = w.rstrip(_PUNCTUATION), b""
+            if len(word) < len(w):
+                if word and word[-1].isalnum():
+                    end = w[len(word) :]
+                    mark = marks.get(end) or marks.setdefault(end, self._whole(end))
+                    if ids := parts.get(word) or older.get(word):
+                        parts[w] = ids + mark
+                        continue
+                else:
+                    word = w
+            if word in fresh:
+                fresh[word].append((w, mark))
+            else:
+                fresh[word] = [(w, mark)]
+        if len(marks) > 50_000:
+            marks.clear()
+        after_space = [w for w in fresh if w[0] != "\n"]
+        after_break = [w for w in fresh if w[0] == "\n"]
+        self._spread(" " + "\n ".join(after_space), after_space, b"", fresh)
+        self._spread("".join(after_break)[1:], after_break, self.newline, fresh)
+
+    def _spread(self, text: str, words: list[str], before: bytes, fresh: dict) -> None:
+        """Encode words, joined by line breaks, at once."""
+        if not words:
+            return
+        raw = np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+        ends = np.append(np.flatnonzero(raw == np.frombuffer(self.newline, self.dtype)[0]), len(raw)).tolist()
+        if len(ends) != len(words):
+            raise AssertionError("a word held a line break")
+        data, size, start, parts = raw.tobytes(), self.dtype.itemsize, 0, self.parts
+        for w, e in zip(words, ends):
+            ids = before + data[start * size : e * size]
+            for name, mark in fresh[w]:
+                parts[name] = ids + mark
+            start = e + 1
 
 
 def encoder(path: str) -> Encoder:
