@@ -6,7 +6,8 @@ corpus hold no repeat and are left out.  Runs of equal bytes are collapsed and c
 key are suffix-sorted together in two stages: only suffixes smaller than their successors are sorted directly, the others
 are induced by one scan over the buckets of first bytes.  Windows that agree with a neighbour in the sorted order in all
 their bytes are repeated.  A key with very many distinct runs, such as one in a passage that a third of all documents
-hold, is first dealt anew by the windows' own fingerprints, which spread evenly.
+hold, is split into parts that are sorted each; the distinct windows of its parts are then compared by fingerprints, in
+cells that spread evenly.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from ..runtime import ship
 from .scratch import Scratch, partitions
 
 #: Bytes that are keyed at a time; bytes beyond which no further key joins a suffix sort; bytes that one key may bring to
-#: it before its windows are dealt anew (together under 2**20); windows in a run.
+#: it in one part (together under 2**20); windows in a run.
 SLICE, SORTED, HOT, RUN = 1 << 20, 400_000, 600_000, 1024
 _SPANS = "array<struct<a:int,n:int>>"
 
@@ -163,8 +164,9 @@ def two_stage(t: np.ndarray, depth: int, r16: np.ndarray | None = None) -> np.nd
     return np.concatenate(buckets)
 
 
-def repeated(parts: list[bytes], counts: list[int], length: int) -> list[np.ndarray]:
-    """For each part, which of its windows occur at least twice, a part standing for ``counts`` occurrences."""
+def repeated(parts: list[bytes], counts: list[int], length: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray, np.ndarray]:
+    """For each part, which of its windows occur at least twice, a part standing for ``counts`` occurrences; and of each
+    distinct window the part and place of one occurrence, and whether it is repeated."""
     sizes = np.array([len(p) for p in parts])
     t = np.frombuffer(b"\xff".join(parts), np.uint8)  # no text holds this byte
     first = np.cumsum(sizes + 1) - (sizes + 1)
@@ -173,7 +175,7 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[np.ndar
     r16 = rank16(t)
     order = two_stage(t, length, r16)
     order = order[window[order]]
-    common = np.flatnonzero(np.ones(max(0, len(order) - 1), bool))
+    common = np.arange(max(0, len(order) - 1))
     for offset in [*range(0, length - 15, 16), length - 16]:
         common = common[r16[order[common] + offset] == r16[order[common + 1] + offset]]
     new = np.ones(len(order), bool)
@@ -182,7 +184,8 @@ def repeated(parts: list[bytes], counts: list[int], length: int) -> list[np.ndar
     weight = np.bincount(group, np.asarray(counts, float)[owner[order]]) if len(order) else np.empty(0)
     hit = np.zeros(len(t), bool)
     hit[order[weight[group] >= 2]] = True
-    return [hit[f : f + z - length + 1] for f, z in zip(first.tolist(), sizes.tolist())]
+    at = order[new]
+    return [hit[f : f + z - length + 1] for f, z in zip(first.tolist(), sizes.tolist())], owner[at], at - first[owner[at]], weight >= 2
 
 
 def _spans(hit: np.ndarray) -> list[dict]:
@@ -203,7 +206,7 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int | None = None,
     table, in the same document or another; strings never cross documents and are judged on the input.  A null text
     counts as empty.  Rows that repeat an id are separate documents, so equal rows lose what is long enough.  A null id
     is kept.  An empty table gives no rows.  Other columns are not read.  Keys and runs are compared by 64-bit hashes
-    each, together 128 bits, windows of a hot key by 128 bits, and all other windows by their bytes.
+    each, together 128 bits, windows in different parts of a split key by 128 bits, and all others by their bytes.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "suffixes")
     gram = gram or max(16, length // 5)
@@ -237,58 +240,86 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int | None = None,
     distinct = shared.where("several").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "s", "n")).alias("at"))
     distinct = scratch.save(distinct, "distinct")
     per_key = scratch.save(distinct.groupBy("key").agg(F.count(F.lit(1)).alias("segs"), F.min("times").alias("least")).where("least = 1"), "per_key")
-    wanted = distinct.join(per_key, "key").select("key", "seg", "times", (F.col("segs") > HOT // (RUN + length)).alias("hot"), "at.doc_id", "at.th", "at.s", "at.n")
-    wanted = scratch.save(wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "seg", "times", "hot", "s", "n")).alias("wanted")), "wanted")
+    most = max(2, HOT // (RUN + length))
+    wanted = distinct.join(per_key, "key").select("key", "seg", "times", F.ceil(F.col("segs") / most).cast("int").alias("of"), "at.doc_id", "at.th", "at.s", "at.n")
+    wanted = scratch.save(wanted.groupBy("doc_id", "th").agg(F.collect_list(F.struct("key", "seg", "times", "of", "s", "n")).alias("wanted")), "wanted")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out = [(w["key"], w["seg"], w["times"], w["hot"], data[w["s"] : w["s"] + w["n"] + length - 1]) for data, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in ws]
+            out = [(w["key"], w["seg"], w["times"], w["of"], data[w["s"] : w["s"] + w["n"] + length - 1]) for data, ws in zip(b.column(0).to_pylist(), b.column(1).to_pylist()) for w in ws]
             for s in range(0, len(out), 20_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[s : s + 20_000]), (pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()))], ["key", "seg", "times", "hot", "data"])
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out[s : s + 20_000]), (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()))], ["key", "seg", "times", "of", "data"])
 
     same = lambda a, b: a["doc_id"].eqNullSafe(b["doc_id"]) & (a["th"] == b["th"])
     found = long.join(wanted, same(long, wanted)).select(long["text"], "wanted")
-    segs = scratch.save(found.mapInArrow(cut, "key long, seg long, times long, hot boolean, data binary"), "segs")
+    segs = scratch.save(found.mapInArrow(cut, "key long, seg long, times long, of int, data binary"), "segs")
     scratch.drop("distinct", "per_key", "wanted")
 
+    cells = 4 * partitions(spark)
+    record = np.dtype([("w1", "<u8"), ("w2", "<u8"), ("key", "<i8"), ("seg", "<i8"), ("a", "<i4"), ("known", "<i4")])
+    span_type = pa.list_(pa.struct([("a", pa.int32()), ("n", pa.int32())]))
+    names, kinds = ["cell", "key", "seg", "spans", "windows"], (pa.int32(), pa.int64(), pa.int64(), span_type, pa.binary())
+    schema = f"cell int, key long, seg long, spans {_SPANS}, windows binary"
+
     def sort(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[tuple[int, int], tuple[bytes, int]] = {}
+        held: dict[tuple[int, int], tuple[bytes, int, bool]] = {}
 
         def judged() -> pa.RecordBatch:
-            names, (parts, counts) = list(held), zip(*held.values())
-            hits = repeated(list(parts), list(counts), length)
-            return pa.RecordBatch.from_arrays([pa.array([k for k, _ in names], pa.int64()), pa.array([s for _, s in names], pa.int64()), pa.array([_spans(h) for h in hits], pa.list_(pa.struct([("a", pa.int32()), ("n", pa.int32())])))], ["key", "seg", "spans"])
+            ids, (parts, counts, split) = np.array(list(held)), zip(*held.values())
+            hits, part, place, known = repeated(list(parts), list(counts), length)
+            out = [(-1, int(k), int(s), _spans(h), None) for (k, s), h in zip(ids, hits)]
+            if any(split):  # what other parts of the key hold is compared by fingerprints
+                mine = np.array(split)[part]
+                rows = np.zeros(int(mine.sum()), record)
+                part, place = part[mine], place[mine]
+                data = [np.frombuffer(p, np.uint8) for p in parts]
+                order = np.argsort(part, kind="stable")
+                for name, factor in (("w1", 0x9E3779B185EBCA87), ("w2", 0xC2B2AE3D27D4EB4F)):
+                    cut = np.searchsorted(part[order], np.arange(len(parts) + 1))
+                    for i in np.unique(part):
+                        at = order[cut[i] : cut[i + 1]]
+                        rows[name][at] = _mixed(_rolling(data[i], length, factor))[place[at]]
+                rows["key"], rows["seg"], rows["a"], rows["known"] = ids[part, 0], ids[part, 1], place, known[mine]
+                cell = (rows["w1"] >> np.uint64(33)).astype(np.int64) % cells
+                order = np.argsort(cell, kind="stable")
+                cut = np.searchsorted(cell[order], np.arange(cells + 1))
+                out += [(c, None, None, None, rows[order[cut[c] : cut[c + 1]]].tobytes()) for c in range(cells) if cut[c] < cut[c + 1]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
         size, last = 0, None
         for b in batches:
-            for key, seg, times, data in zip(*(c.to_pylist() for c in b.columns)):
-                if key != last and size > SORTED:
+            for key, seg, times, of, data in zip(*(c.to_pylist() for c in b.columns)):
+                group = (key, seg % of)
+                if group != last and size > SORTED:
                     yield judged()
                     held, size = {}, 0
                 if (key, seg) not in held:
-                    held[key, seg] = (data, times)
+                    held[key, seg] = (data, times, of > 1)
                     size += len(data) + 1
-                last = key
+                last = group
         if held:
             yield judged()
 
-    by_key = segs.where("not hot").select("key", "seg", "times", "data").repartition(partitions(spark), "key").sortWithinPartitions("key")
-    decided = by_key.mapInArrow(sort, f"key long, seg long, spans {_SPANS}")
-
-    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for key, seg, times, data in zip(*(c.to_pylist() for c in b.columns)):
-                t = np.frombuffer(data, np.uint8)
-                w1, w2 = (_mixed(_rolling(t, length, f)).view(np.int64) for f in (0x9E3779B185EBCA87, 0xC2B2AE3D27D4EB4F))
-                n = len(w1)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, key)), pa.array(np.full(n, seg)), pa.array(np.full(n, times)), pa.array(np.arange(n, dtype=np.int32)), pa.array(w1), pa.array(w2)], ["key", "seg", "times", "a", "w1", "w2"])
-
-    hot = segs.where("hot").select("key", "seg", "times", "data").dropDuplicates(["key", "seg"])
-    hot = scratch.save(hot.mapInArrow(windows, "key long, seg long, times long, a int, w1 long, w2 long"), "windows")
-    again = scratch.save(hot.groupBy("w1", "w2").agg(F.sum("times").alias("all")).where("all > 1"), "again")
-    of_hot = hot.join(again, ["w1", "w2"], "left").groupBy("key", "seg").agg(F.collect_set(F.when(F.col("all").isNotNull(), F.struct("a", F.lit(1).alias("n")))).alias("spans"))
-    decided = scratch.save(decided.unionByName(of_hot).withColumn("judged", F.lit(True)), "decided")
-    scratch.drop("segs", "windows", "again")
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = np.frombuffer(b"".join(x for b in batches for x in b.column(0).to_pylist()), record)
+        order = np.lexsort((rows["w2"], rows["w1"]))
+        rows = rows[order]
+        new = np.r_[True, (rows["w1"][1:] != rows["w1"][:-1]) | (rows["w2"][1:] != rows["w2"][:-1])] if len(rows) else np.empty(0, bool)
+        size = np.diff(np.append(np.flatnonzero(new), len(rows)))
+        found = rows[np.repeat(size > 1, size) & (rows["known"] == 0)]
+        found = found[np.lexsort((found["a"], found["seg"], found["key"]))]
+        new = np.r_[True, (found["key"][1:] != found["key"][:-1]) | (found["seg"][1:] != found["seg"][:-1])] if len(found) else np.empty(0, bool)
+        cut = np.append(np.flatnonzero(new), len(found)).tolist()
+        out = [(int(found["key"][s]), int(found["seg"][s]), [{"a": a, "n": 1} for a in found["a"][s:e].tolist()]) for s, e in zip(cut, cut[1:])]
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds[1:4])], names[1:4])
+
+    parted = segs.repartition(partitions(spark), "key", F.pmod("seg", "of")).sortWithinPartitions("key", F.pmod("seg", "of"))
+    sorted_ = scratch.save(parted.mapInArrow(sort, schema), "sorted")
+    across = sorted_.where("cell >= 0").select("windows", "cell").repartition(cells, "cell").mapInArrow(meet, f"key long, seg long, spans {_SPANS}")
+    decided = sorted_.where("cell < 0").select("key", "seg", "spans").unionByName(across)
+    decided = scratch.save(decided.withColumn("judged", F.lit(True)), "decided")
+    scratch.drop("segs", "sorted")
 
     judged = shared.where("several").join(decided, ["key", "seg"], "left")
     spans = F.when(F.col("judged"), F.col("spans")).otherwise(F.array(F.struct(F.lit(0).alias("a"), F.col("n"))))
