@@ -132,7 +132,7 @@ def pack(docs: DataFrame, vocabulary: str, end_id: int = 0, capacity: int = 2048
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     base = scratch.save(counts.select("length", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")), "base")
     within = Window.partitionBy("length", "block").orderBy("id", "piece", "ids_crc32")
-    ranked = table.withColumn("rank", F.row_number().over(within) - 1).join(base, ["length", "block"])
+    ranked = table.withColumn("rank", F.row_number().over(within) - 1).join(base.hint("merge"), ["length", "block"])
     shared = spark.sparkContext.broadcast(plan)
 
     def place(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
