@@ -24,8 +24,6 @@ from .scratch import Scratch, partitions
 
 BANDS, ROWS = 14, 4  # 1 - (1 - 0.8**4)**14 = 0.9994 at a similarity of 0.8
 _FACTORS = np.random.default_rng(2).integers(1, 2**32, (BANDS * ROWS, 2), dtype=np.uint64)
-#: Words of text that are signed at a time.
-SLICE_WORDS = 200_000
 
 
 class Words:
@@ -58,11 +56,10 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One hash per band for each set, sets[starts[i]:starts[i+1]]."""
-    x = sets & np.uint64(0xFFFFFFFF)
+    """One hash per band for each set of 32-bit hashes, sets[starts[i]:starts[i+1]]."""
     mins = np.empty((len(starts), BANDS * ROWS), np.uint64)
     for j, (a, b) in enumerate(_FACTORS):
-        h = (x * (a | np.uint64(1)) + b) & np.uint64(0xFFFFFFFF)
+        h = (sets * (a | np.uint64(1)) + b) & np.uint64(0xFFFFFFFF)
         mins[:, j] = np.minimum.reduceat(h, starts)
     out = np.empty((len(starts), BANDS), np.uint64)
     for b in range(BANDS):
@@ -74,43 +71,40 @@ def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return out
 
 
-def paragraph_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, min_words: int) -> DataFrame:
-    """(id, tid, line, n_words, h1, h2, payload) of each line of at least ``min_words`` words.
+def paragraph_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, min_words: int, sets: bool) -> DataFrame:
+    """(id, tid, line, n_words, h1, h2) of each line of at least ``min_words`` words; h1 and h2 hash the lower-cased words.
 
-    h1 and h2 hash the lower-cased words; the payload is the band hashes and then the shingle hashes."""
+    With ``sets`` also the 32-bit hashes of its shingles."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashed = Words()
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
 
         def emitted(rows: list) -> pa.RecordBatch:
-            index, line, n, h1, h2, sets = zip(*rows)
-            starts = np.cumsum([0, *map(len, sets)])[:-1]
-            bands = signatures(np.concatenate(sets), starts)
-            payload = [b.astype("<u8").tobytes() + s.astype("<u8").tobytes() for b, s in zip(bands, sets)]
+            index, *columns = zip(*rows)
             at = pa.array(index)
-            return pa.RecordBatch.from_arrays([ids.take(at), tids.take(at), pa.array(line, pa.int32()), pa.array(n, pa.int32()), pa.array(h1, pa.int64()), pa.array(h2, pa.int64()), pa.array(payload, pa.binary())], ["id", "tid", "line", "n_words", "h1", "h2", "payload"])
+            return pa.RecordBatch.from_arrays([ids.take(at), tids.take(at), *(pa.array(c, t) for c, t in zip(columns, kinds))], ["id", "tid", "line", "n_words", "h1", "h2", "payload"][: 2 + len(columns)])
 
         for b in batches:
-            ids, tids, rows, size = b.column(0), b.column(1), [], 0
+            ids, tids, rows = b.column(0), b.column(1), []
             for i, text in enumerate(b.column(2).to_pylist()):
                 for k, part in enumerate((text or b"").split(b"\n")):
                     words = part.lower().split()
                     if len(words) < min_words:
                         continue
                     whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-                    h1, h2 = ((x ^ (1 << 63)) - (1 << 63) for x in divmod(whole, 1 << 64))
-                    rows.append((i, k, len(words), h1, h2, shingles(hashed(words), shingle)))
-                    size += len(words)
-                    if size >= SLICE_WORDS:
+                    row = (i, k, len(words), *((x ^ (1 << 63)) - (1 << 63) for x in divmod(whole, 1 << 64)))
+                    rows.append((*row, shingles(hashed(words), shingle).astype("<u4").tobytes()) if sets else row)
+                    if len(rows) >= 4000:
                         yield emitted(rows)
-                        rows, size = [], 0
+                        rows = []
             if rows:
                 yield emitted(rows)
 
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
     text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tid"), F.col(text_col).cast("binary").alias("text"))
-    return text.mapInArrow(split, f"id {kind}, tid long, line int, n_words int, h1 long, h2 long, payload binary")
+    return text.mapInArrow(split, f"id {kind}, tid long, line int, n_words int, h1 long, h2 long" + ", payload binary" * sets)
 
 
 def _star(value: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -134,7 +128,11 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
         node, value = [np.empty(0, np.int64)], [np.empty((0, BANDS), np.uint64)]
         for b in batches:
             node.append(b.column(0).to_numpy())
-            value.append(np.frombuffer(b"".join(p[: 8 * BANDS] for p in b.column(1).to_pylist()), "<u8").reshape(-1, BANDS))
+            sets = b.column(1).to_pylist()
+            for k in range(0, len(sets), 2000):
+                some = sets[k : k + 2000]
+                starts = np.cumsum([0, *(len(x) // 4 for x in some)])[:-1]
+                value.append(signatures(np.frombuffer(b"".join(some), "<u4").astype(np.uint64), starts))
         node, value = np.repeat(np.concatenate(node), BANDS), np.concatenate(value).ravel()
         first, u, v = _star(value, node)
         node, value = node[first], value[first]
@@ -163,7 +161,7 @@ def candidate_links(nodes: DataFrame) -> DataFrame:
 
 
 def jaccard_of(a: bytes, b: bytes) -> float:
-    x, y = (np.unique(np.frombuffer(p, "<u8")[BANDS:]) for p in (a, b))
+    x, y = (np.unique(np.frombuffer(p, "<u4")) for p in (a, b))
     both = len(np.intersect1d(x, y, assume_unique=True))
     return both / max(1, len(x) + len(y) - both)
 
@@ -178,10 +176,13 @@ def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col:
     Null and empty texts have no paragraphs; null ids come last; an empty table gives no rows.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "paragraphs")
-    table = scratch.save(paragraph_table(docs, id_col, text_col, shingle, min_words), "table")
+    rows = scratch.save(paragraph_table(docs, id_col, text_col, shingle, min_words, False), "rows")
     at = F.struct(F.col("id").isNull().alias("no_id"), "id", "tid", "line")
+    table = paragraph_table(docs, id_col, text_col, shingle, min_words, True)  # shuffled once, never stored
     nodes = table.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times"), F.first("payload").alias("payload"))
     nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers are fixed from here on
+    del table
+    scratch.drop()
     links = scratch.save(candidate_links(nodes), "candidates")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,8 +200,7 @@ def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col:
     rooted = scratch.save(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     classes = scratch.save(rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("times").alias("size")).where("size > 1"), "classes")
     classed = scratch.save(rooted.select("root", "h1", "h2").join(classes, "root").select("h1", "h2", F.col("root").alias("class_id"), "keeper"), "classed")
-    rows = scratch.save(table.select("id", "tid", "line", "n_words", "h1", "h2"), "rows")
-    scratch.drop("table", "nodes", "named", "rooted", "roots", "links")
+    scratch.drop("nodes", "named", "rooted", "roots", "links", "classes")
     found = rows.join(classed, ["h1", "h2"]).select("id", "tid", "line", "n_words", "class_id", "keeper")
     return found.withColumn("kept", at.eqNullSafe(F.col("keeper")))
 
