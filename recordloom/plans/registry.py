@@ -1,11 +1,517 @@
-"""The registered queries and their SQL."""
+"""The registered queries of the record operators, each beside its SQL."""
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from ..functions import contacts, ratio, scores, text
+from ..operators import consolidating, matching, ranking
+from ..runtime import ship, table
+from ..sources import files, pages
+from ..streaming import incremental
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return add
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
+
+
+def _verified(o: DataFrame) -> DataFrame:
+    return o.withColumn("verified", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_orderdate"))).withColumn("superseded", F.when(F.col("o_orderkey") % 11 == 0, F.col("o_orderkey")))
+
+
+@_query("""SELECT o_custkey, o_orderstatus, o_orderkey, o_totalprice FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_custkey, o_orderstatus ORDER BY o_totalprice DESC,
+    CASE WHEN o_orderkey % 7 <> 0 THEN o_orderdate END DESC NULLS LAST, o_orderkey) AS k
+  FROM orders WHERE o_orderkey % 11 <> 0) WHERE k = 1""")
+def current_best(spark: SparkSession, sf: str) -> DataFrame:
+    best = ranking.current_best(_verified(table(spark, sf, "orders")), ["o_custkey", "o_orderstatus"], "o_totalprice", "verified", "o_orderkey", "superseded")
+    return best.select("o_custkey", "o_orderstatus", "o_orderkey", "o_totalprice")
+
+
+@_query("SELECT event_id, user_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id) AS k FROM events) WHERE k = 1")
+def first_seen_dedupe(spark, sf):
+    return ranking.top_per_key(table(spark, sf, "events"), ["user_id", "event_type"], [F.asc("event_id")]).select("event_id", "user_id", "event_type")
+
+
+@_query("""SELECT l_returnflag, l_linestatus, l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (
+  PARTITION BY l_returnflag, l_linestatus ORDER BY l_extendedprice DESC, l_orderkey, l_linenumber, l_partkey) AS k FROM lineitem) WHERE k <= 10""")
+def topn_per_group_cap(spark, sf):
+    top = ranking.top_per_key(table(spark, sf, "lineitem"), ["l_returnflag", "l_linestatus"], [F.desc("l_extendedprice"), F.asc("l_orderkey"), F.asc("l_linenumber"), F.asc("l_partkey")], 10)
+    return top.select("l_returnflag", "l_linestatus", "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+@_query("""SELECT user_id, event_type, best FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY best DESC, event_type) AS k
+  FROM (SELECT user_id, event_type, max(value) AS best FROM events GROUP BY 1, 2)) WHERE k <= 3""")
+def best_per_key_top3(spark, sf):
+    best = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.max("value").alias("best"))
+    return ranking.top_per_key(best, ["user_id"], [F.desc("best"), F.asc("event_type")], 3)
+
+
+@_query("SELECT user_id, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS k FROM events) WHERE k = 1")
+def latest_wins(spark, sf):
+    last = table(spark, sf, "events").groupBy("user_id").agg(F.max_by(F.struct("event_id", "event_type"), F.struct("ts", "event_id")).alias("e"))
+    return last.select("user_id", "e.event_id", "e.event_type")
+
+
+@_query("SELECT c_mktsegment, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY 1 ORDER BY n DESC, 1")
+def group_count_desc(spark, sf):
+    o, c = table(spark, sf, "orders"), table(spark, sf, "customer")
+    return o.join(c, o["o_custkey"] == c["c_custkey"]).groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "c_mktsegment")
+
+
+@_query("""SELECT event_id, v, CASE WHEN v IS NULL THEN false ELSE count(*) OVER (PARTITION BY v) >= 3 END AS institutional
+  FROM (SELECT event_id, CASE WHEN event_id % 5 <> 0 THEN CAST(floor(value) AS BIGINT) END AS v FROM events)""")
+def institutional_tag(spark, sf):
+    e = table(spark, sf, "events").select("event_id", F.when(F.col("event_id") % 5 != 0, F.floor("value").cast("long")).alias("v"))
+    return ranking.shared_by(e, "v", 3, "institutional").select("event_id", "v", "institutional")
+
+
+@_query("SELECT upper(trim(p_name)) AS name, count(*) AS n FROM part GROUP BY 1 HAVING count(*) > 1")
+def duplicate_names(spark, sf):
+    return table(spark, sf, "part").groupBy(text.base_clean("p_name").alias("name")).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+
+
+@_query("""SELECT source, count(*) AS rows_total, count(*) FILTER (quality IS NOT NULL) AS labelled, count(*) FILTER (quality = 1) AS good,
+  count(*) FILTER (toxic = 1) AS toxic, count(*) FILTER (quality = 1 AND toxic = 0) AS complete, count(*) FILTER (trim(text) = '') AS blank
+  FROM documents LEFT JOIN labels USING (doc_id) GROUP BY 1""")
+def quality_report(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    q, t = F.col("quality"), F.col("toxic")
+    return consolidating.counts(d, ["source"], {"labelled": q.isNotNull(), "good": q == 1, "toxic": t == 1, "complete": (q == 1) & (t == 0), "blank": ~text.has_value("text")})
+
+
+@_query("""WITH a AS (SELECT count(*) AS n, count(*) FILTER (c_acctbal > 0) AS positive, count(DISTINCT c_nationkey) AS nations, count(DISTINCT c_mktsegment) AS segments FROM customer)
+  SELECT 'n' AS metric, CAST(n AS DOUBLE) AS value FROM a UNION ALL SELECT 'positive', positive FROM a UNION ALL SELECT 'nations', nations FROM a UNION ALL SELECT 'segments', segments FROM a""")
+def metric_rows(spark, sf):
+    a = table(spark, sf, "customer").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("c_acctbal") > 0).alias("positive"), F.countDistinct("c_nationkey").alias("nations"), F.countDistinct("c_mktsegment").alias("segments"))
+    return consolidating.as_rows(a, ["n", "positive", "nations", "segments"])
+
+
+@_query("SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS f, count(*) FILTER (o_orderstatus = 'O') AS o, count(*) FILTER (o_orderstatus = 'P') AS p FROM orders GROUP BY 1")
+def pivot_status(spark, sf):
+    p = table(spark, sf, "orders").groupBy("o_orderpriority").pivot("o_orderstatus", ["F", "O", "P"]).agg(F.count(F.lit(1))).na.fill(0)
+    return p.toDF("o_orderpriority", "f", "o", "p")
+
+
+@_query("SELECT event_type, count(*) AS n, round(100.0 * count(*) / sum(count(*)) OVER (), 4)::DOUBLE AS pct FROM events GROUP BY 1")
+def pct_of_total(spark, sf):
+    return ranking.share(table(spark, sf, "events"), ["event_type"])
+
+
+@_query("SELECT r_name, n_name, count(*) AS n, greatest(70 - count(*), 0) AS gap FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1, 2")
+def group_goal_gap(spark, sf):
+    c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
+    j = c.join(n, c["c_nationkey"] == n["n_nationkey"]).join(r, n["n_regionkey"] == r["r_regionkey"])
+    return consolidating.goal_gap(j, ["r_name", "n_name"], 70)
+
+
+@_query("""SELECT l_orderkey, min_by(l_partkey, k) AS l_partkey, array_to_string(list_distinct_ordered, '|') AS modes FROM (
+  SELECT l_orderkey, l_partkey, k, list_filter(all_flags, lambda x, i: list_position(all_flags, x) = i) AS list_distinct_ordered FROM (
+    SELECT l_orderkey, l_partkey, k, list(l_returnflag ORDER BY k) OVER (PARTITION BY l_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS all_flags
+    FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS k FROM lineitem)))
+  GROUP BY l_orderkey, list_distinct_ordered""")
+def site_collapse(spark, sf):
+    line = table(spark, sf, "lineitem").withColumn("k", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"))
+    return ranking.collapse(line, "l_orderkey", "k", ["l_partkey"], ["l_returnflag"]).select("l_orderkey", "l_partkey", F.array_join("l_returnflag", "|").alias("modes"))
+
+
+_LEFT = "SELECT d.doc_id, CASE WHEN l.doc_id IS NOT NULL THEN l.quality ELSE -1 END AS quality, l.toxic FROM documents d LEFT JOIN labels l USING (doc_id)"
+
+
+@_query(_LEFT)
+def left_enrich_overwrite(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.lit(-1).alias("quality"))
+    return ranking.overwrite_from(d, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
+
+
+@_query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality FROM (SELECT * FROM documents WHERE doc_id % 3 <> 0) d
+  FULL JOIN labels l ON d.doc_id = l.doc_id""")
+def full_outer_enrich(spark, sf):
+    d = table(spark, sf, "documents").where("doc_id % 3 <> 0").select("doc_id", "n_chars")  # so that some labels have no document
+    return ranking.overwrite_from(d, table(spark, sf, "labels"), "doc_id", ["quality"], how="full")
+
+
+@_query("SELECT s_suppkey, count(c_custkey) AS n, coalesce(sum(CAST(c_acctbal * 100 AS BIGINT)), 0)::BIGINT AS cents FROM supplier LEFT JOIN customer ON s_nationkey = c_nationkey GROUP BY 1")
+def fanout_merge(spark, sf):
+    s, c = table(spark, sf, "supplier"), table(spark, sf, "customer")
+    j = s.join(c, s["s_nationkey"] == c["c_nationkey"], "left")
+    return j.groupBy("s_suppkey").agg(F.count("c_custkey").alias("n"), F.coalesce(F.sum(F.round(F.col("c_acctbal") * 100).cast("long")), F.lit(0)).alias("cents"))
+
+
+@_query("SELECT doc_id, source FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def resume_antijoin(spark, sf):
+    return ranking.not_seen(table(spark, sf, "documents"), table(spark, sf, "labels"), F.col("doc_id"), F.col("doc_id")).select("doc_id", "source")
+
+
+@_query("SELECT p_name, count(*) AS n FROM part WHERE upper(trim(p_name)) NOT IN (SELECT upper(trim(p_name)) FROM part WHERE p_size > 45) GROUP BY 1")
+def new_names_only(spark, sf):
+    p, key = table(spark, sf, "part"), F.upper(F.trim("p_name"))
+    return ranking.not_seen(p, p.where("p_size > 45"), key, key).groupBy("p_name").agg(F.count(F.lit(1)).alias("n"))
+
+
+_TITLE_SQL = "regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)"
+_TOKENS = "list_filter(string_split(lower({0}), ' '), lambda t: t <> '')"
+
+
+@_query(f"""WITH a AS (SELECT page_id, unnest(list_distinct({_TOKENS.format(_TITLE_SQL)})) AS t FROM pages),
+  b AS (SELECT item_id, unnest(list_distinct({_TOKENS.format("text")})) AS t FROM benchmark)
+  SELECT page_id, item_id, count(*) AS shared FROM a JOIN b USING (t) GROUP BY 1, 2 HAVING count(*) >= 2""")
+def shared_token_pairs(spark, sf):
+    p = table(spark, sf, "pages").select("page_id", text.tokens(F.lower(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))).alias("a"))
+    b = table(spark, sf, "benchmark").select("item_id", text.tokens(F.lower("text")).alias("b"))
+    return matching.shared_tokens(p, b, "page_id", "item_id", "a", "b")
+
+
+def _names(spark, sf):
+    p = table(spark, sf, "part")
+    left = p.groupBy("p_name").agg(F.min("p_partkey").alias("name_id")).select("name_id", text.tokens("p_name").alias("a"))
+    return left, p.select("p_partkey", "p_brand", text.tokens(F.concat_ws(" ", "p_name", "p_type")).alias("b"))
+
+
+_NAMES_SQL = f"""WITH l AS (SELECT min(p_partkey) AS name_id, list_distinct({_TOKENS.format("p_name").replace("lower(p_name)", "p_name")}) AS a FROM part GROUP BY p_name),
+  r AS (SELECT p_partkey, p_brand, list_distinct(list_filter(string_split(p_name || ' ' || p_type, ' '), lambda t: t <> '')) AS b FROM part),
+  c AS (SELECT name_id, p_partkey, p_brand, CAST(len(list_intersect(a, b)) AS BIGINT) AS shared FROM l, r
+    WHERE len(list_intersect(a, b)) >= 2 AND (list_has_all(b, a) OR (len(b) >= 3 AND list_has_all(a, b))))"""
+
+
+@_query(_NAMES_SQL + " SELECT name_id, p_partkey, shared FROM c")
+def containment_pairs(spark, sf):
+    left, right = _names(spark, sf)
+    return matching.contained(left, right, "name_id", "p_partkey", "a", "b")
+
+
+@_query(_NAMES_SQL + ", d AS (SELECT name_id, count(DISTINCT brand) AS n, min(p_partkey) AS p_partkey, min(brand) AS brand FROM (SELECT *, CASE WHEN name_id % 3 = 0 THEN 'one' ELSE substr(p_brand, 1, 7) END AS brand FROM c) GROUP BY 1) SELECT name_id, p_partkey, brand FROM d WHERE n = 1")
+def unique_containment(spark, sf):
+    left, right = _names(spark, sf)
+    pairs = matching.contained(left, right, "name_id", "p_partkey", "a", "b").join(right.select("p_partkey", "p_brand"), "p_partkey")
+    pairs = pairs.withColumn("brand", F.when(F.col("name_id") % 3 == 0, "one").otherwise(F.substring("p_brand", 1, 7)))
+    return matching.unique_match(pairs, "name_id", "p_partkey", "brand")
+
+
+def _supplier_keys():
+    return F.array(F.concat(F.lit("n"), F.col("s_nationkey").cast("string")), F.concat(F.lit("b"), F.floor(F.col("s_acctbal") / 500).cast("string")))
+
+
+_BLOCKED_SQL = """SELECT a.s_suppkey AS a, b.s_suppkey AS b FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey
+  AND (a.s_nationkey = b.s_nationkey OR floor(a.s_acctbal / 500) = floor(b.s_acctbal / 500))"""
+
+
+@_query(_BLOCKED_SQL)
+def blocked_pairs(spark, sf):
+    return matching.blocked_pairs(table(spark, sf, "supplier"), "s_suppkey", _supplier_keys())
+
+
+@_query(f"""WITH t AS (SELECT item_id, list_distinct({_TOKENS.format("text")}) AS t FROM benchmark)
+  SELECT a.item_id AS a, b.item_id AS b, round(len(list_intersect(a.t, b.t))::DOUBLE / len(list_distinct(list_concat(a.t, b.t))), 6) AS jaccard
+  FROM t a JOIN t b ON a.item_id < b.item_id AND len(list_intersect(a.t, b.t)) >= 2""")
+def jaccard_pairs(spark, sf):
+    t = table(spark, sf, "benchmark").select(F.col("item_id").alias("a"), F.array_distinct(text.tokens(F.lower("text"))).alias("t"))
+    u = t.withColumnsRenamed({"a": "b", "t": "u"})
+    pairs = matching.shared_tokens(t, u, "a", "b", "t", "u").where("a < b")
+    return pairs.join(t, "a").join(u, "b").select("a", "b", F.round(scores.jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
+
+
+@_query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e)) + 1e-9), 6) AS cosine
+  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) a JOIN (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) b
+  ON a.label = b.label AND b.vec_id = a.vec_id + 7""")
+def cosine_pairs(spark, sf):
+    e = table(spark, sf, "embeddings")
+    a, b = e.select(F.col("vec_id").alias("a"), "label", F.col("embedding").alias("x")), e.select(F.col("vec_id").alias("b"), "label", F.col("embedding").alias("y"))
+    j = a.join(b, (a["label"] == b["label"]) & (b["b"] == a["a"] + 7))
+    return j.select("a", "b", F.round(scores.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+
+
+_SIGNALS = {"click": "source_tier_3", "purchase": "source_tier_1", "error": "contradicted_by_tier2", "signup": "mx_ok", "view": "single_source"}
+_WEIGHT_SQL = "CASE event_type " + " ".join(f"WHEN '{k}' THEN {scores.SIGNALS[v]}" for k, v in _SIGNALS.items()) + " END"
+_LOGODDS_SQL = f"""SELECT user_id, hour, round(1 / (1 + exp(-(ln(0.3 / 0.7) + sum(w)))), 4) AS p FROM (SELECT DISTINCT user_id, strftime(ts, '%Y-%m-%d %H') AS hour, event_type, CAST({_WEIGHT_SQL} AS DOUBLE) AS w FROM events) GROUP BY 1, 2"""
+
+
+def _user_scores(spark, sf):
+    names = F.create_map(*[F.lit(x) for kv in _SIGNALS.items() for x in kv])
+    e = table(spark, sf, "events").groupBy("user_id", F.date_format("ts", "yyyy-MM-dd HH").alias("hour")).agg(F.collect_set("event_type").alias("types"))
+    return e.select("user_id", "hour", F.round(scores.confidence(F.transform("types", lambda t: F.try_element_at(names, t)), F.lit(scores.PRIOR)), 4).alias("p"))
+
+
+@_query(_LOGODDS_SQL)
+def logodds_score(spark, sf):
+    return _user_scores(spark, sf)
+
+
+@_query(f"SELECT CASE WHEN p >= 0.85 THEN 'auto_publish' WHEN p >= 0.55 THEN 'human_review' ELSE 'hypothesis' END AS bucket, count(*) AS n FROM ({_LOGODDS_SQL}) GROUP BY 1")
+def confidence_bucket(spark, sf):
+    return _user_scores(spark, sf).groupBy(scores.bucket(F.col("p")).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("SELECT page_id, CASE WHEN lower(url) LIKE '%blog.%' THEN 1 WHEN lower(url) LIKE '%m.%' THEN 3 ELSE 2 END AS tier FROM pages")
+def url_tier(spark, sf):
+    return table(spark, sf, "pages").select("page_id", scores.tier(F.col("url"), ("blog.",), ("m.",)).alias("tier"))
+
+
+_PAIR_SQL = f"""SELECT a, b, round(1 / (1 + exp(-(-3.5 + 1.5 * same + 1.0 * near + 4.0 * cents))), 4) AS p FROM (
+  SELECT p.a, p.b, CASE WHEN x.s_nationkey = y.s_nationkey THEN 1.0 ELSE 0.0 END AS same, CASE WHEN floor(x.s_acctbal / 500) = floor(y.s_acctbal / 500) THEN 1.0 ELSE 0.0 END AS near,
+  CASE WHEN x.s_suppkey % 10 = y.s_suppkey % 10 THEN 1.0 ELSE 0.0 END AS cents FROM ({_BLOCKED_SQL}) p JOIN supplier x ON x.s_suppkey = p.a JOIN supplier y ON y.s_suppkey = p.b)"""
+
+
+def _pair_scores(spark, sf):
+    s = table(spark, sf, "supplier")
+    pairs = matching.blocked_pairs(s, "s_suppkey", _supplier_keys())
+    side = lambda k: s.select(F.col("s_suppkey").alias(k), F.struct("s_nationkey", "s_acctbal", "s_suppkey").alias("x" + k))
+    j = pairs.join(side("a"), "a").join(side("b"), "b")
+    one = lambda c: F.when(c, 1.0).otherwise(0.0)
+    features = {
+        "specialty_match": one(F.col("xa.s_nationkey") == F.col("xb.s_nationkey")),
+        "city_match": one(F.floor(F.col("xa.s_acctbal") / 500) == F.floor(F.col("xb.s_acctbal") / 500)),
+        "phone_overlap": one(F.col("xa.s_suppkey") % 10 == F.col("xb.s_suppkey") % 10),
+    }
+    return j.select("a", "b", F.round(scores.pair_probability(features), 4).alias("p"))
+
+
+@_query(_PAIR_SQL)
+def pair_probability(spark, sf):
+    return _pair_scores(spark, sf)
+
+
+@_query(f"""WITH RECURSIVE e AS (SELECT a, b FROM ({_PAIR_SQL}) WHERE p >= 0.7), g AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+  r(node, x) AS (SELECT a, a FROM g UNION SELECT r.node, g.b FROM r JOIN g ON r.x = g.a) SELECT node, min(x) AS cluster_id FROM r GROUP BY 1""")
+def clusters(spark, sf):
+    return matching.clusters(_pair_scores(spark, sf), "a", "b", "p", 0.7)
+
+
+@_query("""WITH t AS (SELECT user_id, value, event_type, CASE event_type WHEN 'purchase' THEN 3 WHEN 'signup' THEN 2 ELSE 1 END AS rk FROM events),
+  b AS (SELECT user_id, max(rk) AS rk FROM t GROUP BY 1), m AS (SELECT user_id, rk, max(value) AS best FROM t JOIN b USING (user_id, rk) GROUP BY 1, 2),
+  c AS (SELECT t.user_id, m.best, t.value, t.event_type FROM t JOIN m USING (user_id, rk) WHERE t.value >= m.best - 1)
+  SELECT user_id, max(best) AS best, count(DISTINCT event_type) AS candidates, min_by(event_type, struct_pack(a := -value, b := event_type)) AS value, count(DISTINCT event_type) > 1 AS ambiguous FROM c GROUP BY 1""")
+def ambiguity_flag(spark, sf):
+    rank = F.when(F.col("event_type") == "purchase", 3).when(F.col("event_type") == "signup", 2).otherwise(1)
+    return ranking.ambiguous(table(spark, sf, "events"), "user_id", rank, "value", "event_type")
+
+
+@_query("""SELECT d.doc_id, CASE WHEN l.quality = 1 THEN 'label' WHEN d.n_chars > 2000 THEN 'long' WHEN d.lang <> 'en' THEN d.lang ELSE '' END AS chosen
+  FROM documents d LEFT JOIN labels l USING (doc_id)""")
+def precedence_merge(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return d.select("doc_id", consolidating.by_precedence(F.when(F.col("quality") == 1, "label"), F.when(F.col("n_chars") > 2000, "long"), F.when(F.col("lang") != "en", F.col("lang"))).alias("chosen"))
+
+
+@_query("""SELECT doc_id, reason FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 'toxic' WHEN quality = 0 THEN 'low' END AS reason FROM labels) WHERE reason IS NOT NULL""")
+def review_routing(spark, sf):
+    why = consolidating.review_reason([(F.col("toxic") == 1, "toxic"), (F.col("quality") == 0, "low")])
+    return table(spark, sf, "labels").select("doc_id", why.alias("reason")).where("reason IS NOT NULL")
+
+
+_PLAIN_SQL = f"translate({{0}}, '{text.ACCENTED}', '{text.PLAIN}')"
+_NAME_SQL = "list_filter(string_split(upper(trim(regexp_replace(replace(replace(t, '#', 'Ñ'), 'ß', 'SS'), '\\s+', ' ', 'g'))), ' '), lambda x: x <> '')"
+
+
+@_query(f"""SELECT page_id, coalesce(n[1], '') AS fam1, CASE WHEN len(n) >= 3 THEN n[2] END AS fam2,
+  CASE WHEN len(n) = 2 THEN n[2] WHEN len(n) >= 3 THEN array_to_string(n[3:], ' ') ELSE '' END AS given
+  FROM (SELECT page_id, {_NAME_SQL} AS n FROM (SELECT page_id, {_TITLE_SQL} AS t FROM pages))""")
+def name_parse_family_first(spark, sf):
+    n = text.parse_family_first(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1))
+    return table(spark, sf, "pages").select("page_id", n.alias("n")).select("page_id", F.col("n.family_name_1").alias("fam1"), F.col("n.family_name_2").alias("fam2"), F.col("n.given_name").alias("given"))
+
+
+@_query()
+def name_parse_given_first(spark, sf):
+    n = text.parse_given_first(pages.title("html"))
+    return table(spark, sf, "pages").select("page_id", n.alias("n")).select("page_id", "n.*", text.display_name(F.col("n")).alias("display"), text.initials(F.col("n")).alias("initials"), text.fuzzy_tokens(F.col("n")).alias("tokens"), text.block_keys(F.col("n"), F.lit("CR"), F.lit("")).alias("keys"))
+
+
+@_query(f"""SELECT page_id, trim(regexp_replace(lower({_PLAIN_SQL.format("replace(t, 'ß', 'ss')")}), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM (SELECT page_id, {_TITLE_SQL} AS t FROM pages)""")
+def slug_urls(spark, sf):
+    return table(spark, sf, "pages").select("page_id", text.slug(F.regexp_extract("html", r"(?is)<title[^>]*>(.*?)</title>", 1)).alias("slug"))
+
+
+@_query("""SELECT doc_id, CAST(len(t) AS INTEGER) AS n_tokens, CAST(len(list_distinct(t)) AS INTEGER) AS n_distinct, md5(array_to_string(t, ' ')) AS tokens_md5 FROM (
+  SELECT doc_id, list_filter(string_split(lower(strip_accents(text)), ' '), lambda x: x <> '') AS t FROM documents)""")
+def strip_accents_tokens(spark, sf):
+    t = text.tokens(F.lower(text.strip_accents("text")))
+    return table(spark, sf, "documents").select("doc_id", F.size(t).alias("n_tokens"), F.size(F.array_distinct(t)).alias("n_distinct"), F.md5(F.array_join(t, " ")).alias("tokens_md5"))
+
+
+_EMAILS_SQL = "list_filter(list_distinct(regexp_extract_all(text, '(?i)[A-Z0-9_.+-]+@[A-Z0-9-]+\\.[A-Z0-9.-]+')), lambda e: NOT regexp_matches(lower(e), '\\.png|\\.jpg|\\.jpeg|\\.svg|\\.gif|\\.webp|sentry\\.io|wixpress\\.com'))"
+
+
+def _emails(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", "source", F.explode(contacts.emails_in("text")).alias("email"))
+
+
+@_query(f"SELECT doc_id, unnest({_EMAILS_SQL}) AS email FROM documents")
+def extract_emails(spark, sf):
+    return _emails(spark, sf).select("doc_id", "email")
+
+
+_PARTS_SQL = f"SELECT doc_id, source, rtrim(lower(e), '.') AS address FROM (SELECT doc_id, source, unnest({_EMAILS_SQL}) AS e FROM documents)"
+
+
+@_query(f"SELECT doc_id, address, split_part(address, '@', 1) AS local, split_part(address, '@', 2) AS domain, split_part(address, '@', 2) IN {contacts.FREEMAIL} AS is_freemail FROM ({_PARTS_SQL})")
+def email_parts(spark, sf):
+    return _emails(spark, sf).select("doc_id", contacts.email_parts("email").alias("p")).where("p IS NOT NULL").select("doc_id", "p.*")
+
+
+@_query(f"""SELECT doc_id, address, round(1 / (1 + exp(-(ln(0.35 / 0.65) + CASE doc_tier WHEN 1 THEN 1.6 WHEN 3 THEN 0.1 ELSE 0.6 END - 0.3))), 4) AS confidence,
+  CASE WHEN split_part(address, '@', 2) IN {contacts.FREEMAIL} THEN 'personal' ELSE 'clinic' END AS subkind
+  FROM (SELECT *, CASE WHEN source LIKE '%src1%' THEN 1 WHEN source LIKE '%src2%' THEN 3 ELSE 2 END AS doc_tier FROM ({_PARTS_SQL}))""")
+def claim_emission(spark, sf):
+    e = _emails(spark, sf).withColumn("p", contacts.email_parts("email")).where("p IS NOT NULL")
+    tier = scores.tier(F.col("source"), ("src1",), ("src2",))
+    signals = F.array(F.concat(F.lit("source_tier_"), tier.cast("string")), F.lit("single_source"))
+    return e.select("doc_id", "p.address", F.round(scores.confidence(signals, F.lit(0.2) + 0.3 * F.lit(0.5)), 4).alias("confidence"), F.when(F.col("p.is_freemail"), "personal").otherwise("clinic").alias("subkind"))
+
+
+def _part_names(spark, sf):
+    n = table(spark, sf, "part").groupBy("p_name").agg(F.min("p_partkey").alias("name_id"))
+    return n.select("name_id", "p_name", text.parse_family_first("p_name").alias("n"))
+
+
+@_query("""SELECT name_id, lower(split_part(p_name, ' ', 2) || '.' || split_part(p_name, ' ', 1) || '@example.com') AS address, '{first}.{last}' AS pattern, 0.34::DOUBLE AS prior,
+  round(1 / (1 + exp(-(ln(0.3 / 0.7) - 0.7 + 0.6 + 0.6))), 4) AS p FROM (SELECT p_name, min(p_partkey) AS name_id FROM part GROUP BY 1)""")
+def best_email_hypothesis(spark, sf):
+    h = F.try_element_at(contacts.hypotheses(F.col("n"), F.lit("example.com")), F.lit(1))
+    signals = contacts.hypothesis_signals(F.lit(2), F.lit(True), F.lit(False), F.lit(None).cast("double"))
+    return _part_names(spark, sf).select("name_id", h.alias("h"), signals.alias("s")).select("name_id", "h.*", F.round(scores.confidence(F.col("s"), F.lit(scores.PRIOR)), 4).alias("p"))
+
+
+@_query()
+def email_hypotheses(spark, sf):
+    return _part_names(spark, sf).select("name_id", F.inline(contacts.hypotheses(F.col("n"), F.lit("example.com"))))
+
+
+@_query("""SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\\s+', ' ', 'g')) AS title,
+  CAST(len(list_distinct(regexp_extract_all(html, '(?i)href\\s*=\\s*["'']([^"'']+)["'']', 1))) AS INTEGER) AS n_links FROM pages""")
+def html_title_links(spark, sf):
+    return table(spark, sf, "pages").select("page_id", pages.title("html").alias("title"), F.size(pages.links("html")).alias("n_links"))
+
+
+@_query("""WITH a AS (SELECT doc_id, lower(strip_accents(text)) AS low FROM documents), b AS (SELECT doc_id, low, strpos(low, 'license') AS pos FROM a),
+  c AS (SELECT *, substr(low, CAST(greatest(pos - 200, 1) AS BIGINT), CAST(pos + 200 - greatest(pos - 200, 1) AS BIGINT)) AS w FROM b)
+  SELECT doc_id, CASE WHEN pos = 0 THEN 0.0 WHEN contains(w, 'under') OR contains(w, 'reserved') THEN 0.9 WHEN contains(low, 'under') OR contains(low, 'reserved') THEN 0.5 ELSE 0.0 END::DOUBLE AS proximity FROM c""")
+def proximity_score(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", scores.proximity(F.col("text"), F.lit("license"), F.array(F.lit("under"), F.lit("reserved"), F.lit("by"))).alias("proximity"))
+
+
+@_query("SELECT event_id, CAST(props ->> '$.k' AS INTEGER) AS k FROM events")
+def json_props(spark, sf):
+    return table(spark, sf, "events").select("event_id", F.from_json("props", "k int")["k"].alias("k"))
+
+
+@_query("""WITH h AS (SELECT page_id, label, regexp_extract(url, '://([^/?#]*)', 1) AS host FROM (SELECT *, page_id % 10 AS label FROM pages)),
+  f AS (SELECT *, row_number() OVER (PARTITION BY label, host ORDER BY page_id) AS k FROM h WHERE host <> 'spam-farm.example.org')
+  SELECT label, host, page_id FROM (SELECT *, row_number() OVER (PARTITION BY label ORDER BY page_id) AS n FROM f WHERE k = 1) WHERE n <= 3""")
+def host_limit(spark, sf):
+    p = table(spark, sf, "pages").withColumn("label", F.col("page_id") % 10)
+    return ranking.host_limited(p, "label", "url", "page_id", ["spam-farm.example.org"], 3).select("label", "host", "page_id")
+
+
+@_query("SELECT c_name AS name, c_nationkey AS nation, c_mktsegment AS segment FROM customer UNION ALL SELECT s_name, s_nationkey, NULL FROM supplier")
+def union_by_name(spark, sf):
+    c = table(spark, sf, "customer").select(F.col("c_name").alias("name"), F.col("c_nationkey").alias("nation"), F.col("c_mktsegment").alias("segment"))
+    return consolidating.stacked(c, table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_name").alias("name")))
+
+
+@_query("""SELECT doc_id, CASE WHEN l.quality IS NULL THEN NULL ELSE l.quality = 1 END AS agrees, CASE WHEN l.quality IS NULL THEN 'no match' ELSE '' END AS note
+  FROM documents LEFT JOIN labels l USING (doc_id)""")
+def left_outer_nullable_flag(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return d.select("doc_id", (F.col("quality") == 1).alias("agrees"), F.when(F.col("quality").isNull(), "no match").otherwise("").alias("note"))
+
+
+@_query("""SELECT o_orderkey, array_to_string(list_filter(v, lambda x, i: list_position(v, x) = i), ' | ') AS flags FROM (
+  SELECT o_orderkey, list(l_returnflag || '/' || l_linestatus ORDER BY l_linenumber, l_partkey, l_suppkey, l_shipdate) AS v FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY 1)""")
+def flatten_nested(spark, sf):
+    o, line = table(spark, sf, "orders"), table(spark, sf, "lineitem")
+    rows = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", F.concat_ws("/", "l_returnflag", "l_linestatus").alias("v"))))
+    nested = o.join(line, o["o_orderkey"] == line["l_orderkey"]).groupBy("o_orderkey").agg(rows.alias("lines"))
+    return nested.select("o_orderkey", text.joined_distinct(F.transform("lines", lambda s: s["v"])).alias("flags"))
+
+
+@_query("""SELECT c_custkey, '+506' || national AS e164, CASE WHEN national[1] IN ('5','6','7','8') THEN 'mobile' ELSE 'landline' END AS line_type FROM (
+  SELECT c_custkey, CAST(c_custkey % 10 AS VARCHAR) || lpad(CAST(c_custkey AS VARCHAR), 7, '0') AS national FROM customer) WHERE national[1] IN ('2','4','5','6','7','8')""")
+def phone_normalize(spark, sf):
+    raw = F.concat(F.lit("506 "), (F.col("c_custkey") % 10).cast("string"), F.lpad(F.col("c_custkey").cast("string"), 7, "0"))
+    return table(spark, sf, "customer").select("c_custkey", contacts.phone_parts(raw, "CR").alias("p")).where("p IS NOT NULL").select("c_custkey", "p.e164", "p.line_type")
+
+
+@_query("""SELECT user_id AS k, event_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r FROM events
+  WHERE ts > (SELECT max(ts) FROM events) - INTERVAL 7 DAY) WHERE r = 1""")
+def fresh_snapshot(spark, sf):
+    e = table(spark, sf, "events").select(F.col("user_id").cast("string").alias("url"), "user_id", "event_id", "ts", F.struct("ts", "event_id").alias("at"))
+    newest = e.agg(F.max("ts").alias("now"))
+    fresh = e.join(F.broadcast(newest)).where(F.col("ts") > F.col("now") - F.expr("INTERVAL 7 DAYS"))
+    return ranking.top_per_key(fresh, ["user_id"], [F.desc("ts"), F.desc("event_id")]).select(F.col("user_id").alias("k"), "event_id", "ts")
+
+
+@_query("""SELECT page_id, CASE WHEN lower(url) LIKE '%spam%' THEN -1.0 ELSE CASE WHEN contains(lower(strip_accents(html)), 'license') THEN 2.0 ELSE 0.0 END
+  + CASE WHEN lower(url) LIKE '%blog.%' THEN 1.0 ELSE 0.0 END + CASE WHEN lower(url) LIKE '%/en/%' THEN 0.5 ELSE 0.0 END END::DOUBLE AS rank FROM pages""")
+def hit_rank(spark, sf):
+    return table(spark, sf, "pages").select("page_id", scores.hit_rank(F.col("url"), F.col("html"), F.lit("license"), ("spam",), ("blog.",), "/en/").alias("rank"))
+
+
+@_query("SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2")
+def hourly_counts(spark, sf):
+    w = table(spark, sf, "events").groupBy(F.window("ts", "1 hour"), "event_type").agg(F.count(F.lit(1)).alias("n"))
+    return w.select(F.col("window.start").alias("start"), "event_type", "n")
+
+
+@_query("SELECT DISTINCT user_id, event_type FROM events")
+def incremental_dedupe(spark, sf):
+    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp()
+    out = f"{base.rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    path = f"{sf}/events.parquet"
+    schema = spark.read.parquet(path).schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if _is_folder(spark, path) else f"{sf}/events*.parquet")
+    incremental.drain(incremental.seen_once(stream.select("user_id", "event_type"), ["user_id", "event_type"]), f"{out}/rows", f"{out}/cursor")
+    return spark.read.parquet(f"{out}/rows").select("user_id", "event_type")
+
+
+def _is_folder(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+@_query()
+def fuzzy_pairs(spark, sf):
+    ship(spark)
+    names = table(spark, sf, "part").select("p_name").distinct().select("p_name", text.tokens("p_name").alias("t"))
+    other = names.withColumnsRenamed({"p_name": "q_name", "t": "u"})
+    pairs = matching.shared_tokens(names, other, "p_name", "q_name", "t", "u", 1).where("p_name < q_name")
+    score = ratio.scorer("token_sort")
+    return pairs.select("p_name", "q_name", score("p_name", "q_name").alias("score"))
+
+
+@_query()
+def leader_dedupe(spark, sf):
+    p = table(spark, sf, "part").select("p_brand", "p_type", "p_partkey", text.name_key(F.concat_ws(" ", "p_name"), 3).alias("words"), F.concat(F.lit("s"), (F.col("p_partkey") % 3).cast("string")).alias("origin"), F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise("").alias("size"))
+    return matching.leader_dedupe(p, ["p_brand", "p_type"], "words", ["origin", "p_partkey"], "origin", ["size"], "p_brand string, p_type string, p_partkey long, words array<string>, origin string, size string")
+
+
+@_query()
+def profile_pages(spark, sf):
+    ship(spark)
+    return table(spark, sf, "pages").select("page_id", pages.profile()(F.col("html")).alias("p")).select("page_id", "p.*")
+
+
+@_query()
+def snapshot_hosts(spark, sf):
+    p = table(spark, sf, "pages").select("url", "html", F.timestamp_seconds(F.col("page_id") * 3600).alias("fetched"))
+    return files.fresh_snapshots(p, "url", "fetched", F.timestamp_seconds(F.lit(250 * 3600)), 7).select("url_key", "url", "fetched")
