@@ -190,11 +190,12 @@ def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col:
             ok = [jaccard_of(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
             yield b.filter(pa.array(ok, pa.bool_())).select(["u", "v"])
 
-    sets = nodes.select("node", "payload")
-    left = scratch.save(links.join(sets.withColumnsRenamed({"node": "u", "payload": "a"}), "u"), "left")
-    pairs = left.join(sets.withColumnsRenamed({"node": "v", "payload": "b"}), "v").select("u", "v", "a", "b")
+    linked = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
+    sets = scratch.save(nodes.select("node", "payload").join(linked.hint("merge"), "node", "left_semi"), "sets")  # the sets are shuffled once
+    left = scratch.save(links.join(sets.withColumnsRenamed({"node": "u", "payload": "a"}).hint("merge"), "u"), "left")
+    pairs = left.join(sets.withColumnsRenamed({"node": "v", "payload": "b"}).hint("merge"), "v").select("u", "v", "a", "b")
     links = scratch.save(pairs.mapInArrow(verify, "u long, v long"), "links")
-    scratch.drop("candidates", "left")
+    scratch.drop("candidates", "left", "sets")
     roots = scratch.save(connected_components(links, scratch), "roots")
     named = scratch.save(nodes.select("node", "h1", "h2", "first", "times"), "named")
     rooted = scratch.save(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
