@@ -125,7 +125,7 @@ class Landmarks:
 class Reader:
     """Margins of words, remembered up to a limit."""
 
-    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 700_000):
+    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 350_000):
         self.landmarks, self.weight, self.bias, self.limit = landmarks, weight, bias, limit
         self.memo: dict[str, float] = {}
 
