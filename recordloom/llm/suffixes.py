@@ -1,8 +1,8 @@
 """Exact removal of repeated byte strings by suffix sorting.
 
 Every window of ``length`` bytes is keyed by the smallest hash of the short strings in it.  Equal windows have equal
-keys, and neighbouring windows mostly share one, so a document becomes few runs of windows.  Keys that occur once in the
-corpus hold no repeat and are left out.  Runs of equal bytes are collapsed and counted.  The distinct runs of each other
+keys, and neighbouring windows mostly share one, so a document becomes few runs of windows.  Keys whose short string occurs
+once in the corpus hold no repeat and are left out.  Runs of equal bytes are collapsed and counted.  The distinct runs of each other
 key are suffix-sorted together in two stages: only suffixes smaller than their successors are sorted directly, the others
 are induced by one scan over the buckets of first bytes.  Windows that agree with a neighbour in the sorted order in all
 their bytes are repeated.  A key with very many distinct runs, such as one in a passage that a third of all documents
@@ -56,23 +56,30 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(29))
 
 
-def window_keys(data: np.ndarray, length: int, gram: int) -> np.ndarray:
-    """The smallest hash of a gram in each window."""
-    m, width, size = _mixed(_rolling(data, gram, 0x100000001B3)), length - gram + 1, 1
-    while size * 2 <= width and len(m) > size:
-        m = np.minimum(m[:-size], m[size:])
+def _slide(x: np.ndarray, width: int, best) -> np.ndarray:
+    """Minima or maxima of each ``width`` values in a row."""
+    size = 1
+    while size * 2 <= width and len(x) > size:
+        x = best(x[:-size], x[size:])
         size *= 2
-    if (rest := width - size) and len(m) > rest:
-        m = np.minimum(m[:-rest], m[rest:])
-    return m[: max(0, len(data) - length + 1)]
+    if (rest := width - size) and len(x) > rest:
+        x = best(x[:-rest], x[rest:])
+    return x
+
+
+def window_keys(grams: np.ndarray, width: int) -> np.ndarray:
+    """The smallest hash of the ``width`` grams in each window."""
+    return _slide(grams, width, np.minimum)[: max(0, len(grams) - width + 1)]
 
 
 def runs(data: bytes, bounds: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """(document, first window, windows, key, hash of the bytes) of the runs of the documents that ``bounds`` delimit."""
-    keys = window_keys(np.frombuffer(data, np.uint8), length, gram)
+    """(document, first window, windows, key, times, hash of the bytes) of the runs of the documents that ``bounds``
+    delimit; times says how often the key's gram stands in the run, and windows of a run can be equal only if twice."""
+    grams, width = _mixed(_rolling(np.frombuffer(data, np.uint8), gram, 0x100000001B3)), length - gram + 1
+    keys = window_keys(grams, width)
     n = len(keys)
     if not n:
-        return tuple(np.empty(0, np.int64) for _ in range(5))
+        return tuple(np.empty(0, np.int64) for _ in range(6))
     doc = np.searchsorted(bounds, np.arange(n), "right") - 1
     inside = np.arange(n) + length <= bounds[doc + 1]
     new = np.r_[True, (keys[1:] != keys[:-1]) | (doc[1:] != doc[:-1]) | (inside[1:] != inside[:-1])]
@@ -84,9 +91,15 @@ def runs(data: bytes, bounds: np.ndarray, length: int, gram: int) -> tuple[np.nd
         size = np.diff(np.append(start, n))
     keep = inside[start]
     start, size = start[keep], size[keep]
+    around = np.concatenate([np.zeros(width - 1, np.uint64), keys, np.zeros(width - 1, np.uint64)])
+    chosen = np.flatnonzero(grams == _slide(around, width, np.maximum)[: len(grams)])  # the smallest of some window
+    lo, hi = np.searchsorted(chosen, start), np.searchsorted(chosen, start + size + width - 1)
+    owner = np.repeat(np.arange(len(start)), hi - lo)
+    at = chosen[np.arange(len(owner)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + np.repeat(lo, hi - lo)]
+    times = np.bincount(owner, grams[at] == keys[start][owner], minlength=len(start)).astype(np.int64)
     view = memoryview(data)
     seg = np.fromiter((xxhash.xxh3_64_intdigest(view[s : s + z + length - 1]) for s, z in zip(start.tolist(), size.tolist())), np.uint64, len(start))
-    return doc[start], start - bounds[doc[start]], size, keys[start], seg
+    return doc[start], start - bounds[doc[start]], size, keys[start], times, seg
 
 
 def _ranks(x: np.ndarray) -> np.ndarray:
@@ -225,16 +238,16 @@ def remove_repeats(docs: DataFrame, length: int = 200, gram: int | None = None,
                 for part in range(lo, max(lo + 1, hi - length + 1), 4 * SLICE):  # more than one for a single very long text
                     stop = min(hi, part + 4 * SLICE + length - 1)
                     rel = bounds[s : e + 1] - part if e > s + 1 else np.array([0, stop - part])
-                    doc, at, n, key, seg = runs(data[part:stop], rel, length, gram)
+                    doc, at, n, key, times, seg = runs(data[part:stop], rel, length, gram)
                     at = at + (part - lo if e == s + 1 else 0)
                     which = pa.array(doc + s)
-                    yield pa.RecordBatch.from_arrays([b.column(0).take(which), b.column(1).take(which), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(seg.view(np.int64))], ["doc_id", "th", "s", "n", "key", "seg"])
+                    yield pa.RecordBatch.from_arrays([b.column(0).take(which), b.column(1).take(which), pa.array(at.astype(np.int32)), pa.array(n.astype(np.int32)), pa.array(times.astype(np.int32)), pa.array(key.view(np.int64)), pa.array(seg.view(np.int64))], ["doc_id", "th", "s", "n", "grams", "key", "seg"])
                 s = e
 
-    table = scratch.save(long.mapInArrow(keyed, f"doc_id {kind}, th long, s int, n int, key long, seg long"), "runs")
-    keys = table.groupBy("key").agg(F.count(F.lit(1)).alias("times"), (F.min("seg") != F.max("seg")).alias("several")).where("times > 1")
+    table = scratch.save(long.mapInArrow(keyed, f"doc_id {kind}, th long, s int, n int, grams int, key long, seg long"), "runs")
+    keys = table.groupBy("key").agg(F.sum("grams").alias("times"), ((F.min("seg") != F.max("seg")) | (F.max("grams") > 1)).alias("several")).where("times > 1")
     keys = scratch.save(keys.select("key", "several"), "keys")
-    shared = scratch.save(table.join(keys, "key"), "shared")
+    shared = scratch.save(table.drop("grams").join(keys, "key"), "shared")
     scratch.drop("runs", "keys")
 
     distinct = shared.where("several").groupBy("key", "seg").agg(F.count(F.lit(1)).alias("times"), F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "th", "s", "n")).alias("at"))
