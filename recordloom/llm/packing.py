@@ -53,12 +53,13 @@ class Plan:
     sequence, offset in the sequence), sorted."""
 
     def __init__(self, histogram: dict[int, int], capacity: int, max_documents: int, max_attention: int,
-                 weights: tuple[float, float, float] = (1.0, 0.05, 0.05), rule: str = "norm"):
+                 weights: tuple[float, float, float] = (1.0, 0.2, 0.2), rule: str = "norm"):
         full = np.array([capacity, max_documents, max_attention], float)
         room = np.zeros((1024, 3))  # residual tokens, documents, attention cost of a group of equal bins
         first, bins = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
         used, self.sequences, steps = 0, 0, []
-        w = np.asarray(weights) / full**2
+        bind = np.array([True, max_documents < capacity, max_attention < capacity**2])  # the others follow from the tokens
+        w = np.asarray(weights) * bind / full**2
 
         def group(sequence: int, n: int, left: np.ndarray) -> None:
             nonlocal room, first, bins, used

@@ -192,7 +192,8 @@ class Model:
         seen: set[int] = set()
         out = []
         for text, label in sample:
-            sketch = sorted({xxhash.xxh64_intdigest(w) for w in text.lower().split() if len(w) > 4})[:8]
+            words = text.lower().split()
+            sketch = sorted({xxhash.xxh64_intdigest(" ".join(t)) for t in zip(words, words[1:], words[2:])})[:8]
             if len(sketch) < 8 or sum(h in seen for h in sketch) < 4:
                 out.append((text, label))
             if len(sketch) == 8:
@@ -211,6 +212,7 @@ class Model:
         return chosen
 
     def _fit(self, texts: list, y: np.ndarray, chosen: list[str], held: tuple[Counter, Counter], c: float) -> None:
+        signs = len(chosen)
         clean = [w for w, n in held[0].items() if n >= 2 and not held[1][w]][:60_000]
         if clean:
             near = Landmarks(chosen).kernel(clean).max(axis=1)
@@ -222,7 +224,7 @@ class Model:
         sentences = [(label, [words_of(part) for part in _SENTENCE.split(text)]) for text, label in texts]
         names = sorted({w for _, ss in sentences for s in ss for w in s})
         rows = word_rows(landmarks, names)
-        cue = dict(zip(names, rows[:, : len(chosen) * 2 // 3].max(axis=1).tolist()))
+        cue = dict(zip(names, rows[:, :signs].max(axis=1).tolist()))
         number = {w: i for i, w in enumerate(names)}
         half = np.arange(len(texts)) % 4 != 3
         toxic, harmless = [], Counter()
