@@ -11,6 +11,9 @@ ROLES = {
     "phone": ("telefono", "teléfono", "phone"), "comment": ("comentario", "comment"), "assigned": ("asignado", "assigned"),
 }
 
+_CONTROLS = [b for b in range(0x80, 0xA0) if bytes([b]).decode("cp1252", "ignore")]
+_WINDOWS = ("".join(map(chr, _CONTROLS)), bytes(_CONTROLS).decode("cp1252"))
+
 
 def read_delimited(spark: SparkSession, path: str, sep: str = ",", encodings: tuple[str, ...] = ("utf-8",), columns: list[str] | None = None) -> DataFrame:
     """All-string rows, nulls as empty strings; the first encoding that decodes without replacement characters is used.
@@ -18,7 +21,10 @@ def read_delimited(spark: SparkSession, path: str, sep: str = ",", encodings: tu
     ``columns`` renames the leading columns by position, whatever the header says."""
     df = None
     for encoding in encodings:
-        df = spark.read.option("sep", sep).option("header", True).option("encoding", encoding).option("multiLine", True).option("escape", '"').csv(path)
+        windows = encoding.lower() in ("cp1252", "windows-1252")  # read as Latin-1, then put right
+        df = spark.read.option("sep", sep).option("header", True).option("encoding", "iso-8859-1" if windows else encoding).option("multiLine", True).option("escape", '"').csv(path)
+        if windows:
+            df = df.select(*[F.translate(f"`{c}`", *_WINDOWS).alias(c) for c in df.columns])
         if not df.columns or df.where(F.concat_ws("", *[F.col(f"`{c}`") for c in df.columns]).contains("�")).limit(1).count() == 0:
             break
     if columns:
