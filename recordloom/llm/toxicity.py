@@ -27,7 +27,7 @@ from .learning import calibrate, dual_coordinate_descent, labelled_sample, proba
 
 #: Weight of one more character spanned; characters of a word compared at a time; kernel values under which words count
 #: as unlike; labelled documents of label 1 and 0 that the model is fitted on.
-DECAY, LONGEST, NEAR, SAMPLE = 0.75, 24, 0.4, (2500, 4000)
+DECAY, LONGEST, NEAR, SAMPLE = 0.75, 24, 0.4, (2000, 3000)
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SINGLES = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -123,25 +123,31 @@ class Landmarks:
 
 
 class Reader:
-    """Margins of words, remembered up to a limit."""
+    """Margins of words; the most recent ``limit`` to twice as many are remembered."""
 
-    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 350_000):
+    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 250_000):
         self.landmarks, self.weight, self.bias, self.limit = landmarks, weight, bias, limit
         self.memo: dict[str, float] = {}
+        self.older: dict[str, float] = {}
 
     def learn(self, words: set[str]) -> None:
+        """Make sure that the words' margins are in the memo; the memo before the last turn is looked up first."""
+        if len(self.memo) > self.limit:
+            self.memo, self.older = {}, self.memo
         new = words.difference(self.memo)
-        if len(self.memo) + len(new) > self.limit:
-            self.memo.clear()
-            new = words
-        rows = word_rows(self.landmarks, new := sorted(new))
-        self.memo.update(zip(new, (rows @ self.weight + self.bias).tolist()))
+        for w in new & self.older.keys():
+            self.memo[w] = self.older[w]
+        new = sorted(new.difference(self.memo))
+        rows = word_rows(self.landmarks, new)
+        margins = np.full(len(new), self.bias)
+        near = np.flatnonzero(rows.any(axis=1))
+        margins[near] = rows[near] @ self.weight + self.bias
+        self.memo.update(zip(new, margins.tolist()))
 
     def margins(self, texts: list[str]) -> list[float]:
         """The margin of each text: that of its most toxic word, hence of its most toxic sentence."""
         held = [words_of(t) for t in texts]
-        if new := set().union(*held).difference(self.memo):
-            self.learn(set().union(*held) if len(self.memo) + len(new) > self.limit else new)
+        self.learn(set().union(*held))
         get = self.memo.__getitem__
         return [max(self.bias, max(map(get, w), default=self.bias)) for w in held]
 
@@ -221,27 +227,32 @@ class Model:
         gram = landmarks.kernel(chosen).astype(float)
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
         white = vectors * (np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-        sentences = [(label, [words_of(part) for part in _SENTENCE.split(text)]) for text, label in texts]
-        names = sorted({w for _, ss in sentences for s in ss for w in s})
-        rows = word_rows(landmarks, names)
-        cue = dict(zip(names, rows[:, :signs].max(axis=1).tolist()))
-        number = {w: i for i, w in enumerate(names)}
+        number, kept = {}, [np.zeros((0, len(landmarks)), np.float32)]  # of words near a landmark; all others are alike
+        names = sorted(set().union(*(words_of(text) for text, _ in texts)))
+        for k in range(0, len(names), 20_000):
+            part = word_rows(landmarks, names[k : k + 20_000])
+            near, base = np.flatnonzero(part.any(axis=1)), len(number)
+            number.update((names[k + i], base + j) for j, i in enumerate(near.tolist()))
+            kept.append(part[near])
+        rows, other = np.concatenate(kept), len(number)
+        del names, kept
+        cue = np.append(rows[:, :signs].max(axis=1), 0) if len(rows) else np.zeros(1)
+        sentences = [[[number[w] for w in words_of(part) if w in number] for part in _SENTENCE.split(text)] for text, _ in texts]
         half = np.arange(len(texts)) % 4 != 3
-        toxic, harmless = [], Counter()
-        for (label, ss), learn in zip(sentences, half):
+        toxic, harmless = [], Counter({other: 1})
+        for ss, label, learn in zip(sentences, y > 0, half):
             if learn and not label:
-                harmless.update(number[w] for s in ss for w in set(s) if cue[w])
+                harmless.update(i for s in ss for i in set(s) if cue[i])
             elif learn:  # of a toxic document only its clearest sentences are known to be toxic
-                best = max((cue[w] for s in ss for w in s), default=0.0)
-                toxic += [[number[w] for w in s] for s in ss if s and best and max(cue[w] for w in s) >= min(0.8, best)]
+                best = max((cue[i] for s in ss for i in s), default=0.0)
+                toxic += [s for s in ss if s and best and max(cue[s]) >= min(0.8, best)]
         if not toxic:
             return
-        harmless[number.setdefault("", -1)] += 0
-        z = np.vstack([np.hstack([rows @ white, np.ones((len(names), 1))]), np.append(np.zeros(len(chosen)), 1.0)])  # the last: like no landmark
+        z = np.vstack([np.hstack([rows @ white, np.ones((len(rows), 1))]), np.append(np.zeros(len(chosen)), 1.0)])
         score = np.append(rows.max(axis=1), 0)
         columns = np.arange(z.shape[1])
         down = np.array([*harmless], np.int64)
-        times = np.sqrt(np.array([max(1, n) for n in harmless.values()], float))
+        times = np.sqrt(np.array([*harmless.values()], float))
         for _ in range(3):  # a sentence stands for its most toxic word; words and model are found in turn
             witness = Counter(s[int(np.argmax(score[s]))] for s in toxic)
             up = np.array([*witness], np.int64)
@@ -251,7 +262,7 @@ class Model:
             w = dual_coordinate_descent([(columns, z[i]) for i in np.append(up, down)], label, z.shape[1], cost, epochs=40)
             score = z @ w
         self.landmarks, self.weight, self.bias = landmarks, white @ w[:-1], float(w[-1])
-        margin = np.array([max([self.bias, *(float(score[number[w]]) for s in ss for w in s)]) for _, ss in sentences])
+        margin = np.array([max([self.bias, *(float(score[i]) for s in ss for i in s)]) for ss in sentences])
         self.a, self.b = calibrate(margin[~half], y[~half]) if (~half).any() else calibrate(margin, y)
         self.a = max(self.a, 0.0)
 
