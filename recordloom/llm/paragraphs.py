@@ -6,12 +6,17 @@ with a probability of about one in five hundred.  Equal paragraphs are collapsed
 
 Candidates of a band value are linked as a star.  Links are made within each input partition first and only one
 paragraph of a value goes on to the shuffle, so a value that very many paragraphs share lands in no single task.  Each
-link is verified by the exact Jaccard similarity of the shingle sets, and the verified links' components are the classes.
+link is verified by the exact Jaccard similarity of the shingle sets, and the verified links give components.
+
+A star may miss links between paragraphs that are both unlike its centre.  So wherever a link between two components
+failed, the components' paragraphs are looked at again: band values that hold two or more components are compared in
+full, in parts of bounded size, and components that a pair joins become one class.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -19,10 +24,12 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import ship
-from .components import connected_components
+from .components import connected_components, forest
 from .scratch import Scratch, partitions
 
 BANDS, ROWS = 14, 4  # 1 - (1 - 0.8**4)**14 = 0.9994 at a similarity of 0.8
+#: Paragraphs of a band value that are compared in one piece; of more, each two parts of about this size are.
+PART = 400
 _FACTORS = np.random.default_rng(2).integers(1, 2**32, (BANDS * ROWS, 2), dtype=np.uint64)
 
 
@@ -166,6 +173,98 @@ def jaccard_of(a: bytes, b: bytes) -> float:
     return both / max(1, len(x) + len(y) - both)
 
 
+def shared(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of each set of ``a`` with each of ``b``."""
+    both = np.intersect1d(np.concatenate(a), np.concatenate(b))
+    out = np.zeros((len(a), len(b)), np.float32)
+
+    def places(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        values = np.concatenate(sets)
+        row, column = np.repeat(np.arange(len(sets)), [len(x) for x in sets]), np.searchsorted(both, values)
+        ok = both[np.minimum(column, len(both) - 1)] == values
+        return row[ok], column[ok]
+
+    if len(both):
+        (row_a, at_a), (row_b, at_b) = places(a), places(b)
+        for k in range(0, len(both), 4096):
+            x, y = (np.zeros((len(s), min(4096, len(both) - k)), np.float32) for s in (a, b))
+            for m, row, at in ((x, row_a, at_a), (y, row_b, at_b)):
+                here = (at >= k) & (at < k + 4096)
+                m[row[here], at[here] - k] = 1
+            out += x @ y.T
+    return out
+
+
+def joined(sets: list[bytes], root: np.ndarray, similarity: float, step: int = 128) -> tuple[np.ndarray, np.ndarray]:
+    """A spanning forest of the links between roots: pairs of sets of different roots that are similar enough."""
+    x = [np.unique(np.frombuffer(p, "<u4")) for p in sets]
+    size = np.array([len(s) for s in x])
+    names, r = np.unique(root, return_inverse=True)
+    now = np.arange(len(names))
+    for i in range(0, len(x), step):
+        for j in range(i, len(x), step):
+            p, q = slice(i, i + step), slice(j, j + step)
+            apart = now[r[p]][:, None] != now[r[q]][None, :]
+            if not apart.any():
+                continue
+            both = shared(x[p], x[q]).astype(np.int64)
+            u, v = np.nonzero(apart & (both / np.maximum(1, size[p][:, None] + size[q][None, :] - both) >= similarity))
+            if len(u):
+                at = np.flatnonzero(now != np.arange(len(now)))
+                now = forest(len(names), np.append(at, r[p][u]), np.append(now[at], r[q][v]))
+    at = np.flatnonzero(now != np.arange(len(now)))
+    return names[at], names[now[at]]
+
+
+def missed_links(links: DataFrame, roots: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(u, v) links between roots that the stars missed.
+
+    ``links`` has u, v and ok, ``roots`` node and root, ``sets`` node and payload.  Two similar paragraphs of one band
+    value are joined by a path of star links; if their roots differ, some link on it failed between either root and
+    another, so only roots with such links are looked at."""
+    spark = sets.sparkSession
+    cells = 4 * partitions(spark)
+
+    def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            payload = b.column(2).to_pylist()
+            for k in range(0, len(payload), 2000):
+                some = payload[k : k + 2000]
+                starts = np.cumsum([0, *(len(x) // 4 for x in some)])[:-1]
+                value = signatures(np.frombuffer(b"".join(some), "<u4").astype(np.uint64), starts).view(np.int64).ravel()
+                node, root = (np.repeat(c.to_numpy()[k : k + 2000], BANDS) for c in b.columns[:2])
+                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(node), pa.array(root)], ["value", "node", "root"])
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, rows = [], (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for _, group in groupby(rows, key=lambda row: row[:3]):  # one group at a time is held
+            *_, root, payload = zip(*group)
+            found += zip(*(x.tolist() for x in joined(list(payload), np.array(root), similarity)))
+            if len(found) > 5000:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+                found = []
+        if found:
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*found)], ["u", "v"])
+
+    failed = links.where("not ok").select("u", "v")
+    for end in ("u", "v"):
+        failed = failed.join(roots.withColumnsRenamed({"node": end, "root": f"root_{end}"}), end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
+    doubtful = scratch.save(failed.where("root_u <> root_v").select(F.explode(F.array("root_u", "root_v")).alias("root")).distinct(), "doubtful")
+    rooted = sets.join(roots.hint("merge"), "node", "left").withColumn("root", F.coalesce("root", "node"))
+    again = scratch.save(rooted.join(doubtful, "root", "left_semi").select("node", "root", "payload"), "again")
+    values = scratch.save(again.mapInArrow(entries, "value long, node long, root long"), "values")
+    mixed = values.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count(F.lit(1)).alias("n")).where("lo < hi")
+    members = values.join(scratch.save(mixed.select("value", F.ceil(F.col("n") / PART).cast("int").alias("parts")), "mixed"), "value")
+    mine = F.pmod(F.xxhash64("node"), "parts").cast("int")
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda k: (k != F.col("mine")) | (F.col("parts") == 1)))
+    dealt = members.withColumn("mine", mine).withColumn("other", other).select("value", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "node")
+    filled = scratch.save(dealt, "dealt").join(again.hint("merge"), "node").select("value", "i", "j", "root", "payload")
+    filled = filled.repartition(cells, "value", "i", "j").sortWithinPartitions("value", "i", "j")
+    found = scratch.save(filled.mapInArrow(compare, "u long, v long").distinct(), "missed")
+    scratch.drop("doubtful", "again", "values", "mixed", "dealt")
+    return found
+
+
 def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, min_words: int = 20) -> DataFrame:
     """(id, tid, line, n_words, class_id, keeper, kept) of every paragraph that has a near duplicate.
 
@@ -188,20 +287,26 @@ def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col:
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ok = [jaccard_of(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield b.filter(pa.array(ok, pa.bool_())).select(["u", "v"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
 
     linked = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = scratch.save(nodes.select("node", "payload").join(linked.hint("merge"), "node", "left_semi"), "sets")  # the sets are shuffled once
     left = scratch.save(links.join(sets.withColumnsRenamed({"node": "u", "payload": "a"}).hint("merge"), "u"), "left")
     pairs = left.join(sets.withColumnsRenamed({"node": "v", "payload": "b"}).hint("merge"), "v").select("u", "v", "a", "b")
-    links = scratch.save(pairs.mapInArrow(verify, "u long, v long"), "links")
-    scratch.drop("candidates", "left", "sets")
-    roots = scratch.save(connected_components(links, scratch), "roots")
+    links = scratch.save(pairs.mapInArrow(verify, "u long, v long, ok boolean"), "links")
+    del left, pairs
+    scratch.drop("candidates", "left")
+    first = scratch.save(connected_components(links.where("ok"), scratch), "first")
+    whole = scratch.save(connected_components(missed_links(links, first, sets, scratch, similarity), scratch), "whole")
+    scratch.drop("sets", "missed", "links")
+    moved = first.join(whole.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    alone = whole.join(first, "node", "left_anti")  # roots that no verified star link touched
+    roots = scratch.save(moved.unionByName(alone), "roots")
     named = scratch.save(nodes.select("node", "h1", "h2", "first", "times"), "named")
     rooted = scratch.save(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     classes = scratch.save(rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("times").alias("size")).where("size > 1"), "classes")
     classed = scratch.save(rooted.select("root", "h1", "h2").join(classes, "root").select("h1", "h2", F.col("root").alias("class_id"), "keeper"), "classed")
-    scratch.drop("nodes", "named", "rooted", "roots", "links", "classes")
+    scratch.drop("nodes", "named", "rooted", "roots", "first", "whole", "classes")
     found = rows.join(classed, ["h1", "h2"]).select("id", "tid", "line", "n_words", "class_id", "keeper")
     return found.withColumn("kept", at.eqNullSafe(F.col("keeper")))
 

@@ -158,6 +158,21 @@ def test_paragraphs_are_brute_force(spark):
     assert paragraphs.near_duplicate_paragraphs(df.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("part", [400, 7])
+def test_no_link_between_unlike_centres_is_lost(spark, monkeypatch, part):
+    monkeypatch.setattr(paragraphs, "PART", part)
+    base, rows = [f"w{i}" for i in range(88)], []
+    for i, k in enumerate(rng.choice([10, 12, 14, 30, 32, 50, 53, 56, 70, 72], 80)):  # only changes near each other leave 0.8
+        rows.append((i, " ".join(base[:k] + [f"c{i}"] + base[k + 1 :])))
+    sets = [{tuple(t.split()[j : j + 5]) for j in range(84)} for _, t in rows]
+    a, b = np.nonzero([[len(x & y) / len(x | y) >= 0.8 for y in sets] for x in sets])
+    root = forest(len(rows), a, b)
+    size = collections.Counter(root.tolist())
+    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    got = {r["id"]: r["keeper"]["id"] for r in found}
+    assert got == {i: int(root[i]) for i in range(len(rows)) if size[root[i]] > 1} and len(set(got.values())) > 1
+
+
 def test_paragraphs_leave_one(spark):
     p = words(60, 3000)
     rows = [(1, f"alpha\n{p}", 0), (2, p, 0), (3, f"{p}\nbeta", 0), (4, "", 0), (5, None, 0), (6, words(50, 3000), 0)]
