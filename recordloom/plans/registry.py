@@ -514,4 +514,5 @@ def profile_pages(spark, sf):
 @_query()
 def snapshot_hosts(spark, sf):
     p = table(spark, sf, "pages").select("url", "html", F.timestamp_seconds(F.col("page_id") * 3600).alias("fetched"))
-    return files.fresh_snapshots(p, "url", "fetched", F.timestamp_seconds(F.lit(250 * 3600)), 7).select("url_key", "url", "fetched")
+    newest = p.agg(F.max("fetched")).first()[0]  # a fixed date would leave small tables empty
+    return files.fresh_snapshots(p, "url", "fetched", F.lit(newest).cast("timestamp"), 7).select("url_key", "url", "fetched")
