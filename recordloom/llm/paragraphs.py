@@ -265,7 +265,7 @@ def missed_links(links: DataFrame, roots: DataFrame, sets: DataFrame, scratch: S
     return found
 
 
-def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, min_words: int = 20) -> DataFrame:
+def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, min_words: int = 5) -> DataFrame:
     """(id, tid, line, n_words, class_id, keeper, kept) of every paragraph that has a near duplicate.
 
     Paragraphs are lines of at least ``min_words`` words.  Two are linked if their sets of ``shingle`` words in a row,

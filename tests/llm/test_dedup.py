@@ -179,3 +179,11 @@ def test_paragraphs_leave_one(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in paragraphs.drop_repeated_paragraphs(df).collect()}
     assert got == {1: (rows[0][1], 0), 3: ("beta", 4), 4: ("", 0), 5: (None, 0), 6: (rows[5][1], 0)}
+
+
+def test_lines_down_to_one_shingle_are_paragraphs(spark):
+    nine, twelve = [f"n{i}" for i in range(9)], [f"t{i}" for i in range(19)]
+    lines = [" ".join(nine), "five words and no more", " ".join(twelve), "only four words here"]
+    rows = [(1, "\n".join(lines)), (2, "\n".join([lines[0].upper(), lines[1], " ".join(twelve[1:]), lines[3]])), (3, "alpha " + lines[0])]
+    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["line"]): (r["keeper"]["id"], r["keeper"]["line"]) for r in found} == {(i, k): (1, k) for k in (0, 1, 2) for i in (1, 2)} | {(3, 0): (1, 0)}
