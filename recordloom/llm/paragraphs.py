@@ -265,6 +265,30 @@ def missed_links(links: DataFrame, roots: DataFrame, sets: DataFrame, scratch: S
     return found
 
 
+def settled_roots(links: DataFrame, sets: DataFrame, scratch: Scratch, similarity: float) -> DataFrame:
+    """(node, root) of what candidate ``links`` (u, v) connect, once verified by the sets' exact Jaccard similarity, and
+    what they missed."""
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ok = [jaccard_of(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
+
+    left = scratch.save(links.join(sets.withColumnsRenamed({"node": "u", "payload": "a"}).hint("merge"), "u"), "left")
+    pairs = left.join(sets.withColumnsRenamed({"node": "v", "payload": "b"}).hint("merge"), "v").select("u", "v", "a", "b")
+    judged = scratch.save(pairs.mapInArrow(verify, "u long, v long, ok boolean"), "judged")
+    del left, pairs
+    scratch.drop("left")
+    first = scratch.save(connected_components(judged.where("ok"), scratch), "first")
+    whole = scratch.save(connected_components(missed_links(judged, first, sets, scratch, similarity), scratch), "whole")
+    scratch.drop("missed", "judged")
+    moved = first.join(whole.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    alone = whole.join(first, "node", "left_anti")  # roots that no verified link touched
+    settled = scratch.save(moved.unionByName(alone), "settled")
+    scratch.drop("first", "whole")
+    return settled
+
+
 def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, min_words: int = 5) -> DataFrame:
     """(id, tid, line, n_words, class_id, keeper, kept) of every paragraph that has a near duplicate.
 
@@ -283,30 +307,15 @@ def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col:
     del table
     scratch.drop()
     links = scratch.save(candidate_links(nodes), "candidates")
-
-    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = [jaccard_of(x, y) >= similarity for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ok, pa.bool_())], ["u", "v", "ok"])
-
     linked = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
     sets = scratch.save(nodes.select("node", "payload").join(linked.hint("merge"), "node", "left_semi"), "sets")  # the sets are shuffled once
-    left = scratch.save(links.join(sets.withColumnsRenamed({"node": "u", "payload": "a"}).hint("merge"), "u"), "left")
-    pairs = left.join(sets.withColumnsRenamed({"node": "v", "payload": "b"}).hint("merge"), "v").select("u", "v", "a", "b")
-    links = scratch.save(pairs.mapInArrow(verify, "u long, v long, ok boolean"), "links")
-    del left, pairs
-    scratch.drop("candidates", "left")
-    first = scratch.save(connected_components(links.where("ok"), scratch), "first")
-    whole = scratch.save(connected_components(missed_links(links, first, sets, scratch, similarity), scratch), "whole")
-    scratch.drop("sets", "missed", "links")
-    moved = first.join(whole.select(F.col("node").alias("root"), F.col("root").alias("to")), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
-    alone = whole.join(first, "node", "left_anti")  # roots that no verified star link touched
-    roots = scratch.save(moved.unionByName(alone), "roots")
+    roots = settled_roots(links, sets, scratch, similarity)
+    scratch.drop("candidates", "sets")
     named = scratch.save(nodes.select("node", "h1", "h2", "first", "times"), "named")
     rooted = scratch.save(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     classes = scratch.save(rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("times").alias("size")).where("size > 1"), "classes")
     classed = scratch.save(rooted.select("root", "h1", "h2").join(classes, "root").select("h1", "h2", F.col("root").alias("class_id"), "keeper"), "classed")
-    scratch.drop("nodes", "named", "rooted", "roots", "first", "whole", "classes")
+    scratch.drop("nodes", "named", "rooted", "settled", "classes")
     found = rows.join(classed, ["h1", "h2"]).select("id", "tid", "line", "n_words", "class_id", "keeper")
     return found.withColumn("kept", at.eqNullSafe(F.col("keeper")))
 

@@ -24,12 +24,15 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import ship
 from .components import connected_components, forest
+from .paragraphs import Words, settled_roots, shingles
 from .scratch import Scratch, partitions
 
 #: Words that one cell may derive at a time.
 CELL_WORDS = 3_000_000
 #: Words of text whose shingles are hashed at a time.
 SLICE_WORDS = 150_000
+#: 64-bit words beside the band that a candidate carries if it is verified by its shingles later.
+BESIDE = 2
 
 _LANES = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(b)) & np.uint64(1)) << np.uint64(8 * b) for b in range(8))
 
@@ -71,8 +74,9 @@ def majority_bits(hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return out.view(np.uint64)[:, 0]
 
 
-def fingerprints(texts: list[bytes], shingle: int, words: int) -> np.ndarray:
-    """SimHash fingerprints of ``words`` 64-bit words each; a text without words has fingerprint zero."""
+def fingerprints(texts: list[bytes], shingle: int, words: int, once: bool = False) -> np.ndarray:
+    """SimHash fingerprints of ``words`` 64-bit words each; a text without words has fingerprint zero.  With ``once``
+    repeats of a shingle do not count."""
     out = np.zeros((len(texts), words), np.uint64)
     held: list[np.ndarray] = []
     owners: list[int] = []
@@ -88,6 +92,7 @@ def fingerprints(texts: list[bytes], shingle: int, words: int) -> np.ndarray:
     size = 0
     for i, text in enumerate(texts):
         if len(h := shingle_hashes(text, shingle)):
+            h = np.unique(h) if once else h
             held.append(h)
             owners.append(i)
             size += len(h)
@@ -98,13 +103,13 @@ def fingerprints(texts: list[bytes], shingle: int, words: int) -> np.ndarray:
     return out
 
 
-def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int) -> DataFrame:
+def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, words: int, once: bool = False) -> DataFrame:
     """(id, tid, fp): tid is a hash of the exact text, fp the fingerprint's words, little-endian."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = [x or b"" for x in b.column(2).to_pylist()]
-            fp = fingerprints(texts, shingle, words)
+            fp = fingerprints(texts, shingle, words, once)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in fp], pa.binary())], ["id", "tid", "fp"])
 
     ship(docs.sparkSession)
@@ -238,18 +243,19 @@ def links(fp: np.ndarray, group: np.ndarray, member: np.ndarray, radius: int) ->
     return at, root[at]
 
 
-def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width: int, radius: int) -> DataFrame:
+def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width: int, radius: int, beside: int = 0) -> DataFrame:
     """(u, v) edges that connect exactly what links of at most ``radius`` bits connect, among the fingerprints that meet.
 
     ``distinct`` has one row per fingerprint: node (long) and fp.  The fingerprint is cut into bands of ``width`` bits,
     each hashed by balls of radius 3.  One band of all bits finds every pair within 3 bits; b bands find every pair
-    within 4b-1 bits, and most beyond."""
+    within 4b-1 bits, and most beyond.  With ``beside`` only so many words next to the band's are sent along, and the radius
+    holds for these.  Edges lead to the smallest node of what is connected in a cell."""
     spark = distinct.sparkSession
     n = max(1, distinct.count())
     bands = words * 64 // width
     per_node = (1 + width + width * (width - 1) // 4)
     prefix = int(np.clip(np.ceil(np.log2(max(1.0, n * per_node / CELL_WORDS))), 1, 16))
-    record = np.dtype([("node", "<i8"), ("fp", "<u8", (words,))])
+    record = np.dtype([("node", "<i8"), ("key", f"<u{width // 8}"), ("fp", "<u8", (beside,))] if beside else [("node", "<i8"), ("fp", "<u8", (words,))])
 
     def bands_of(fp: np.ndarray) -> Iterator[np.ndarray]:
         per_word = 64 // width
@@ -263,17 +269,20 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
                 continue
             rows = np.empty(b.num_rows, record)
             rows["node"] = b.column(0).to_numpy()
-            rows["fp"] = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, words)
-            cells, blobs = [], []
-            for k, keys in enumerate(bands_of(rows["fp"])):
+            fp = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, words)
+            if not beside:
+                rows["fp"] = fp
+            for k, keys in enumerate(bands_of(fp)):
+                if beside:
+                    rows["key"] = keys
+                    rows["fp"] = fp[:, (k * width // 64 + 1 + np.arange(beside)) % words]
                 index, cell = destinations(keys, width, prefix)
                 order = np.argsort(cell, kind="stable")
                 index, cell = index[order], cell[order]
                 cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-                for s, e in zip(cut.tolist(), [*cut[1:].tolist(), len(cell)]):
-                    cells.append((k << prefix) | int(cell[s]))
-                    blobs.append(rows[index[s:e]].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(blobs, pa.binary())], ["cell", "rows"])
+                bounds = [*zip(cut.tolist(), [*cut[1:].tolist(), len(cell)])]
+                cells, blobs = [(k << prefix) | int(cell[s]) for s, _ in bounds], [rows[index[s:e]].tobytes() for s, e in bounds]
+                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(blobs, pa.binary())], ["cell", "rows"])
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -283,7 +292,11 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
         while held:
             c, parts = held.popitem()
             rows = np.frombuffer(b"".join(parts), record)
-            keys = [*bands_of(np.ascontiguousarray(rows["fp"]))][c >> prefix]
+            if beside:
+                rows = rows[np.argsort(rows["node"])]
+                keys = rows["key"].astype(np.uint64)
+            else:
+                keys = [*bands_of(np.ascontiguousarray(rows["fp"]))][c >> prefix]
             group, member = meetings(keys, width, prefix, c & ((1 << prefix) - 1))
             a, b = links(np.ascontiguousarray(rows["fp"]), group, member, radius)
             if len(a):
@@ -295,8 +308,22 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
     return scratch.save(routed.mapInArrow(solve, "u long, v long").distinct(), "links")
 
 
+def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(node, payload): the 32-bit hashes of the shingles of each node's text; ``nodes`` has node, id and tid."""
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Words()
+        for b in batches:
+            sets = [np.unique(shingles(known((x or b"").lower().split()), shingle).astype("<u4")).tobytes() for x in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "payload"])
+
+    texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_tid"), F.col(text_col).cast("binary").alias("_text"))
+    texts = texts.join(nodes, F.col("_id").eqNullSafe(F.col("id")) & (F.col("_tid") == F.col("tid"))).select("node", "_text")
+    return texts.mapInArrow(hashed, "node long, payload binary").groupBy("node").agg(F.first("payload").alias("payload"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, words: int = 1,
-                    width: int = 64, radius: int = 3) -> DataFrame:
+                    width: int = 64, radius: int = 3, similarity: float | None = None) -> DataFrame:
     """(id, tid, fp, component_id, keeper_tid) for every row of ``docs``.
 
     Rows whose fingerprints are at most ``radius`` bits apart are linked; component_id is the smallest id reachable and
@@ -304,22 +331,31 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     1, radius 3) every link counts.  With ``words`` 64-bit words in bands of 32 bits a pair must also meet in a band,
     which is certain within 4 * bands - 1 bits.
 
+    With ``similarity`` fingerprints are of distinct shingles and only propose pairs: those that meet in a band and are at
+    most ``radius`` bits apart in the two words beside it.  A pair is linked if the exact Jaccard similarity of its sets
+    of shingles is at least ``similarity``; texts of one fingerprint count as equal.
+
     A null text counts as empty.  Texts without words have fingerprint zero and are linked like any other.  Equal rows
     and equal ids share a component if their texts do.  A null id is never a component_id unless all ids are null.
     An empty table gives no rows; other columns of ``docs`` are not read.
     """
     scratch = Scratch(docs.sparkSession, "simhash")
-    table = scratch.save(fingerprint_table(docs, id_col, text_col, shingle, words), "rows")
+    table = scratch.save(fingerprint_table(docs, id_col, text_col, shingle, words, similarity is not None), "rows")
     best = F.min(F.struct(F.col("id").isNull().alias("n"), "id", "tid")).alias("best")
     distinct = table.groupBy("fp").agg(best).withColumn("node", F.monotonically_increasing_id())
     distinct = scratch.save(distinct, "distinct")  # the node numbers are fixed from here on
-    roots = connected_components(linked_fingerprints(distinct, scratch, words, width, radius), scratch)
+    found = linked_fingerprints(distinct, scratch, words, width, radius, BESIDE if similarity is not None else 0)
+    if similarity is None:
+        roots = connected_components(found, scratch)
+    else:
+        nodes = found.select(F.explode(F.array("u", "v")).alias("node")).distinct().join(distinct.select("node", "best.id", "best.tid"), "node")
+        roots = settled_roots(found, scratch.save(shingle_sets(docs, nodes, id_col, text_col, shingle), "sets"), scratch, similarity)
     roots = scratch.save(roots.join(distinct.select("node", "best"), "node"), "roots")
     least = scratch.save(roots.groupBy("root").agg(F.min("best").alias("least")), "least")
     moved = scratch.save(roots.select("node", "root").join(least, "root").select("node", "least"), "moved")
     classes = distinct.join(moved, "node", "left").select("fp", F.coalesce("least", "best").alias("least"))
     classes = scratch.save(classes, "classes")
-    scratch.drop("links", "roots", "least", "moved")
+    scratch.drop("links", "sets", "settled", "roots", "least", "moved")
     return table.join(classes, "fp", "left").select("id", "tid", "fp", F.col("least.id").alias("component_id"), F.col("least.tid").alias("keeper_tid"))
 
 

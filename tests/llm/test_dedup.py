@@ -5,6 +5,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from recordloom.llm import paragraphs, simhash, suffixes
 from recordloom.llm.components import connected_components, forest
 from recordloom.llm.scratch import Scratch
@@ -187,3 +188,29 @@ def test_lines_down_to_one_shingle_are_paragraphs(spark):
     rows = [(1, "\n".join(lines)), (2, "\n".join([lines[0].upper(), lines[1], " ".join(twelve[1:]), lines[3]])), (3, "alpha " + lines[0])]
     found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r["id"], r["line"]): (r["keeper"]["id"], r["keeper"]["line"]) for r in found} == {(i, k): (1, k) for k in (0, 1, 2) for i in (1, 2)} | {(3, 0): (1, 0)}
+
+
+def test_documents_are_linked_by_exact_jaccard(spark):
+    own = np.random.default_rng(11)
+    rows, sets = [], []
+    for i in range(160):
+        n = int(own.integers(80, 200))
+        w = [f"v{k}" for k in own.integers(0, 10**6, n)]
+        cut = round((n - 4) * (1 - [0.76, 0.81][i % 2]))
+        line = " ".join(f"r{i}x{k}" for k in range(16))
+        a, b = " ".join(w), " ".join(w[cut:] if i % 4 < 2 else w[: n - cut])
+        if i >= 120:  # unrelated texts with one line that both repeat
+            a, b = (" ".join([f"q{k}" for k in own.integers(0, 10**6, 154)] + [line] * 40) for _ in range(2))
+        rows += [(2 * i, a), (2 * i + 1, b)]
+    for _, t in rows:
+        w = t.split()
+        sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)})
+    alike = [len(sets[2 * i] & sets[2 * i + 1]) >= 0.8 * len(sets[2 * i] | sets[2 * i + 1]) for i in range(160)]
+    assert alike == [i % 2 == 1 and i < 120 for i in range(160)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r["doc_id"] for r in corpus_pipeline.near_duplicates(spark, docs, "").collect()}
+    assert got == {k for k, _ in rows if k % 2 == 0 or not alike[k // 2]}
+    chain = [f"u{k}" for k in range(116)]
+    shifted = [(k, " ".join(chain[8 * k : 8 * k + 100])) for k in range(3)]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(shifted, "doc_id long, text string"), "").collect()
+    assert [r["doc_id"] for r in got] == [0]  # 0 and 2 are linked through 1 only
