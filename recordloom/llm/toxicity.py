@@ -8,14 +8,15 @@ the landmarks' own kernel matrix (Nystroem), and a linear SVM is trained on sent
 standing for its most toxic word.  A text scores as its most toxic sentence; texts without any word near a landmark are
 all alike.
 
-Runs of single characters are read as one word too.  Words are compared once per process and remembered.
+The kernel of a word with letters in several gaps is too small to tell it from others, so words that spell a toxic
+landmark with single letters in between are read as the landmark.  Runs of single characters are read as one word too.  Words are compared once per process and remembered.
 """
 
 from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -96,10 +97,28 @@ class Landmarks:
         self.own = np.maximum(subsequence_kernel(self.codes, self.codes), 1e-12)
         self.signs = _pairs(self.codes)
         self.need = np.maximum(2, np.ceil(0.5 * np.bitwise_count(self.signs).sum(axis=1)))
+        self.gapped: re.Pattern | None = None
 
     def __len__(self) -> int:
         return len(self.words)
 
+    def read_gapped(self, signs: int, clean: Iterable[str]) -> None:
+        """From here on a word that is one of the first ``signs`` landmarks with single letters in two or more of its gaps
+        is read as that landmark, unless it is one of ``clean``.  The kernel alone falls under NEAR there."""
+        self.whole = [w for w in self.words[:signs] if len(w) > 3]
+        self.known: set[str] = set()
+        if self.whole:
+            self.rows = self.kernel(self.whole)
+            self.gapped = re.compile("|".join("(" + ".?".join(map(re.escape, w)) + ")" for w in self.whole))
+            self.known = {w for w in clean if self.without_gaps(w) is not None}
+
+    def without_gaps(self, word: str) -> int | None:
+        """The number in ``whole`` of the landmark that the word spells with gaps."""
+        found = self.gapped.fullmatch(word) if self.gapped else None
+        if found and len(word) - len(self.whole[found.lastindex - 1]) > 1 and word not in self.known:
+            return found.lastindex - 1
+        return None
+
     def kernel(self, words: list[str]) -> np.ndarray:
         out = np.zeros((len(words), len(self.words)), np.float32)
         order = sorted(range(len(words)), key=lambda i: len(words[i]))
@@ -171,6 +190,9 @@ def word_rows(landmarks: Landmarks, words: list[str]) -> np.ndarray:
         values = landmarks.kernel(flat)
         some = np.flatnonzero(values.any(axis=1))
         np.maximum.at(out, owner[some], values[some])
+    for i, w in enumerate(words if landmarks.gapped else ()):
+        if (k := landmarks.without_gaps(w if w.isalpha() else _INNER.sub("", w))) is not None:
+            out[i] = np.maximum(out[i], landmarks.rows[k])
     return out
 
 
@@ -225,6 +247,7 @@ class Model:
             chosen = chosen + [clean[i] for i in np.lexsort((clean, -near))[: len(chosen) // 2] if near[i] > 0]
         landmarks = Landmarks(chosen)
         gram = landmarks.kernel(chosen).astype(float)
+        landmarks.read_gapped(signs, held[0])
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
         white = vectors * (np.maximum(values, 1e-3) ** -0.5) @ vectors.T
         number, kept = {}, [np.zeros((0, len(landmarks)), np.float32)]  # of words near a landmark; all others are alike

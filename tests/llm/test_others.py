@@ -195,3 +195,18 @@ def test_classifiers_hold_out(spark):
         assert docs.select(none(F.col("text")).alias("s")).distinct().count() == 1
         if make is toxicity.toxicity_score:
             assert got[603] >= 0.3 and got[601] < 0.3 and got[602] < 0.3
+
+
+def test_letters_in_several_gaps_are_found():
+    own, syllables = np.random.default_rng(3), ["ka", "to", "mi", "re", "su", "no", "ela", "ir"]
+    word = lambda: "".join(own.choice(syllables, int(own.integers(1, 4))))
+    insults, sample = ["idiot", "trash", "moron", "scumbag"], []
+    for i in range(600):
+        text = [word() for _ in range(40)] + ["thrasph"] * (i % 7 == 1 and i % 5 > 0)
+        sample.append((" ".join(text[:20] + [insults[i // 5 % 4]] * (i % 5 == 0) + text[20:]), int(i % 5 == 0)))
+    model = toxicity.Model(sample)
+    rest = " ".join(word() for _ in range(10))
+    bad = ["idqiqot", "trxaxsh", "ixdxixoxt", "iadbicodt", "mxoxrxoxn", "sxcxuxmxbxaxg", "Scxumxba.xg!"]
+    assert [w for w, s in zip(bad, model.scores([f"{rest} {w} {rest}" for w in bad])) if s < 0.3] == []
+    good = ["thrasph", "mormonism", "indication", rest]
+    assert [w for w, s in zip(good, model.scores([f"{rest} {w} {rest}" for w in good])) if s >= 0.3] == []
