@@ -1,12 +1,18 @@
 """Near-duplicate paragraphs by MinHash banding, exact Jaccard and connected components.
 
-A paragraph is a line of text.  Its set of word shingles is signed by MinHash; the signature is cut into bands, and
-paragraphs that agree in a band become candidates.  The bands are tuned for recall: at the threshold a pair is missed
-with a probability of about one in five hundred.  Equal paragraphs are collapsed before banding.
+Two kinds of paragraphs are compared, each with its own kind.  Lines are as the text gives them.  Passages are cut by
+content: a word starts one if the hash of it and the next word is the least of those near it, and the passage runs to the
+first such word that is some words on.  So a passage that repeats inside longer lines, or across line breaks, gives the
+same cuts wherever it stands, and the paragraphs between them are the same.  Passages overlap.
 
-Candidates of a band value are linked as a star.  Links are made within each input partition first and only one
-paragraph of a value goes on to the shuffle, so a value that very many paragraphs share lands in no single task.  Each
-link is verified by the exact Jaccard similarity of the shingle sets, and the verified links give components.
+A paragraph's set of word shingles is signed by MinHash; the signature is cut into bands, and paragraphs that agree in a
+band become candidates.  The bands of a passage also hold its first shingle, as neighbours that overlap would be candidates
+without end otherwise.  The bands are tuned for recall: at the threshold 3 pairs in 1000 are missed, fewer above.
+
+Candidates of a band value are linked as a star.  Links are made within parts of each input partition first and only one
+paragraph of a value goes on to the shuffle, so a value that very many paragraphs share lands in no single task.  The texts
+are then cut again, and only paragraphs that are candidates or repeat are kept.  Each link is verified by the exact Jaccard
+similarity of the shingle sets, as sets of 31-bit hashes, and the verified links give components.
 
 A star may miss links between paragraphs that are both unlike its centre.  So wherever a link between two components
 failed, the components' paragraphs are looked at again: band values that hold two or more components are compared in
@@ -15,41 +21,59 @@ full, in parts of bounded size, and components that a pair joins become one clas
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from itertools import groupby
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import ship
 from .components import connected_components, forest
 from .scratch import Scratch, partitions
 
-BANDS, ROWS = 14, 4  # 1 - (1 - 0.8**4)**14 = 0.9994 at a similarity of 0.8
+BANDS, ROWS = 8, 3  # 1 - (1 - 0.8**3)**8 = 0.9968 at a similarity of 0.8, 0.9998 at 0.87
+#: A passage starts at a word whose hash is the least of NEAR words on either side, and has LEAST words or more; a stretch
+#: of LONG words without such a word is cut.
+NEAR, LEAST, LONG = 6, 16, 64
 #: Paragraphs of a band value that are compared in one piece; of more, each two parts of about this size are.
 PART = 400
-_FACTORS = np.random.default_rng(2).integers(1, 2**32, (BANDS * ROWS, 2), dtype=np.uint64)
-
-
-class Words:
-    """64-bit hashes of words, remembered up to a limit."""
-
-    def __init__(self, limit: int = 500_000):
-        self.memo: dict[bytes, int] = {}
-        self.limit = limit
-
-    def __call__(self, words: list[bytes]) -> np.ndarray:
-        memo = self.memo
-        try:
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
-        except KeyError:
-            if len(memo) > self.limit:
-                memo.clear()
-            for w in set(words).difference(memo):
-                memo[w] = xxhash.xxh3_64_intdigest(w)
-            return np.fromiter(map(memo.__getitem__, words), np.uint64, len(words))
+#: Bytes of text cut at a time, in whole texts; bytes of text whose band values make a cell.
+SLICE, CELL_BYTES = 2_500_000, 24_000_000
+_FACTORS = np.random.default_rng(2).integers(1, 2**32, (64, 2), dtype=np.uint64)
+_GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+#: A band value and a paragraph's number, as shuffled.
+_RECORD = np.dtype([("low", "<u4"), ("high", "<u2"), ("node", "<i8")])
+
+
+_SPACE = np.isin(np.arange(256), [32, *range(9, 14)])
+_SMALL = np.arange(256, dtype=np.uint8) + 32 * ((np.arange(256) >= 65) & (np.arange(256) <= 90)).astype(np.uint8)
+_LETTERS = np.random.default_rng(3).integers(0, 2**64, 64 * 256, dtype=np.uint64)
+
+
+def hashed_words(raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first bytes) of the words between white space, lower-cased in A-Z: sums of a random number for each letter and
+    its place."""
+    if not len(raw):
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    space = _SPACE[raw]
+    first = np.flatnonzero(~space & np.r_[True, space[:-1]])
+    size = np.flatnonzero(~space & np.r_[space[1:], True]) + 1 - first
+    out, letters, end = np.empty(len(first), np.uint64), _SMALL[raw[~space]], np.cumsum(size)
+    s = 0
+    while s < len(first):  # a few million letters at a time
+        e = max(s + 1, int(np.searchsorted(end, (end[s - 1] if s else 0) + (1 << 22))))
+        base = int(end[s] - size[s])
+        at = (end[s:e] - size[s:e] - base).astype(np.int64)
+        place = np.arange(int(end[e - 1]) - base, dtype=np.int32) - np.repeat(at.astype(np.int32), size[s:e])
+        value = _LETTERS[(place & 63) << 8 | letters[base : int(end[e - 1])]]
+        if size[s:e].max() > 64:
+            value *= (place >> 6).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        out[s:e] = np.add.reduceat(value, at)
+        s = e
+    return out, first
 
 
 def shingles(words: np.ndarray, k: int) -> np.ndarray:
@@ -57,114 +81,199 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     n = max(1, len(words) - k + 1)
     h = np.zeros(n, np.uint64)
     for j in range(min(k, len(words))):
-        h = (h ^ words[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
+        h = (h ^ words[j : j + n]) * _GOLD
         h ^= h >> np.uint64(29)
     return h
 
 
-def signatures(sets: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """One hash per band for each set of 32-bit hashes, sets[starts[i]:starts[i+1]]."""
-    mins = np.empty((len(starts), BANDS * ROWS), np.uint64)
-    for j, (a, b) in enumerate(_FACTORS):
-        h = (sets * (a | np.uint64(1)) + b) & np.uint64(0xFFFFFFFF)
-        mins[:, j] = np.minimum.reduceat(h, starts)
-    out = np.empty((len(starts), BANDS), np.uint64)
+def signatures(sets: np.ndarray, starts: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+    """One hash per band for each set of 32-bit hashes, sets[starts[i]:ends[i]]; without ``ends`` a set ends where the next one
+    starts.  Sets may overlap; none is empty.  Odd hashes are of passages, whose first hash counts in all bands."""
+    head = sets[starts]
+    head = np.where(head & np.uint64(1) > 0, head * _MIX, np.uint64(0))
+    if ends is not None:
+        sets = np.append(sets, np.uint64(0))  # so that an end may be the end of all
+        starts = np.stack([starts, ends], 1).ravel()
+    step = 1 if ends is None else 2
+    out = np.empty((len(starts) // step, BANDS), np.uint64)
     for b in range(BANDS):
-        h = np.full(len(starts), b, np.uint64)
-        for r in range(ROWS):
-            h = (h ^ mins[:, b * ROWS + r]) * np.uint64(0xD6E8FEB86659FD93)
+        h = head ^ np.uint64(b)
+        for a, c in _FACTORS[b * ROWS : (b + 1) * ROWS]:
+            low = np.minimum.reduceat((sets * (a | np.uint64(1)) + c) & np.uint64(0xFFFFFFFF), starts)[::step]
+            h = (h ^ low) * _MIX
             h ^= h >> np.uint64(32)
         out[:, b] = h
     return out
 
 
-def paragraph_table(docs: DataFrame, id_col: str, text_col: str, shingle: int, min_words: int, sets: bool) -> DataFrame:
-    """(id, tid, line, n_words, h1, h2) of each line of at least ``min_words`` words; h1 and h2 hash the lower-cased words.
-
-    With ``sets`` also the 32-bit hashes of its shingles."""
-
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashed = Words()
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary())
-
-        def emitted(rows: list) -> pa.RecordBatch:
-            index, *columns = zip(*rows)
-            at = pa.array(index)
-            return pa.RecordBatch.from_arrays([ids.take(at), tids.take(at), *(pa.array(c, t) for c, t in zip(columns, kinds))], ["id", "tid", "line", "n_words", "h1", "h2", "payload"][: 2 + len(columns)])
-
-        for b in batches:
-            ids, tids, rows = b.column(0), b.column(1), []
-            for i, text in enumerate(b.column(2).to_pylist()):
-                for k, part in enumerate((text or b"").split(b"\n")):
-                    words = part.lower().split()
-                    if len(words) < min_words:
-                        continue
-                    whole = xxhash.xxh3_128_intdigest(b" ".join(words))
-                    row = (i, k, len(words), *((x ^ (1 << 63)) - (1 << 63) for x in divmod(whole, 1 << 64)))
-                    rows.append((*row, shingles(hashed(words), shingle).astype("<u4").tobytes()) if sets else row)
-                    if len(rows) >= 4000:
-                        yield emitted(rows)
-                        rows = []
-            if rows:
-                yield emitted(rows)
-
-    ship(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tid"), F.col(text_col).cast("binary").alias("text"))
-    return text.mapInArrow(split, f"id {kind}, tid long, line int, n_words int, h1 long, h2 long" + ", payload binary" * sets)
+def cuts(words: np.ndarray, first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, ends) of the passages of texts that stand one after the other, words[first[i]:last[i]], none empty."""
+    after = np.append(words[1:], np.uint64(0))
+    after[last - 1] = 0
+    key = (words ^ (after * _GOLD)) * _MIX
+    key ^= key >> np.uint64(31)
+    shift = np.repeat(np.arange(1, len(first) + 1) * NEAR, last - first)  # texts are set apart
+    wide = np.full(len(words) + (len(first) + 2) * NEAR, np.uint64(2**64 - 1))
+    at = np.arange(len(words)) + shift
+    wide[at] = key
+    least = np.ones(len(words), bool)
+    for d in range(1, NEAR + 1):
+        least &= (key < wide[at - d]) & (key <= wide[at + d])
+    edge = np.unique(np.concatenate([np.flatnonzero(least), first, last]))
+    pieces = np.maximum(1, -(-np.diff(edge, append=edge[-1:]) // LONG))
+    edge = np.repeat(edge, pieces) + (np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)) * LONG
+    own = np.searchsorted(first, edge, "right") - 1
+    start, stop = edge, last[own]
+    end = np.minimum(edge[np.minimum(np.searchsorted(edge, edge + LEAST), len(edge) - 1)], stop)
+    keep = (end - start >= LEAST) | ((start == first[own]) & (end > start))
+    return start[keep], end[keep]
+
+
+class Cutter:
+    """Paragraphs of texts: of each its text's number, kind, first word, and words; its number, and its set of hashes."""
+
+    def __init__(self, shingle: int, min_words: int):
+        self.shingle, self.min_words = shingle, max(shingle, min_words)
+
+    def __call__(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, ...]]:
+        """(text, kind, start, n_words, node, from, to, sets) in slices of whole texts, each kind by itself; a paragraph's set is
+        sets[from:to], of 31-bit hashes beside the kind."""
+        held: list[bytes] = []
+        since = size = 0
+        for i, text in enumerate(texts):
+            held.append(text or b"")
+            size += len(held[-1])
+            if size >= SLICE or i == len(texts) - 1:
+                yield from self._slice(held, since)
+                held, since, size = [], i + 1, 0
+
+    def _slice(self, held: list[bytes], since: int) -> Iterator[tuple[np.ndarray, ...]]:
+        raw = np.frombuffer(b"\n".join(held), np.uint8)
+        words, at = hashed_words(raw)
+        if len(words) < self.min_words:
+            return
+        bounds = np.cumsum([0, *(len(x) + 1 for x in held)])
+        upto = np.searchsorted(at, bounds)  # words before each text
+        full = np.flatnonzero(np.diff(upto))
+        first, last = upto[:-1][full], upto[1:][full]
+        line = np.searchsorted(np.flatnonzero(raw == 10), at)
+        begin = np.flatnonzero(np.r_[True, line[1:] != line[:-1]])
+        size = np.diff(np.append(begin, len(words)))
+        line = begin[size >= self.min_words]
+        size = size[size >= self.min_words]
+        start, stop = cuts(words, first, last)
+        some = stop - start >= self.min_words
+        h = shingles(words, self.shingle)
+        wide = h * _MIX
+        wide = np.append((wide ^ (wide >> np.uint64(32))) * _GOLD, np.uint64(0))
+        for kind, start, stop in ((0, line, line + size), (1, start[some], stop[some])):
+            if not len(start):
+                continue
+            own, to = np.searchsorted(first, start, "right") - 1, stop - self.shingle + 1
+            total = np.add.reduceat(wide, np.stack([start, to], 1).ravel())[::2]
+            node = (total ^ ((stop - start) * 2 + kind).astype(np.uint64)) * _MIX
+            node ^= node >> np.uint64(32)
+            sets = (h & np.uint64(0xFFFFFFFE)) | np.uint64(kind)  # lines and passages share none
+            yield since + full[own], kind, start - first[own], stop - start, node.view(np.int64), start, to, sets
 
 
 def _star(value: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(positions of the smallest node of each value, u, v): the others linked to it."""
+    """(positions of the smallest node of each value, u, v): the others linked to it, and nodes that a value holds twice to
+    themselves."""
     order = np.lexsort((node, value))
     v, n = value[order], node[order]
     first = np.r_[True, v[1:] != v[:-1]] if len(v) else np.empty(0, bool)
     hub = n[np.flatnonzero(first)][np.cumsum(first) - 1] if len(v) else n
-    other = n != hub
-    return order[first], n[other], hub[other]
+    again = ~first & (n == np.r_[n[:1], n[:-1]])
+    other = (n != hub) & ~again
+    return order[first], np.append(n[other], n[again]), np.append(hub[other], n[again])
+
 
+def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int) -> DataFrame:
+    """(u, v) stars over paragraphs that share a band value, by their numbers; u = v for a paragraph that repeats.
 
-def candidate_links(nodes: DataFrame) -> DataFrame:
-    """(u, v) stars over paragraphs that share a band value; ``nodes`` has node and payload."""
-    cells = 4 * partitions(nodes.sparkSession)
-    schema = "cell int, u binary, v binary, link boolean"
-    names = ["cell", "u", "v", "link"]
-    kinds = (pa.int32(), pa.binary(), pa.binary(), pa.bool_())
+    A paragraph's number is a 64-bit hash of its kind, length and shingles.  Each cell of band values is met by itself, and
+    there are as many cells as the texts ask for."""
+    spark = docs.sparkSession
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    tasks = 4 * partitions(spark)
+    cells = max(4 * tasks, -(-total // CELL_BYTES))
+    names, kinds = ["cell", "link", "rows"], (pa.int64(), pa.bool_(), pa.binary())
+
+    def pairs(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+        return np.unique(np.stack([u, v], 1), axis=0)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        node, value = [np.empty(0, np.int64)], [np.empty((0, BANDS), np.uint64)]
+        cut = Cutter(shingle, min_words)
         for b in batches:
-            node.append(b.column(0).to_numpy())
-            sets = b.column(1).to_pylist()
-            for k in range(0, len(sets), 2000):
-                some = sets[k : k + 2000]
-                starts = np.cumsum([0, *(len(x) // 4 for x in some)])[:-1]
-                value.append(signatures(np.frombuffer(b"".join(some), "<u4").astype(np.uint64), starts))
-        node, value = np.repeat(np.concatenate(node), BANDS), np.concatenate(value).ravel()
-        first, u, v = _star(value, node)
-        node, value = node[first], value[first]
-        cell = (value >> np.uint64(33)).astype(np.int64) % cells
-        order = np.argsort(cell, kind="stable")
-        edge = np.searchsorted(cell[order], np.arange(cells + 1))
-        out = [(c, value[at].tobytes(), node[at].tobytes(), False) for c in range(cells) if len(at := order[edge[c] : edge[c + 1]])]
-        pairs = np.unique(np.stack([u, v], 1), axis=0)
-        out += [((k * 7919 + int(p[0, 0])) % cells, np.ascontiguousarray(p[:, 0]).tobytes(), np.ascontiguousarray(p[:, 1]).tobytes(), True) for k in range(0, -(-len(pairs) // 20_000)) if len(p := pairs[k * 20_000 : (k + 1) * 20_000])]
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+            for *_, node, start, to, sets in cut(b.column(0).to_pylist()):
+                value, owner = signatures(sets, start, to).ravel(), np.repeat(node, BANDS)
+                first, u, v = _star(value, owner)
+                value, owner = value[first], owner[first]
+                cell = ((value >> np.uint64(24)).astype(np.float64) * (cells / 2.0**40)).astype(np.int64)  # values are in order
+                rows = np.empty(len(value), _RECORD)
+                rows["low"], rows["high"], rows["node"] = value & np.uint64(0xFFFFFFFF), (value >> np.uint64(32)) & np.uint64(0xFFFF), owner
+                edge = np.append(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell))
+                out = [(int(cell[s]), False, rows[s:e].tobytes()) for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
+                found = pairs(u, v)
+                out += [(int(found[k, 0]) % cells, True, found[k : k + 20_000].tobytes()) for k in range(0, len(found), 20_000)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        value, node = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
-        for b in batches:
-            for u, v, link in zip(*(c.to_pylist() for c in b.columns[1:])):
-                if link:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(u, "<i8")), pa.array(np.frombuffer(v, "<i8"))], ["u", "v"])
-                else:
-                    value.append(np.frombuffer(u, "<u8"))
-                    node.append(np.frombuffer(v, "<i8"))
-        _, u, v = _star(np.concatenate(value), np.concatenate(node))
-        yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+        rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
+        for (_, link), group in groupby(rows, key=lambda row: row[:2]):  # one cell at a time is held
+            if link:
+                for *_, x in group:
+                    found = np.frombuffer(x, "<i8").reshape(-1, 2)
+                    yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+                continue
+            held = np.frombuffer(b"".join(x for *_, x in group), _RECORD)
+            _, u, v = _star(held["low"].astype(np.uint64) | held["high"].astype(np.uint64) << np.uint64(32), held["node"])
+            found = pairs(u, v)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
+
+    ship(spark)
+    routed = docs.select(F.col(text_col).cast("binary")).mapInArrow(route, "cell long, link boolean, rows binary")
+    return routed.repartition(tasks, "cell").sortWithinPartitions("cell", "link").mapInArrow(meet, "u long, v long").distinct()
+
+
+def marked(nodes: DataFrame) -> np.ndarray:
+    """A bit for each value of the first 26 bits of the nodes: 8 MB, however many nodes there are."""
+    at = nodes.selectExpr("shiftrightunsigned(node, 44) AS k", "shiftleft(1L, CAST(shiftrightunsigned(node, 38) & 63 AS INT)) AS bit")
+    rows = at.groupBy("k").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2**20 rows of 16 bytes
+    out = np.zeros(1 << 20, np.int64)
+    out[rows["k"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    return out
+
+
+def members(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingle: int, min_words: int) -> DataFrame:
+    """(node, id, tid, kind, start, n_words, payload) of the paragraphs whose numbers are in ``nodes``; payload is the set.
 
-    return nodes.select("node", "payload").mapInArrow(route, schema).repartition(cells, "cell").mapInArrow(meet, "u long, v long").distinct()
+    The nodes' marks keep most other paragraphs from being shuffled; where there are too many nodes for that, the join
+    still keeps them out of the result."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast(marked(nodes))
+    names = ["node", "id", "tid", "kind", "start", "n_words", "payload"]
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cut, marks = Cutter(shingle, min_words), shared.value
+        for b in batches:
+            for text, kind, start, size, node, lo, hi, sets in cut(b.column(2).to_pylist()):
+                word = node.view(np.uint64)
+                at = np.flatnonzero((marks[(word >> np.uint64(44)).astype(np.int64)] >> ((word >> np.uint64(38)) & np.uint64(63)).astype(np.int64)) & 1)
+                narrow = sets.astype("<u4")
+                for k in range(0, len(at), 4000):
+                    some = at[k : k + 4000]
+                    payload = [narrow[s:e].tobytes() for s, e in zip(lo[some].tolist(), hi[some].tolist())]
+                    own = pa.array(text[some])
+                    yield pa.RecordBatch.from_arrays([pa.array(node[some]), b.column(0).take(own), b.column(1).take(own), pa.array(np.full(len(some), kind), pa.int32()), pa.array(start[some], pa.int32()), pa.array(size[some], pa.int32()), pa.array(payload, pa.binary())], names)
+
+    ship(spark)
+    kind = docs.schema[id_col].dataType.simpleString()
+    text = docs.select(F.col(id_col).alias("id"), F.coalesce(F.xxhash64(text_col), F.lit(0)).alias("tid"), F.col(text_col).cast("binary").alias("text"))
+    cut = text.mapInArrow(split, f"node long, id {kind}, tid long, kind int, start int, n_words int, payload binary")
+    return cut.join(nodes.hint("merge"), "node", "left_semi")
 
 
 def jaccard_of(a: bytes, b: bytes) -> float:
@@ -290,48 +399,82 @@ def settled_roots(links: DataFrame, sets: DataFrame, scratch: Scratch, similarit
 
 
 def near_duplicate_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5, similarity: float = 0.8, min_words: int = 5) -> DataFrame:
-    """(id, tid, line, n_words, class_id, keeper, kept) of every paragraph that has a near duplicate.
+    """(id, tid, kind, start, n_words, class_id, keeper, kept) of every paragraph that has a near duplicate.
 
-    Paragraphs are lines of at least ``min_words`` words.  Two are linked if their sets of ``shingle`` words in a row,
-    lower-cased in A-Z, have a Jaccard similarity of at least ``similarity``; class_id stands for a component of links
-    with two or more paragraphs, keeper is its first one as (id, tid, line), and kept marks it.  tid is a hash of the
+    Paragraphs are lines (kind 0) and passages (kind 1) of at least ``min_words`` words, and of ``shingle`` words at least;
+    start counts the text's words before it.  Two of a kind are linked if their sets of ``shingle`` words in a row,
+    lower-cased in A-Z, have a Jaccard similarity of at least ``similarity``, and passages if they also start with the same
+    ``shingle`` words; class_id stands for a component of links
+    with two or more paragraphs, keeper is its first one as (id, tid, start), and kept marks it.  tid is a hash of the
     exact text.  Of rows that repeat both id and text all count, and of those with the keeper all are marked kept.
-    Null and empty texts have no paragraphs; null ids come last; an empty table gives no rows.
+    Null and empty texts have no paragraphs; null ids come last; an empty table gives no rows; other columns are not read.
     """
     spark, scratch = docs.sparkSession, Scratch(docs.sparkSession, "paragraphs")
-    rows = scratch.save(paragraph_table(docs, id_col, text_col, shingle, min_words, False), "rows")
-    at = F.struct(F.col("id").isNull().alias("no_id"), "id", "tid", "line")
-    table = paragraph_table(docs, id_col, text_col, shingle, min_words, True)  # shuffled once, never stored
-    nodes = table.groupBy("h1", "h2").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times"), F.first("payload").alias("payload"))
-    nodes = scratch.save(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")  # numbers are fixed from here on
-    del table
+    links = scratch.save(candidate_links(docs, text_col, shingle, min_words), "candidates")
     scratch.drop()
-    links = scratch.save(candidate_links(nodes), "candidates")
+    nodes = scratch.save(links.select(F.explode(F.array("u", "v")).alias("node")).distinct(), "nodes")
+    held = scratch.save(members(docs, nodes, id_col, text_col, shingle, min_words), "members")
+    scratch.drop("nodes")
+    links = links.where("u <> v")
     linked = links.select(F.explode(F.array("u", "v")).alias("node")).distinct()
-    sets = scratch.save(nodes.select("node", "payload").join(linked.hint("merge"), "node", "left_semi"), "sets")  # the sets are shuffled once
-    roots = settled_roots(links, sets, scratch, similarity)
+    sets = held.select("node", "payload").join(linked.hint("merge"), "node", "left_semi").groupBy("node").agg(F.first("payload").alias("payload"))
+    roots = settled_roots(links, scratch.save(sets, "sets"), scratch, similarity)
     scratch.drop("candidates", "sets")
-    named = scratch.save(nodes.select("node", "h1", "h2", "first", "times"), "named")
-    rooted = scratch.save(named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+    at = F.struct(F.col("id").isNull().alias("no_id"), "id", "tid", "start")
+    first = held.groupBy("node").agg(F.min(at).alias("first"), F.count(F.lit(1)).alias("times"))
+    rooted = scratch.save(first.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
     classes = scratch.save(rooted.groupBy("root").agg(F.min("first").alias("keeper"), F.sum("times").alias("size")).where("size > 1"), "classes")
-    classed = scratch.save(rooted.select("root", "h1", "h2").join(classes, "root").select("h1", "h2", F.col("root").alias("class_id"), "keeper"), "classed")
-    scratch.drop("nodes", "named", "rooted", "settled", "classes")
-    found = rows.join(classed, ["h1", "h2"]).select("id", "tid", "line", "n_words", "class_id", "keeper")
+    classed = scratch.save(rooted.select("root", "node").join(classes, "root").select("node", F.col("root").alias("class_id"), "keeper"), "classed")
+    scratch.drop("rooted", "settled", "classes")
+    found = held.select("node", "id", "tid", "kind", "start", "n_words").join(classed, "node").select("id", "tid", "kind", "start", "n_words", "class_id", "keeper")
     return found.withColumn("kept", at.eqNullSafe(F.col("keeper")))
 
 
+_WORD = re.compile(r"[^ \t-\r]+")
+
+
+def without(text: str, gone: list[tuple[int, int]]) -> str:
+    """``text`` without the words gone, as (first word, words); where a stretch goes, of the white space on its sides only that
+    with a line break stays, or else that before it."""
+    spans = [m.span() for m in _WORD.finditer(text)]
+    out = np.zeros(len(spans) + 1, np.int64)
+    for start, n in gone:
+        out[start] += 1
+        out[start + n] -= 1
+    lost = np.flatnonzero(np.diff(np.r_[0, (np.cumsum(out) > 0).astype(np.int8)]))  # where stretches start and end
+    parts, at = [], 0
+    for s, e in zip(lost[::2].tolist(), lost[1::2].tolist()):
+        before, after = spans[s - 1][1] if s else 0, spans[e][0] if e < len(spans) else len(text)
+        left, right = text[before : spans[s][0]], text[spans[e - 1][1] : after]
+        parts.append(text[at:before])
+        if s and e < len(spans):
+            parts.append(right if "\n" in right and "\n" not in left else left)
+        at = after
+    return "".join(parts) + text[at:]
+
+
 def drop_repeated_paragraphs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chars_col: str | None = "n_chars", **how) -> DataFrame:
-    """``docs`` with one paragraph of each class left, in its first document; documents left without words are dropped.
+    """``docs`` with the words of repeated paragraphs taken out but for each class's first one; documents left without words
+    are dropped.
 
     ``chars_col``, if the table has it, is brought up to date.  All other columns, and texts that lose nothing, stay as
-    they are.  Parameters are those of near_duplicate_paragraphs.
+    they are, null and empty ones too; rows that repeat id and text are changed alike; an empty table stays empty.  Parameters
+    are those of near_duplicate_paragraphs.
     """
-    gone = near_duplicate_paragraphs(docs, id_col, text_col, **how).where("not kept").groupBy("id", "tid").agg(F.collect_set("line").alias("_rl_gone")).withColumnsRenamed({"id": "_rl_id", "tid": "_rl_tid"})
+    gone = near_duplicate_paragraphs(docs, id_col, text_col, **how).where("not kept").groupBy("id", "tid").agg(F.collect_set(F.struct("start", "n_words")).alias("_rl_gone"))
+    gone = gone.withColumnsRenamed({"id": "_rl_id", "tid": "_rl_tid"})
+
+    @F.pandas_udf("string")
+    def cut(texts: pd.Series, spans: pd.Series) -> pd.Series:
+        return pd.Series([t if s is None else without(t, [(x["start"], x["n_words"]) for x in s]) for t, s in zip(texts, spans)], dtype=object)
+
+    def cut_out(text: Column) -> Column:
+        return cut(text, F.col("_rl_gone"))
+
     keyed = docs.withColumn("_rl_text", F.coalesce(F.xxhash64(text_col), F.lit(0)))
     joined = keyed.join(gone, keyed[id_col].eqNullSafe(gone["_rl_id"]) & (keyed["_rl_text"] == gone["_rl_tid"]), "left")
-    lines = F.filter(F.transform(F.split(F.col(text_col), "\n", -1), lambda x, i: F.when(~F.array_contains("_rl_gone", i), x)), lambda x: x.isNotNull())
-    left = joined.withColumn(text_col, F.when(F.col("_rl_gone").isNull(), F.col(text_col)).otherwise(F.array_join(lines, "\n")))
-    left = left.where(F.col("_rl_gone").isNull() | F.col(text_col).rlike(r"\S"))
+    left = joined.withColumn(text_col, cut_out(F.col(text_col)))
+    left = left.where(F.col("_rl_gone").isNull() | F.col(text_col).rlike(r"[^ \t-\r]"))
     if chars_col and chars_col in docs.columns:
         left = left.withColumn(chars_col, F.when(F.col("_rl_gone").isNull(), F.col(chars_col)).otherwise(F.length(text_col)).cast(docs.schema[chars_col].dataType))
     return left.select(*docs.columns)

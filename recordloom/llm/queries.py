@@ -32,7 +32,7 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = paragraphs.near_duplicate_paragraphs(table(spark, sf_dir, "documents"))
-    return found.select(F.col("id").alias("doc_id"), "line", "n_words", "class_id", F.col("keeper.id").alias("keeper_doc_id"), F.col("keeper.line").alias("keeper_line"), "kept")
+    return found.select(F.col("id").alias("doc_id"), "kind", "start", "n_words", "class_id", F.col("keeper.id").alias("keeper_doc_id"), F.col("keeper.start").alias("keeper_start"), "kept")
 
 
 def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,9 +54,15 @@ def op6_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urlrules.judge(table(spark, sf_dir, "pages"), urlrules.rule_table(spark, RULES))
 
 
+def _fingerprint(column: str) -> Column:
+    """16 hexadecimal digits of a little-endian 64-bit word; reverse() on a binary column would go by characters."""
+    digits = F.hex(column)
+    return F.lower(F.concat(*[F.substring(digits, 2 * k + 1, 2) for k in reversed(range(8))]))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, radius=3)
-    return found.select(F.col("id").alias("doc_id"), F.lower(F.hex(F.reverse("fp"))).alias("fingerprint"), "component_id")
+    return found.select(F.col("id").alias("doc_id"), _fingerprint("fp").alias("fingerprint"), "component_id")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

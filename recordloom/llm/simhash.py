@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..runtime import ship
 from .components import connected_components, forest
-from .paragraphs import Words, settled_roots, shingles
+from .paragraphs import hashed_words, settled_roots, shingles
 from .scratch import Scratch, partitions
 
 #: Words that one cell may derive at a time.
@@ -309,12 +309,11 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(node, payload): the 32-bit hashes of the shingles of each node's text; ``nodes`` has node, id and tid."""
+    """(node, payload): even 32-bit hashes of the shingles of each node's text; ``nodes`` has node, id and tid."""
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = Words()
         for b in batches:
-            sets = [np.unique(shingles(known((x or b"").lower().split()), shingle).astype("<u4")).tobytes() for x in b.column(1).to_pylist()]
+            sets = [np.unique(shingles(hashed_words(np.frombuffer(x or b"", np.uint8))[0], shingle).astype("<u4") & np.uint32(0xFFFFFFFE)).tobytes() for x in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sets, pa.binary())], ["node", "payload"])
 
     texts = docs.select(F.col(id_col).alias("_id"), F.xxhash64(F.col(text_col)).alias("_tid"), F.col(text_col).cast("binary").alias("_text"))

@@ -1,4 +1,6 @@
 import collections
+import hashlib
+import re
 
 import numpy as np
 import pytest
@@ -6,7 +8,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from recordloom.llm import paragraphs, simhash, suffixes
+from recordloom.llm import paragraphs, queries, simhash, suffixes
 from recordloom.llm.components import connected_components, forest
 from recordloom.llm.scratch import Scratch
 
@@ -125,6 +127,58 @@ def test_suffixes_are_brute_force(spark, monkeypatch, hot):
     assert suffixes.remove_repeats(df.limit(0), 40).count() == 0
 
 
+def brute_cuts(text):
+    """(kind, start, words) of each line and passage, by plain loops."""
+    out, at = [], 0
+    for line in text.split("\n"):
+        w = re.findall(r"[^ \t-\r]+", line)
+        if len(w) >= 5:
+            out.append((0, at, len(w)))
+        at += len(w)
+    x = [int(h) for h in paragraphs.hashed_words(np.frombuffer(text.encode(), np.uint8))[0]]
+    assert len(x) == at
+    key = []
+    for i, h in enumerate(x):
+        after = x[i + 1] * 0x9E3779B97F4A7C15 % 2**64 if i + 1 < at else 0
+        k = (h ^ after) * 0xD6E8FEB86659FD93 % 2**64
+        key.append(k ^ k >> 31)
+    near = paragraphs.NEAR
+    least = [i for i in range(at) if all(key[i] < k for k in key[max(0, i - near) : i]) and all(key[i] <= k for k in key[i + 1 : i + near + 1])]
+    edges = sorted({0, at, *least})
+    edges = sorted({*edges, *(k for a, b in zip(edges, edges[1:]) for k in range(a, b, paragraphs.LONG))})
+    for s in edges[:-1]:
+        e = min([k for k in edges if k >= s + paragraphs.LEAST] or [at])
+        if e - s >= paragraphs.LEAST or (s == 0 and e >= 5):
+            out.append((1, s, e - s))
+    return out
+
+
+def brute_classes(rows):
+    """Counter of (id, kind, start, words, keeper id, keeper start) over all paragraphs that have a near duplicate."""
+    at, sets = [], []
+    for i, t, *_ in rows:
+        w = [x.decode() for x in (t or "").encode().lower().split()]
+        for kind, s, n in brute_cuts(t or ""):
+            at.append((i, kind, s, n))
+            sets.append(([tuple(w[j : j + 5]) for j in range(s, s + n - 4)], kind))
+    a, b = [], []
+    index = collections.defaultdict(set)
+    for i, (x, kind) in enumerate(sets):
+        for g in x:
+            index[g, kind].add(i)
+    for i, (x, kind) in enumerate(sets):
+        for j in set().union(*(index[g, kind] for g in x)):
+            y = sets[j][0]
+            if j > i and len({*x} & {*y}) >= 0.8 * len({*x} | {*y}) and (not kind or x[0] == y[0]):
+                a.append(i)
+                b.append(j)
+    order = sorted(range(len(at)), key=lambda k: (at[k][0], at[k][2]))
+    place = {k: n for n, k in enumerate(order)}
+    root = forest(len(at), np.array([place[k] for k in a], int), np.array([place[k] for k in b], int))
+    size = collections.Counter(root.tolist())
+    return collections.Counter((*at[order[n]], at[order[r]][0], at[order[r]][2]) for n, r in enumerate(root.tolist()) if size[r] > 1)
+
+
 def paragraph_rows():
     base = [words(60, 3000) for _ in range(20)]
     rows = []
@@ -135,43 +189,69 @@ def paragraph_rows():
         elif i % 3 == 2:
             p[20:40] = words(20, 3000).split()
         rows.append((i, "\n".join(["short line", " ".join(p), words(30, 3000)]), 9, "z"))
-    return rows + [(60, None, 0, "z"), (61, "", 0, "z"), (62, base[3], 1, "z"), (62, base[3], 1, "z")]
+    for i in range(30):  # inside longer lines, and across line breaks
+        p = base[i % 20].split()
+        rows.append((100 + i, words(25, 3000) + " " + (" ".join(p) if i % 2 else " ".join(p[:30]) + "\n" + " ".join(p[30:])) + " " + words(25, 3000), 9, "z"))
+    return rows + [(60, None, 0, "z"), (61, "", 0, "z"), (62, base[3], 1, "z"), (62, base[3], 1, "z"), (63, "same " * 400, 1, "z"), (64, " \n\t\n", 1, "z"), (65, "É\u00a0é A\tb\r\nC d e f g h", 1, "z")]
+
+
+def found_classes(found):
+    return collections.Counter((r["id"], r["kind"], r["start"], r["n_words"], r["keeper"]["id"], r["keeper"]["start"]) for r in found)
 
 
 def test_paragraphs_are_brute_force(spark):
     rows = paragraph_rows()
     df = spark.createDataFrame(rows, "doc_id long, text string, n_chars long, node string").repartition(3)
     found = paragraphs.near_duplicate_paragraphs(df).collect()
-    at, sets = [], []
-    for i, t, *_ in rows:
-        for k, line in enumerate((t or "").split("\n")):
-            w = line.lower().split()
-            if len(w) >= 20:
-                at.append((i, k))
-                sets.append({tuple(w[j : j + 5]) for j in range(len(w) - 4)})
-    a, b = np.nonzero([[len(x & y) / len(x | y) >= 0.8 for y in sets] for x in sets])
-    root = forest(len(at), a, b)
-    size = collections.Counter(root.tolist())
-    want = collections.Counter((at[i], at[root[i]]) for i in range(len(at)) if size[root[i]] > 1)
-    assert collections.Counter(((r["id"], r["line"]), (r["keeper"]["id"], r["keeper"]["line"])) for r in found) == want
-    assert len({r["class_id"] for r in found}) == len({k for _, k in want})
-    assert all(r["kept"] == (r["id"] == r["keeper"]["id"] and r["line"] == r["keeper"]["line"]) for r in found)
+    want = brute_classes(rows)
+    assert found_classes(found) == want
+    assert len({r["class_id"] for r in found}) == len({(k[1], *k[4:]) for k in want})
+    assert all(r["kept"] == (r["id"] == r["keeper"]["id"] and r["start"] == r["keeper"]["start"]) for r in found)
     assert paragraphs.near_duplicate_paragraphs(df.limit(0)).count() == 0
 
 
+def test_op2_is_brute_force(spark):
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    got = queries.op2_substring_dedup(spark, "/root/testdata/sf0.001").collect()
+    want = brute_classes(rows)
+    have = collections.Counter((r["doc_id"], r["kind"], r["start"], r["n_words"], r["keeper_doc_id"], r["keeper_start"]) for r in got)
+    assert sum((have & want).values()) >= 0.99 * max(sum(have.values()), sum(want.values()))  # banding misses 3 in 1000 links at 0.8
+
+
+def test_repeated_passages_are_found(spark):
+    """Recall on planted passages of 51 to 120 words, within lines and across line breaks, each in two documents."""
+    rows, planted = [], 150
+    for i in range(planted):
+        p = words(int(rng.integers(51, 121)), 5000).split()
+        for k in range(2):
+            q = [x + ("\n" if j % 23 == 9 * k + 9 and i % 2 else " ") for j, x in enumerate(p)]
+            rows.append((2 * i + k, words(int(rng.integers(5, 90)), 5000) + " " + "".join(q) + words(int(rng.integers(5, 90)), 5000)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = {r["id"] for r in paragraphs.near_duplicate_paragraphs(df).collect()}
+    assert len({i // 2 for i in found}) >= 0.95 * planted
+    fresh = [(i, words(int(rng.integers(5, 300)), 5000)) for i in range(200)]
+    assert paragraphs.near_duplicate_paragraphs(spark.createDataFrame(fresh, "doc_id long, text string")).count() == 0
+
+
+def test_null_ids_and_very_long_texts(spark):
+    long = words(700_000, 100_000)
+    part = " ".join(long.split()[300_000:300_200])
+    rows = [(None, part), (1, long), (None, None), (2, "a b c d e f"), (None, "a b c d e f")]
+    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r["id"], r["kept"]) for r in found} == {(1, True), (2, True), (None, False)}
+    left = paragraphs.drop_repeated_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [r["text"] for r in left if r["doc_id"] == 1] == [long] and sum(r["doc_id"] is None for r in left) == 2
+
+
 @pytest.mark.parametrize("part", [400, 7])
 def test_no_link_between_unlike_centres_is_lost(spark, monkeypatch, part):
     monkeypatch.setattr(paragraphs, "PART", part)
     base, rows = [f"w{i}" for i in range(88)], []
     for i, k in enumerate(rng.choice([10, 12, 14, 30, 32, 50, 53, 56, 70, 72], 80)):  # only changes near each other leave 0.8
         rows.append((i, " ".join(base[:k] + [f"c{i}"] + base[k + 1 :])))
-    sets = [{tuple(t.split()[j : j + 5]) for j in range(84)} for _, t in rows]
-    a, b = np.nonzero([[len(x & y) / len(x | y) >= 0.8 for y in sets] for x in sets])
-    root = forest(len(rows), a, b)
-    size = collections.Counter(root.tolist())
-    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
-    got = {r["id"]: r["keeper"]["id"] for r in found}
-    assert got == {i: int(root[i]) for i in range(len(rows)) if size[root[i]] > 1} and len(set(got.values())) > 1
+    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).where("kind = 0").collect()
+    want = collections.Counter({k: n for k, n in brute_classes(rows).items() if k[1] == 0})
+    assert found_classes(found) == want and len({k[4] for k in want}) > 1
 
 
 def test_paragraphs_leave_one(spark):
@@ -182,12 +262,46 @@ def test_paragraphs_leave_one(spark):
     assert got == {1: (rows[0][1], 0), 3: ("beta", 4), 4: ("", 0), 5: (None, 0), 6: (rows[5][1], 0)}
 
 
+def test_words_are_cut_out():
+    t = " a b\nc d \u00a0e\tf\n\ng "
+    assert paragraphs.without(t, []) == t
+    assert paragraphs.without(t, [(1, 1)]) == " a\nc d \u00a0e\tf\n\ng "
+    assert paragraphs.without(t, [(2, 2)]) == " a b\n\u00a0e\tf\n\ng "
+    assert paragraphs.without(t, [(0, 2)]) == "c d \u00a0e\tf\n\ng "
+    assert paragraphs.without(t, [(4, 1), (5, 2)]) == " a b\nc d"
+    assert paragraphs.without(t, [(3, 1), (3, 2)]) == " a b\nc f\n\ng "
+    assert paragraphs.without(t, [(0, 7)]) == ""
+
+
 def test_lines_down_to_one_shingle_are_paragraphs(spark):
     nine, twelve = [f"n{i}" for i in range(9)], [f"t{i}" for i in range(19)]
     lines = [" ".join(nine), "five words and no more", " ".join(twelve), "only four words here"]
     rows = [(1, "\n".join(lines)), (2, "\n".join([lines[0].upper(), lines[1], " ".join(twelve[1:]), lines[3]])), (3, "alpha " + lines[0])]
-    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert {(r["id"], r["line"]): (r["keeper"]["id"], r["keeper"]["line"]) for r in found} == {(i, k): (1, k) for k in (0, 1, 2) for i in (1, 2)} | {(3, 0): (1, 0)}
+    found = paragraphs.near_duplicate_paragraphs(spark.createDataFrame(rows, "doc_id long, text string")).where("kind = 0").collect()
+    assert {(r["id"], r["start"]): (r["keeper"]["id"], r["keeper"]["start"]) for r in found} == {(i, k): (1, k) for k in (0, 9, 14) for i in (1, 2)} | {(3, 0): (1, 0)}
+
+
+def test_op7_is_brute_force(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    odd = [(10**6 + i, t) for i, t in enumerate([None, "", " \n", "A", "ß É", "a\u00a0b c d", "x " * 3000])]
+    spark.createDataFrame(odd, "doc_id long, text string").write.parquet(f"file://{tmp_path}/documents.parquet")
+    for folder, docs in ((sf, rows), (f"file://{tmp_path}", odd)):
+        got = queries.op7_simhash(spark, folder).collect()
+        want = {i: brute_fingerprint(t or "") for i, t in docs}
+        assert {r["doc_id"]: r["fingerprint"] for r in got} == {i: f"{x:016x}" for i, x in want.items()} and len(got) == len(docs)
+        ids = sorted(want)
+        x = np.array([want[i] for i in ids], np.uint64)
+        root = forest(len(ids), *np.nonzero(np.bitwise_count(x[:, None] ^ x[None, :]) <= 3))
+        assert {r["doc_id"]: r["component_id"] for r in got} == {i: ids[root[k]] for k, i in enumerate(ids)}
+
+
+def test_op3_is_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    rows = [(r["doc_id"], (r["text"] or "").encode()) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    kept = brute_repeats([t for _, t in rows], 200)
+    got = {r["doc_id"]: (r["n_bytes"], r["n_removed"], r["kept_sha256"]) for r in queries.op3_suffix_array_dedup(spark, sf).collect()}
+    assert got == {i: (len(t), len(t) - len(k), hashlib.sha256(k).hexdigest()) for (i, t), k in zip(rows, kept)}
 
 
 def test_documents_are_linked_by_exact_jaccard(spark):
