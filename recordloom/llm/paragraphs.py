@@ -44,7 +44,8 @@ PART = 400
 SLICE, CELL_BYTES = 2_500_000, 24_000_000
 _FACTORS = np.random.default_rng(2).integers(1, 2**32, (64, 2), dtype=np.uint64)
 _GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
-#: A band value and a paragraph's number, as shuffled.
+#: The bit of a band value that tells the first band; a band value and a paragraph's number, as shuffled.
+_FIRST = np.uint64(1 << 40)
 _RECORD = np.dtype([("low", "<u4"), ("high", "<u2"), ("node", "<i8")])
 
 
@@ -207,7 +208,9 @@ def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int
         cut = Cutter(shingle, min_words)
         for b in batches:
             for *_, node, start, to, sets in cut(b.column(0).to_pylist()):
-                value, owner = signatures(sets, start, to).ravel(), np.repeat(node, BANDS)
+                value = signatures(sets, start, to) & ~_FIRST
+                value[:, 0] |= _FIRST
+                value, owner = value.ravel(), np.repeat(node, BANDS)
                 first, u, v = _star(value, owner)
                 value, owner = value[first], owner[first]
                 cell = ((value >> np.uint64(24)).astype(np.float64) * (cells / 2.0**40)).astype(np.int64)  # values are in order
@@ -229,8 +232,11 @@ def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int
                     yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
                 continue
             held = np.frombuffer(b"".join(x for *_, x in group), _RECORD)
-            _, u, v = _star(held["low"].astype(np.uint64) | held["high"].astype(np.uint64) << np.uint64(32), held["node"])
+            value = held["low"].astype(np.uint64) | held["high"].astype(np.uint64) << np.uint64(32)
+            _, u, v = _star(value, held["node"])
+            twice = held["node"][value & _FIRST > 0]  # that a paragraph repeats need not be said for every band
             found = pairs(u, v)
+            found = found[(found[:, 0] != found[:, 1]) | np.isin(found[:, 0], twice)]
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
 
     ship(spark)
@@ -239,11 +245,11 @@ def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int
 
 
 def marked(nodes: DataFrame) -> np.ndarray:
-    """A bit for each value of the first 26 bits of the nodes: 8 MB, however many nodes there are."""
-    at = nodes.selectExpr("shiftrightunsigned(node, 44) AS k", "shiftleft(1L, CAST(shiftrightunsigned(node, 38) & 63 AS INT)) AS bit")
-    rows = at.groupBy("k").agg(F.bit_or("bit").alias("bits")).toPandas()  # at most 2**20 rows of 16 bytes
-    out = np.zeros(1 << 20, np.int64)
-    out[rows["k"].to_numpy(np.int64)] = rows["bits"].to_numpy(np.int64)
+    """A bit for each value of the first 24 bits of the nodes: 2 MB, however many nodes there are."""
+    at = nodes.selectExpr("shiftrightunsigned(node, 46) AS k", "shiftleft(1L, CAST(shiftrightunsigned(node, 40) & 63 AS INT)) AS bit")
+    rows = at.groupBy("k").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most 2**18 rows of 16 bytes
+    out = np.zeros(1 << 18, np.int64)
+    out[rows["k"].to_numpy()] = rows["bits"].to_numpy()
     return out
 
 
@@ -261,7 +267,7 @@ def members(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shing
         for b in batches:
             for text, kind, start, size, node, lo, hi, sets in cut(b.column(2).to_pylist()):
                 word = node.view(np.uint64)
-                at = np.flatnonzero((marks[(word >> np.uint64(44)).astype(np.int64)] >> ((word >> np.uint64(38)) & np.uint64(63)).astype(np.int64)) & 1)
+                at = np.flatnonzero((marks[(word >> np.uint64(46)).astype(np.int64)] >> ((word >> np.uint64(40)) & np.uint64(63)).astype(np.int64)) & 1)
                 narrow = sets.astype("<u4")
                 for k in range(0, len(at), 4000):
                     some = at[k : k + 4000]
