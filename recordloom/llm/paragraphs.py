@@ -7,7 +7,8 @@ same cuts wherever it stands, and the paragraphs between them are the same.  Pas
 
 A paragraph's set of word shingles is signed by MinHash; the signature is cut into bands, and paragraphs that agree in a
 band become candidates.  The bands of a passage also hold its first shingle, as neighbours that overlap would be candidates
-without end otherwise.  The bands are tuned for recall: at the threshold 3 pairs in 1000 are missed, fewer above.
+without end otherwise.  The bands are tuned for recall: at the threshold 3 lines and 6
+passages in 1000 are missed, fewer above.
 
 Candidates of a band value are linked as a star.  Links are made within parts of each input partition first and only one
 paragraph of a value goes on to the shuffle, so a value that very many paragraphs share lands in no single task.  The texts
@@ -34,7 +35,8 @@ from ..runtime import ship
 from .components import connected_components, forest
 from .scratch import Scratch, partitions
 
-BANDS, ROWS = 8, 3  # 1 - (1 - 0.8**3)**8 = 0.9968 at a similarity of 0.8, 0.9998 at 0.87
+#: Bands, and rows in each, of lines and of passages: 1 - (1 - 0.8**3)**8 = 0.997 and 1 - (1 - 0.8**2)**5 = 0.994 at 0.8.
+BANDS = ((8, 3), (5, 2))
 #: A passage starts at a word whose hash is the least of NEAR words on either side, and has LEAST words or more; a stretch
 #: of LONG words without such a word is cut.
 NEAR, LEAST, LONG = 6, 16, 64
@@ -87,19 +89,19 @@ def shingles(words: np.ndarray, k: int) -> np.ndarray:
     return h
 
 
-def signatures(sets: np.ndarray, starts: np.ndarray, ends: np.ndarray | None = None) -> np.ndarray:
+def signatures(sets: np.ndarray, starts: np.ndarray, kind: int, ends: np.ndarray | None = None) -> np.ndarray:
     """One hash per band for each set of 32-bit hashes, sets[starts[i]:ends[i]]; without ``ends`` a set ends where the next one
-    starts.  Sets may overlap; none is empty.  Odd hashes are of passages, whose first hash counts in all bands."""
-    head = sets[starts]
-    head = np.where(head & np.uint64(1) > 0, head * _MIX, np.uint64(0))
+    starts.  Sets may overlap; none is empty.  Of passages, kind 1, the first hash counts in all bands."""
+    bands, rows = BANDS[kind]
+    head = sets[starts] * _MIX if kind else np.zeros(len(starts), np.uint64)
     if ends is not None:
         sets = np.append(sets, np.uint64(0))  # so that an end may be the end of all
         starts = np.stack([starts, ends], 1).ravel()
     step = 1 if ends is None else 2
-    out = np.empty((len(starts) // step, BANDS), np.uint64)
-    for b in range(BANDS):
+    out = np.empty((len(starts) // step, bands), np.uint64)
+    for b in range(bands):
         h = head ^ np.uint64(b)
-        for a, c in _FACTORS[b * ROWS : (b + 1) * ROWS]:
+        for a, c in _FACTORS[b * rows : (b + 1) * rows]:
             low = np.minimum.reduceat((sets * (a | np.uint64(1)) + c) & np.uint64(0xFFFFFFFF), starts)[::step]
             h = (h ^ low) * _MIX
             h ^= h >> np.uint64(32)
@@ -207,10 +209,10 @@ def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cut = Cutter(shingle, min_words)
         for b in batches:
-            for *_, node, start, to, sets in cut(b.column(0).to_pylist()):
-                value = signatures(sets, start, to) & ~_FIRST
+            for _, kind, _, _, node, start, to, sets in cut(b.column(0).to_pylist()):
+                value = signatures(sets, start, kind, to) & ~_FIRST
                 value[:, 0] |= _FIRST
-                value, owner = value.ravel(), np.repeat(node, BANDS)
+                value, owner = value.ravel(), np.repeat(node, value.shape[1])
                 first, u, v = _star(value, owner)
                 value, owner = value[first], owner[first]
                 cell = ((value >> np.uint64(24)).astype(np.float64) * (cells / 2.0**40)).astype(np.int64)  # values are in order
@@ -343,12 +345,16 @@ def missed_links(links: DataFrame, roots: DataFrame, sets: DataFrame, scratch: S
     def entries(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             payload = b.column(2).to_pylist()
-            for k in range(0, len(payload), 2000):
-                some = payload[k : k + 2000]
-                starts = np.cumsum([0, *(len(x) // 4 for x in some)])[:-1]
-                value = signatures(np.frombuffer(b"".join(some), "<u4").astype(np.uint64), starts).view(np.int64).ravel()
-                node, root = (np.repeat(c.to_numpy()[k : k + 2000], BANDS) for c in b.columns[:2])
-                yield pa.RecordBatch.from_arrays([pa.array(value), pa.array(node), pa.array(root)], ["value", "node", "root"])
+            kinds = np.array([x[0] & 1 for x in payload])
+            for kind in (0, 1):
+                own = np.flatnonzero(kinds == kind)
+                for k in range(0, len(own), 2000):
+                    at = own[k : k + 2000]
+                    some = [payload[i] for i in at.tolist()]
+                    starts = np.cumsum([0, *(len(x) // 4 for x in some)])[:-1]
+                    value = signatures(np.frombuffer(b"".join(some), "<u4").astype(np.uint64), starts, kind)
+                    node, root = (np.repeat(c.to_numpy()[at], value.shape[1]) for c in b.columns[:2])
+                    yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64).ravel()), pa.array(node), pa.array(root)], ["value", "node", "root"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found, rows = [], (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
