@@ -17,8 +17,12 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..runtime import ship
 
-#: Fixed masks of weight 6; 1 is a position that counts.
-MASKS = ("111111", "11011011", "1101001101", "10110100011")
+#: Fixed masks; 1 is a position that counts.  Any two of 13 positions leave one of weight 6 whole.
+MASKS = ("111111", "1111011", "11011011", "1101001101", "10110100011")
+#: Those of items under SHORT tokens: any substitutions that are allowed leave three tokens in a row whole.
+BRIEF, SHORT = ("111", "11", "1"), 14
+#: Items under so many tokens are found verbatim only.
+VERBATIM = 6
 #: Benchmark tokens that one pass over the documents carries along; more are taken in several passes.
 PASS_TOKENS = 2_000_000
 _EDGE = re.compile(r"^[^\w]+|[^\w]+$")
@@ -39,13 +43,17 @@ class Seeds:
             if words := tokens(text or ""):
                 self.names.append(item)
                 texts.append(words)
-        self.number = {w: n for n, w in enumerate(sorted({w for t in texts for w in t if w}), 1)}  # 0: any other token
-        self.items = [np.array([self.number.get(w, -1) for w in t], np.int64) for t in texts]
+        self.number = {w: n for n, w in enumerate(sorted({w for t in texts for w in t}), 1)}  # 0: any other token
+        self.items = [np.array([self.number[w] for w in t], np.int64) for t in texts]
         rng = np.random.default_rng(20)
-        self.factor = rng.integers(1, 2**63, (len(MASKS), 16), dtype=np.uint64) | np.uint64(1)
+        self.masks = MASKS + BRIEF
+        self.factor = rng.integers(1, 2**63, (len(self.masks), 16), dtype=np.uint64) | np.uint64(1)
         hashes, item, at = [], [], []
+        self.used: set[int] = set()
         for i, x in enumerate(self.items):
-            for m in range(len(MASKS)):
+            own = range(len(MASKS)) if len(x) >= SHORT else [len(MASKS) + 3 - min(3, len(x))]
+            self.used.update(own)
+            for m in own:
                 h, ok = self.hashes(x, m)
                 p = np.flatnonzero(ok)
                 hashes.append(h[p])
@@ -62,13 +70,13 @@ class Seeds:
 
     def hashes(self, x: np.ndarray, mask: int) -> tuple[np.ndarray, np.ndarray]:
         """(hash, whether all counted positions hold benchmark tokens) for each position of the mask."""
-        span, n = len(MASKS[mask]), len(x) - len(MASKS[mask]) + 1
+        span, n = len(self.masks[mask]), len(x) - len(self.masks[mask]) + 1
         if n <= 0:
             return np.empty(0, np.uint64), np.empty(0, bool)
         h, ok, known = np.full(n, mask, np.uint64), np.ones(n, bool), x > 0
         u = x.astype(np.uint64)
         for j in range(span):
-            if MASKS[mask][j] == "1":
+            if self.masks[mask][j] == "1":
                 h = (h ^ u[j : j + n]) * self.factor[mask, j]
                 h ^= h >> np.uint64(29)
                 ok &= known[j : j + n]
@@ -92,9 +100,7 @@ class Seeds:
             return []
         x = self.numbers(text)
         diagonals: set[tuple[int, int]] = set()
-        if np.count_nonzero(x) < 6:
-            return []
-        for m in range(len(MASKS)):
+        for m in sorted(self.used):
             h, ok = self.hashes(x, m)
             p = np.flatnonzero(ok)
             p = p[self.table[h[p] >> np.uint64(64 - self.bits)]]
@@ -111,7 +117,7 @@ class Seeds:
             same = x[s:e] == y[s - d : e - d]
             run = np.concatenate([[0], np.cumsum(same)])
             inside = run[need:] - run[:-need]
-            ok = np.flatnonzero(inside >= np.ceil(self.similarity * need - 1e-9))
+            ok = np.flatnonzero(inside >= (need if len(y) < VERBATIM else np.ceil(self.similarity * need - 1e-9)))
             if len(ok):
                 first, last = int(ok[0]), int(ok[-1]) + need
                 found = (s + first, last - first, float(run[last] - run[first]) / (last - first))
@@ -150,9 +156,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """(id, item_id, first_token, n_tokens, similarity): the documents that overlap a benchmark item, a row for each item.
 
     An overlap is a stretch, without insertions, in which each ``overlap`` tokens in a row (or all of a shorter item's)
-    agree in at least ``similarity`` of their positions.  Tokens are lower-cased words without punctuation at the ends.
-    Null and empty texts on either side overlap nothing; repeated rows give repeated rows; empty tables give none.
-    Items of fewer than 6 tokens hold no seed and are not searched.  Other columns are not read.
+    agree in at least ``similarity`` of their positions; items under 6 tokens must agree in all.  Tokens are lower-cased words
+    without punctuation at the ends.  Null and empty texts on either side overlap nothing; repeated rows give repeated
+    rows; empty tables give none.  Other columns are not read.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -164,7 +170,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", overlap: int = 13, similarity: float = 0.8) -> DataFrame:
-    """The rows of ``docs`` that overlap no benchmark item, with all their columns; a null text stays."""
+    """The rows of ``docs`` that overlap no benchmark item, with all their columns; null and empty texts stay, repeated rows go or
+    stay alike, an empty table stays empty, and an empty benchmark takes nothing out."""
     spark = docs.sparkSession
     ship(spark)
     for items in passes(benchmark):

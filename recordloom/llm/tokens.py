@@ -19,8 +19,8 @@ class Encoder:
 
     Byte-level BPE never merges across the start of a word with its leading space, nor across a single line break, nor
     between a word and the punctuation after it; so a text's ids are those of its parts.  Parts are encoded by the
-    library and remembered, the most recent ``cache_limit`` to twice as many; texts with runs of white space, and
-    vocabularies of another kind, go to the library whole.  Strings of special tokens in a text are ordinary text.
+    library and remembered, the most recent ``cache_limit`` to twice as many; texts with runs of white space or with an
+    added token of the vocabulary, and vocabularies of another kind, go to the library whole.
     """
 
     def __init__(self, path: str, cache_limit: int = 450_000):
@@ -28,11 +28,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.library.encode_special_tokens = True
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         pre = spec.get("pre_tokenizer") or {}
+        self.added = [t["content"] for t in spec.get("added_tokens") or []]
         self.newline = self._whole("\n")
         self.by_part = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True) and not spec.get("normalizer") and len(self.newline) == self.dtype.itemsize
         self.cache_limit = cache_limit
@@ -46,7 +46,7 @@ class Encoder:
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.by_part:
+        if not self.by_part or any(t in text for t in self.added):
             return self._whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")  # a part is a word after a space, or a line break and a word
         if new := set(rest).difference(self.parts):

@@ -26,9 +26,11 @@ from pyspark.sql import Column, DataFrame, functions as F
 from ..runtime import ship
 from .learning import calibrate, dual_coordinate_descent, labelled_sample, probability
 
-#: Weight of one more character spanned; characters of a word compared at a time; kernel values under which words count
-#: as unlike; labelled documents of label 1 and 0 that the model is fitted on.
-DECAY, LONGEST, NEAR, SAMPLE = 0.75, 24, 0.4, (2000, 3000)
+#: Weight of one more character spanned; characters of a word compared at a time; labelled documents of label 1 and 0 that the
+#: model is fitted on.  Words of those that may become landmarks: signs of label 1, and words of label 0.
+DECAY, LONGEST, SAMPLE, SIGNS, OTHERS = 0.75, 24, (2000, 3000), 4000, 60_000
+#: Most toxic words that stand for a sentence; the model's clean sentences, most toxic first, of each round.
+WORDS, HARD = 2, 3000
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SINGLES = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -36,10 +38,11 @@ _INNER = re.compile(r"[\W_]+")
 
 
 def _codes(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Code points, padded by zeros, and lengths."""
-    size = np.fromiter(map(len, words), np.int64, len(words))
-    out = np.zeros((len(words), LONGEST), np.uint32)
-    out[np.arange(LONGEST) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), "<u4")
+    """Code points between a mark of the start and one of the end, padded by zeros, and lengths."""
+    size = np.fromiter(map(len, words), np.int64, len(words)) + 2
+    out = np.zeros((len(words), LONGEST + 2), np.uint32)
+    text = "".join(f"\x02{w}\x03" for w in words)
+    out[np.arange(LONGEST + 2) < size[:, None]] = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
     return out, size
 
 
@@ -87,24 +90,35 @@ def forms(word: str) -> list[str]:
 
 
 class Landmarks:
-    """Kernel values between words and landmarks, 1 for equal words, 0 under NEAR."""
+    """Kernel values between words and landmarks, 1 for equal words; 0 if a word has under half of a landmark's pairs of
+    characters near each other."""
 
     def __init__(self, words: list[str]):
         self.words = words
         self.codes, _ = _codes(words)
-        self.width = max([3, *map(len, words)])
+        self.width = max([5, *(len(w) + 2 for w in words)])
         self.codes = self.codes[:, : self.width]
         self.own = np.maximum(subsequence_kernel(self.codes, self.codes), 1e-12)
         self.signs = _pairs(self.codes)
         self.need = np.maximum(2, np.ceil(0.5 * np.bitwise_count(self.signs).sum(axis=1)))
         self.gapped: re.Pattern | None = None
 
+    def gram(self) -> np.ndarray:
+        """The landmarks' own kernel matrix, in full."""
+        n = len(self.words)
+        i, j = np.triu_indices(n)
+        out = np.zeros((n, n))
+        for k in range(0, len(i), 1024):
+            a, b = i[k : k + 1024], j[k : k + 1024]
+            out[a, b] = subsequence_kernel(self.codes[a], self.codes[b]) / np.sqrt(self.own[a] * self.own[b])
+        return np.maximum(out, out.T)
+
     def __len__(self) -> int:
         return len(self.words)
 
     def read_gapped(self, signs: int, clean: Iterable[str]) -> None:
         """From here on a word that is one of the first ``signs`` landmarks with single letters in two or more of its gaps
-        is read as that landmark, unless it is one of ``clean``.  The kernel alone falls under NEAR there."""
+        is read as that landmark, unless it is one of ``clean``.  The kernel alone is too small there."""
         self.whole = [w for w in self.words[:signs] if len(w) > 3]
         self.known: set[str] = set()
         if self.whole:
@@ -134,15 +148,15 @@ class Landmarks:
             some = np.unique(x)
             own = np.zeros(len(index), np.float32)
             own[some] = subsequence_kernel(codes[some], codes[some])
-            for k in range(0, len(x), 8192):
-                i, j = x[k : k + 8192], y[k : k + 8192]
+            for k in range(0, len(x), 1024):
+                i, j = x[k : k + 1024], y[k : k + 1024]
                 value = subsequence_kernel(codes[i], self.codes[j]) / np.sqrt(np.maximum(own[i] * self.own[j], 1e-20))
-                out[index[i], j] = np.where(value >= NEAR, value, 0)
+                out[index[i], j] = value
         return out
 
 
 class Reader:
-    """Margins of words; the most recent ``limit`` to twice as many are remembered."""
+    """What words add to a margin; the most recent ``limit`` to twice as many are remembered."""
 
     def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 250_000):
         self.landmarks, self.weight, self.bias, self.limit = landmarks, weight, bias, limit
@@ -158,17 +172,24 @@ class Reader:
             self.memo[w] = self.older[w]
         new = sorted(new.difference(self.memo))
         rows = word_rows(self.landmarks, new)
-        margins = np.full(len(new), self.bias)
-        near = np.flatnonzero(rows.any(axis=1))
-        margins[near] = rows[near] @ self.weight + self.bias
-        self.memo.update(zip(new, margins.tolist()))
+        self.memo.update(zip(new, np.maximum(rows @ self.weight, 0.0).tolist()))
 
     def margins(self, texts: list[str]) -> list[float]:
-        """The margin of each text: that of its most toxic word, hence of its most toxic sentence."""
+        """The margin of each text: that of its most toxic sentence."""
         held = [words_of(t) for t in texts]
         self.learn(set().union(*held))
-        get = self.memo.__getitem__
-        return [max(self.bias, max(map(get, w), default=self.bias)) for w in held]
+        memo, out = self.memo, []
+        for text, words in zip(texts, held):
+            gains = {w: g for w in set(words) if (g := memo[w])}
+            best = 0.0
+            if gains:
+                spaced = _SINGLES.search(text.lower()) is not None
+                for part in _SENTENCE.split(text):
+                    found = set(words_of(part) if spaced else part.lower().split())
+                    here = sorted((gains[w] for w in found if w in gains), reverse=True)
+                    best = max(best, sum(here[:WORDS]))
+            out.append(self.bias + best)
+        return out
 
 
 def words_of(text: str) -> list[str]:
@@ -209,8 +230,9 @@ class Model:
                 held[int(label > 0)].update({f for w in set(text.lower().split()) for f in forms(w)})
             odds = {w: np.log((n + 0.5) / (up + 1)) - np.log((held[0][w] + 0.5) / (down + 1)) for w, n in held[1].items() if n >= max(3, up * 0.004)}
             sure = {w: o - 2 * np.sqrt(1 / (held[1][w] + 0.5) + 1 / (held[0][w] + 0.5)) for w, o in odds.items()}
-            cues = sorted((w for w, o in sure.items() if o > 1), key=lambda w: (-held[1][w] * odds[w], w))[:4000]
-            chosen = self._spread_out(cues, landmarks)
+            cues = sorted((w for w, o in sure.items() if o > 1), key=lambda w: (-held[1][w] * odds[w], w))[:SIGNS]
+            known = set(cues)
+            chosen = self._covering(cues, [known.intersection(f for w in set(t.lower().split()) for f in forms(w)) for t, label in texts if label], landmarks)
             if chosen:
                 self._fit(texts, y, chosen, held, c)
 
@@ -229,26 +251,42 @@ class Model:
         return out
 
     @staticmethod
-    def _spread_out(cues: list[str], most: int) -> list[str]:
-        """Cues in order, each unlike those before it."""
-        chosen: list[str] = []
-        alive = cues
-        while alive and len(chosen) < most:
-            chosen.append(alive[0])
-            near = Landmarks([alive[0]]).kernel(alive)[:, 0]
-            alive = [w for w, k in zip(alive, near) if k < 0.75 and w != chosen[-1]]
+    def _covering(cues: list[str], docs: list[set[str]], most: int) -> list[str]:
+        """Cues in order of the documents that they add.  A document counts a quarter for each landmark so far that one of its
+        words is like, so that every family of words gets landmarks, rare ones too."""
+        number = {w: i for i, w in enumerate(cues)}
+        pairs = [(d, number[w]) for d, words in enumerate(docs) for w in words if w in number]
+        at, cue = np.array(pairs, np.int64).reshape(-1, 2).T
+        if not cues:
+            return []
+        codes, _ = _codes(cues)
+        signs, own = _pairs(codes), np.concatenate([subsequence_kernel(codes[k : k + 1024], codes[k : k + 1024]) for k in range(0, len(cues), 1024)])
+        need = 0.5 * np.bitwise_count(signs).sum(axis=1)
+        weight, free, chosen = np.ones(len(docs)), np.ones(len(cues), bool), []
+        while len(chosen) < most:
+            gain = np.bincount(cue, weight[at], len(cues)) * free
+            if gain.max() <= 0.05:
+                break
+            best = int(np.argmax(gain))
+            chosen.append(cues[best])
+            like = np.zeros(len(cues), np.float32)
+            near = np.flatnonzero(sum(np.bitwise_count(signs[:, k] & signs[best, k]).astype(int) for k in range(4)) >= need[best])
+            like[near] = subsequence_kernel(codes[near], codes[[best]].repeat(len(near), 0)) / np.sqrt(own[near] * own[best])
+            free &= like < 0.95
+            weight[np.unique(at[like[cue] >= 0.5])] *= 0.25
         return chosen
 
     def _fit(self, texts: list, y: np.ndarray, chosen: list[str], held: tuple[Counter, Counter], c: float) -> None:
         signs = len(chosen)
-        clean = [w for w, n in held[0].items() if n >= 2 and not held[1][w]][:60_000]
-        if clean:
-            near = Landmarks(chosen).kernel(clean).max(axis=1)
-            chosen = chosen + [clean[i] for i in np.lexsort((clean, -near))[: len(chosen) // 2] if near[i] > 0]
+        clean = sorted((w for w, n in held[0].items() if n >= 2), key=lambda w: (-held[0][w], w))[:OTHERS]
+        if clean:  # for each sign the most similar clean word
+            near = Landmarks(chosen).kernel(clean)
+            best = near.argmax(axis=0)
+            chosen = chosen + sorted({clean[i] for k, i in enumerate(best.tolist()) if near[i, k] > 0 and clean[i] not in chosen})
         landmarks = Landmarks(chosen)
-        gram = landmarks.kernel(chosen).astype(float)
+        gram = landmarks.gram()
         landmarks.read_gapped(signs, held[0])
-        values, vectors = np.linalg.eigh((gram + gram.T) / 2)
+        values, vectors = np.linalg.eigh(gram)
         white = vectors * (np.maximum(values, 1e-3) ** -0.5) @ vectors.T
         number, kept = {}, [np.zeros((0, len(landmarks)), np.float32)]  # of words near a landmark; all others are alike
         names = sorted(set().union(*(words_of(text) for text, _ in texts)))
@@ -257,35 +295,47 @@ class Model:
             near, base = np.flatnonzero(part.any(axis=1)), len(number)
             number.update((names[k + i], base + j) for j, i in enumerate(near.tolist()))
             kept.append(part[near])
-        rows, other = np.concatenate(kept), len(number)
+        rows = np.concatenate(kept)
         del names, kept
-        cue = np.append(rows[:, :signs].max(axis=1), 0) if len(rows) else np.zeros(1)
-        sentences = [[[number[w] for w in words_of(part) if w in number] for part in _SENTENCE.split(text)] for text, _ in texts]
+        if not len(rows):
+            return
+        cue = rows[:, :signs].max(axis=1)
+        sentences = [[[number[w] for w in set(words_of(part)) if w in number] for part in _SENTENCE.split(text)] for text, _ in texts]
         half = np.arange(len(texts)) % 4 != 3
-        toxic, harmless = [], Counter({other: 1})
+        toxic, clean_parts = [], []
         for ss, label, learn in zip(sentences, y > 0, half):
             if learn and not label:
-                harmless.update(i for s in ss for i in set(s) if cue[i])
+                clean_parts += [s for s in ss if s]
             elif learn:  # of a toxic document only its clearest sentences are known to be toxic
                 best = max((cue[i] for s in ss for i in s), default=0.0)
                 toxic += [s for s in ss if s and best and max(cue[s]) >= min(0.8, best)]
         if not toxic:
             return
-        z = np.vstack([np.hstack([rows @ white, np.ones((len(rows), 1))]), np.append(np.zeros(len(chosen)), 1.0)])
-        score = np.append(rows.max(axis=1), 0)
-        columns = np.arange(z.shape[1])
-        down = np.array([*harmless], np.int64)
-        times = np.sqrt(np.array([*harmless.values()], float))
-        for _ in range(3):  # a sentence stands for its most toxic word; words and model are found in turn
-            witness = Counter(s[int(np.argmax(score[s]))] for s in toxic)
-            up = np.array([*witness], np.int64)
-            weight = np.sqrt(np.array([*witness.values()], float))
+        z = rows @ white
+        score = cue
+
+        def standing(s: list[int]) -> tuple[int, ...]:
+            """The words that stand for a sentence: those that add most to its margin, one at least."""
+            top = sorted(s, key=lambda i: -score[i])[:WORDS]
+            return tuple(sorted(i for k, i in enumerate(top) if not k or score[i] > 0))
+
+        columns = np.arange(z.shape[1] + 1)
+        hard: Counter = Counter()
+        for _ in range(4):  # words that stand for sentences, and the model, are found in turn
+            up = Counter(map(standing, toxic))
+            now = Counter(map(standing, clean_parts))
+            for t in sorted(now, key=lambda t: (-sum(score[i] for i in t), t))[:HARD]:
+                hard[t] = now[t]
+            down = Counter({(): 1}) + hard
+            weight, times = np.sqrt(np.array([*up.values()], float)), np.sqrt(np.array([*down.values()], float))
             label = np.append(np.ones(len(up)), -np.ones(len(down)))
             cost = c * np.append(weight * 0.3 * times.sum() / weight.sum(), times) * len(label) / (2 * times.sum())
-            w = dual_coordinate_descent([(columns, z[i]) for i in np.append(up, down)], label, z.shape[1], cost, epochs=40)
-            score = z @ w
+            x = [(columns, np.append(z[list(t)].sum(axis=0), 1.0)) for t in [*up, *down]]
+            w = dual_coordinate_descent(x, label, len(columns), cost, epochs=20)
+            score = z @ w[:-1]
         self.landmarks, self.weight, self.bias = landmarks, white @ w[:-1], float(w[-1])
-        margin = np.array([max([self.bias, *(float(score[i]) for s in ss for i in s)]) for ss in sentences])
+        gain = np.maximum(score, 0.0)
+        margin = np.array([self.bias + max((sum(sorted(gain[s], reverse=True)[:WORDS]) for s in ss if s), default=0.0) for ss in sentences])
         self.a, self.b = calibrate(margin[~half], y[~half]) if (~half).any() else calibrate(margin, y)
         self.a = max(self.a, 0.0)
 

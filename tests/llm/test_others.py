@@ -17,9 +17,12 @@ rng = np.random.default_rng(3)
 
 
 def test_encoder_is_the_library():
-    e = tokens.Encoder(V, cache_limit=20)
+    from tokenizers import Tokenizer
+
+    e, library = tokens.Encoder(V, cache_limit=20), Tokenizer.from_file(V)
+    assert library.encode("x<|endoftext|>y", add_special_tokens=False).ids == [87, 50256, 88]
     for t in ODD + [" ".join(rng.choice(ODD, 9)) for _ in range(300)]:
-        assert np.frombuffer(e.encode(t), e.dtype).tolist() == e.library.encode(t, add_special_tokens=False).ids, t
+        assert np.frombuffer(e.encode(t), e.dtype).tolist() == library.encode(t, add_special_tokens=False).ids, t
     assert e.encode(None) == b""
 
 
@@ -84,7 +87,7 @@ def test_plan_keeps_every_capacity(rule):
         items.sort()
         assert sum(k for _, k in items) <= 256 and len(items) <= 6 and sum(k * k for _, k in items) <= 40_000
         assert [o for o, _ in items] == list(np.cumsum([0, *(k for _, k in items)])[:-1])
-    free = packing.Plan(histogram, 256, 256, 65_536, rule="norm")
+    free = packing.Plan(histogram, 256, 256, 65_536, (1.0, 0.0, 0.0), "norm")
     rooms: list[int] = []  # best fit decreasing, one piece at a time
     opened = 0
     for k in sorted(histogram, reverse=True):
@@ -93,6 +96,7 @@ def test_plan_keeps_every_capacity(rule):
             opened += i == len(rooms)
             bisect.insort(rooms, (rooms.pop(i) if i < len(rooms) else 256) - k)
     assert free.sequences == opened
+    assert packing.Plan(histogram, 256, 256, 65_536, rule=rule).sequences <= opened * (1.0 if rule == "norm" else 1.01)
 
 
 def test_top_k_is_brute_force(spark):
@@ -147,7 +151,7 @@ def test_decontamination(spark):
     noise = lambda n: [f"n{i}" for i in rng.integers(0, 5000, n)]
     rows = [(1, " ".join(noise(50) + item + noise(50))), (2, " ".join(noise(20) + swapped + noise(9))), (3, " ".join(noise(90))), (4, " ".join(item[:9] + noise(30) + item[9:17])), (5, ""), (6, None), (7, " ".join(item[10:25]).upper() + "."), (1, "x")]
     df = spark.createDataFrame([(i, t, 1) for i, t in rows], "doc_id long, text string, hits int")
-    bench = spark.createDataFrame([(9, " ".join(item)), (10, None), (11, "a b"), (9, " ".join(item))], "item_id long, text string")
+    bench = spark.createDataFrame([(9, " ".join(item)), (10, None), (11, "a b"), (9, " ".join(item)), (12, "q1 - q2 q3"), (13, "")], "item_id long, text string")
     got = decontaminate.contaminated(df, bench).select("doc_id", "item_id").distinct().collect()
     assert sorted(map(tuple, got)) == [(1, 9), (2, 9), (7, 9)]
     kept = decontaminate.clean(df, bench)
@@ -155,6 +159,40 @@ def test_decontamination(spark):
     assert decontaminate.contaminated(df.limit(0), bench).count() == 0 and decontaminate.contaminated(df, bench.limit(0)).count() == 0
 
 
+def test_every_allowed_substitution_is_found():
+    """Of items of each length, and of an overlap of 13 tokens within longer ones, with as many substitutions as are allowed."""
+    for n in [*range(1, 15), 30]:
+        own = [f"i{k}" for k in range(n)]
+        seeds = decontaminate.Seeds([(1, " ".join(own))], 13, 0.8)
+        size = min(n, 13)
+        wrong = 0 if n < 6 else size - int(np.ceil(0.8 * size - 1e-9))
+        for spots in itertools.combinations(range(size), wrong):
+            part = ["x" if k in spots else w for k, w in enumerate(own[:size])]
+            assert seeds.hits("a b " + " ".join(part) + " c"), (n, spots)
+        if wrong:
+            assert not seeds.hits(" ".join(["x" if k <= wrong else w for k, w in enumerate(own[:size])]))
+
+
+def test_op5_is_brute_force(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = [(r["doc_id"], decontaminate.tokens(r["text"] or "")) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    want = set()
+    for item, y in [(r["item_id"], decontaminate.tokens(r["text"] or "")) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]:
+        need = min(13, len(y))
+        known = set(y)
+        for i, x in docs:
+            if sum(w in known for w in x) < 0.8 * need:
+                continue
+            for d in range(-len(y) + need, len(x) - need + 1):
+                same = [x[d + k] == y[k] if 0 <= d + k < len(x) else None for k in range(len(y))]
+                run = [s for s in same if s is not None]
+                if need and any(sum(run[k : k + need]) >= (need if len(y) < 6 else 0.8 * need - 1e-9) for k in range(len(run) - need + 1)):
+                    want.add((i, item))
+                    break
+    got = {(r["doc_id"], r["item_id"]) for r in queries.op5_benchmark_decontamination(spark, sf).collect()}
+    assert got == want and want
+
+
 def test_string_kernel():
     def brute(s, t, p=3):
         pairs = itertools.product(itertools.combinations(range(len(s)), p), itertools.combinations(range(len(t)), p))
@@ -162,7 +200,7 @@ def test_string_kernel():
 
     for a, b in (("idiot", "i-d-iot"), ("abcabc", "cabbac"), ("loser", "closer"), ("aaa", "aaaa")):
         (x, _), (y, _) = toxicity._codes([a]), toxicity._codes([b])
-        assert toxicity.subsequence_kernel(x, y)[0] == pytest.approx(brute(a, b), rel=1e-4)
+        assert toxicity.subsequence_kernel(x, y)[0] == pytest.approx(brute(f"^{a}$", f"^{b}$"), rel=1e-4)
 
 
 def labelled(spark):
