@@ -31,6 +31,8 @@ from .learning import calibrate, dual_coordinate_descent, labelled_sample, proba
 DECAY, LONGEST, SAMPLE, SIGNS, OTHERS = 0.75, 24, (2000, 3000), 4000, 60_000
 #: Most toxic words that stand for a sentence; the model's clean sentences, most toxic first, of each round.
 WORDS, HARD = 2, 3000
+#: Kernel value to some landmark from which on a word of the sample takes part in the fit.
+CLOSE = 0.3
 _SENTENCE = re.compile(r"(?<=[.!?])\s+|\n+")
 _SINGLES = re.compile(r"(?:(?<=\s)|^)\S(?:\s\S){2,}(?=\s|$)")
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
@@ -288,11 +290,11 @@ class Model:
         landmarks.read_gapped(signs, held[0])
         values, vectors = np.linalg.eigh(gram)
         white = vectors * (np.maximum(values, 1e-3) ** -0.5) @ vectors.T
-        number, kept = {}, [np.zeros((0, len(landmarks)), np.float32)]  # of words near a landmark; all others are alike
+        number, kept = {}, [np.zeros((0, len(landmarks)), np.float32)]  # of words close to a landmark; only these teach
         names = sorted(set().union(*(words_of(text) for text, _ in texts)))
         for k in range(0, len(names), 20_000):
             part = word_rows(landmarks, names[k : k + 20_000])
-            near, base = np.flatnonzero(part.any(axis=1)), len(number)
+            near, base = np.flatnonzero(part.max(axis=1) >= CLOSE), len(number)
             number.update((names[k + i], base + j) for j, i in enumerate(near.tolist()))
             kept.append(part[near])
         rows = np.concatenate(kept)
@@ -311,7 +313,7 @@ class Model:
                 toxic += [s for s in ss if s and best and max(cue[s]) >= min(0.8, best)]
         if not toxic:
             return
-        z = rows @ white
+        z = rows @ white.astype(np.float32)
         score = cue
 
         def standing(s: list[int]) -> tuple[int, ...]:
