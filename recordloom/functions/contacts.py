@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from .ratio import nearest
 from .text import strip_accents, text, transliterate
 
 # Domains, patterns with their priors, and words that mark what is no address.
@@ -95,6 +96,19 @@ def area_filled(c, province: Column) -> Column:
     return F.when(F.length(digits) == 7, F.concat(F.when(province.isin("Carchi", "Imbabura"), "06").otherwise("07"), digits)).otherwise(digits)
 
 
+def suggested_domain(domain: Column) -> Column:
+    """The known domain that a mistyped one is most like, at a weighted ratio of 85 or more; null for known ones."""
+    known = FREEMAIL + KNOWN_DOMAINS
+    return F.when(~domain.isin(*known), nearest([*known], 85.0)(domain))
+
+
+def nearest_category(c, variants) -> Column:
+    """The code of a known variant, or of the one most like it at a weighted ratio of 88 or more; null otherwise."""
+    codes = F.create_map(*[F.lit(x) for code, words in variants.items() for w in words for x in (w, code)])
+    key = F.upper(F.trim(strip_accents(c)))
+    return F.coalesce(category_code(c, variants), F.try_element_at(codes, nearest([w for words in variants.values() for w in words], 88.0)(key)))
+
+
 def category_code(c, variants) -> Column:
     """The code of an exactly known variant, from (code, variant) rows held in a map; null otherwise."""
     table = F.create_map(*[F.lit(x) for code, words in variants.items() for w in words for x in (w, code)])

@@ -7,9 +7,11 @@ the words in common with either side's rest.
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import functions as F
+from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DoubleType
 
+from .text import text
+
 
 def lcs(a: str, b: str) -> int:
     """Length of the longest common subsequence, bit-parallel (Hyyrö, 2004)."""
@@ -82,19 +84,30 @@ def scorer(name: str):
     return _udf({"ratio": ratio, "token_sort": token_sort, "token_set": token_set, "weighted": weighted}[name])
 
 
-def strict_name_score(a: tuple[str, str, str], b: tuple[str, str, str]) -> float:
-    """35% first surname, 35% second, 30% first given name; a surname under 0.6 halves the lesser of both.
+def agreement(a: Column, b: Column, alone: float = 0.0, neither: float = 0.0) -> Column:
+    """Token sort ratio of two name parts, from 0 to 1, letter case aside; ``alone`` if one of them is empty,
+    ``neither`` if both are.  A second surname that one name lacks counts 0.5, one that neither has 1."""
+    x, y = F.lower(text(a)), F.lower(text(b))
+    return F.when((x == "") & (y == ""), neither).when((x == "") | (y == ""), alone).otherwise(scorer("token_sort")(x, y) / 100)
+
+
+def name_score(first_surname: Column, second_surname: Column, given: Column) -> Column:
+    """One score of three agreements: a weighted mean, or half of the lesser surname's where a surname is under 0.6."""
+    lesser = F.least(first_surname, second_surname)
+    return F.when(lesser < 0.6, lesser / 2).otherwise(0.35 * first_surname + 0.35 * second_surname + 0.3 * given)
+
 
-    A second surname on one side only counts 0.5, and so never passes; on neither side it counts 1."""
-    both = lambda x, y: token_sort(x.lower(), y.lower()) / 100 if x and y else 0.0
-    one = both(a[0], b[0])
-    two = both(a[1], b[1]) if a[1] and b[1] else 1.0 if not a[1] and not b[1] else 0.5
-    if one < 0.6 or two < 0.6:
-        return min(one, two) * 0.5
-    return 0.35 * one + 0.35 * two + 0.30 * both(a[2], b[2])
+def nearest(names: list[str], least: float):
+    """A column function: the name of a short list that is most alike by the weighted ratio, if that is ``least`` or more; of
+    equals the first in order of letters.  Null for a null or empty string.  Give it distinct values."""
+    order = sorted(set(names))
 
+    @F.pandas_udf("string")
+    def found(values: pd.Series) -> pd.Series:
+        out = []
+        for v in values:
+            best, name = max(((weighted(v, n), -i) for i, n in enumerate(order)), default=(0.0, 0)) if v else (0.0, 0)
+            out.append(order[-name] if v and order and best >= least else None)
+        return pd.Series(out, dtype=object)
 
-@F.pandas_udf(DoubleType())
-def strict_score(fam1: pd.Series, fam2: pd.Series, first: pd.Series, fam1_b: pd.Series, fam2_b: pd.Series, first_b: pd.Series) -> pd.Series:
-    rows = zip(fam1, fam2, first, fam1_b, fam2_b, first_b)
-    return pd.Series([strict_name_score(tuple(x or "" for x in r[:3]), tuple(x or "" for x in r[3:])) for r in rows], dtype="float64")
+    return found

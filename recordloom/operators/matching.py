@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scores import subset
+from ..runtime import shared_folder
 
 
 def shared_tokens(left: DataFrame, right: DataFrame, lid: str, rid: str, ltokens: str, rtokens: str, least: int = 2) -> DataFrame:
@@ -42,9 +43,7 @@ def clusters(edges: DataFrame, u: str, v: str, p: str, threshold: float = 0.85,
     spark = edges.sparkSession
     sc = spark.sparkContext
     if sc._jsc.sc().getCheckpointDir().isEmpty():
-        import tempfile
-
-        sc.setCheckpointDir(folder or spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp())
+        sc.setCheckpointDir(folder or shared_folder(spark))
     e = edges.where(F.col(p) >= threshold).select(F.col(u).alias("u"), F.col(v).alias("v"))
     e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
     label = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")).checkpoint()

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions import contacts, ratio, scores, text
+from ..functions import contacts, ratio, rules, scores, text
 from ..operators import consolidating, matching, ranking
-from ..runtime import ship, table
+from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
 
@@ -144,11 +143,9 @@ def left_enrich_overwrite(spark, sf):
     return ranking.overwrite_from(d, table(spark, sf, "labels"), "doc_id", ["quality", "toxic"])
 
 
-@_query("""SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality FROM (SELECT * FROM documents WHERE doc_id % 3 <> 0) d
-  FULL JOIN labels l ON d.doc_id = l.doc_id""")
+@_query("SELECT coalesce(d.doc_id, l.doc_id) AS doc_id, d.n_chars, l.quality FROM documents d FULL JOIN labels l ON d.doc_id = l.doc_id")
 def full_outer_enrich(spark, sf):
-    d = table(spark, sf, "documents").where("doc_id % 3 <> 0").select("doc_id", "n_chars")  # so that some labels have no document
-    return ranking.overwrite_from(d, table(spark, sf, "labels"), "doc_id", ["quality"], how="full")
+    return ranking.overwrite_from(table(spark, sf, "documents").select("doc_id", "n_chars"), table(spark, sf, "labels"), "doc_id", ["quality"], how="full")
 
 
 @_query("SELECT s_suppkey, count(c_custkey) AS n, coalesce(sum(CAST(c_acctbal * 100 AS BIGINT)), 0)::BIGINT AS cents FROM supplier LEFT JOIN customer ON s_nationkey = c_nationkey GROUP BY 1")
@@ -231,14 +228,14 @@ def jaccard_pairs(spark, sf):
     return pairs.join(t, "a").join(u, "b").select("a", "b", F.round(scores.jaccard(F.col("t"), F.col("u")), 6).alias("jaccard"))
 
 
-@_query("""SELECT a.vec_id AS a, b.vec_id AS b, round(list_inner_product(a.e, b.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(b.e, b.e)) + 1e-9), 6) AS cosine
-  FROM (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) a JOIN (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings) b
-  ON a.label = b.label AND b.vec_id = a.vec_id + 7""")
+@_query("""WITH e AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), f AS (SELECT label, min(vec_id) AS b FROM e GROUP BY 1)
+  SELECT a.vec_id AS a, f.b, round(list_inner_product(a.e, y.e) / (sqrt(list_inner_product(a.e, a.e)) * sqrt(list_inner_product(y.e, y.e)) + 1e-9), 6) AS cosine
+  FROM e a JOIN f ON a.label = f.label JOIN e y ON y.vec_id = f.b""")
 def cosine_pairs(spark, sf):
-    e = table(spark, sf, "embeddings")
-    a, b = e.select(F.col("vec_id").alias("a"), "label", F.col("embedding").alias("x")), e.select(F.col("vec_id").alias("b"), "label", F.col("embedding").alias("y"))
-    j = a.join(b, (a["label"] == b["label"]) & (b["b"] == a["a"] + 7))
-    return j.select("a", "b", F.round(scores.cosine(F.col("x"), F.col("y")), 6).alias("cosine"))
+    """Every vector against the first one of its label."""
+    e = table(spark, sf, "embeddings").select("vec_id", "label", "embedding")
+    first = e.groupBy("label").agg(F.min_by(F.struct(F.col("vec_id").alias("b"), F.col("embedding").alias("y")), "vec_id").alias("f")).select("label", "f.*")
+    return e.join(first, "label").select(F.col("vec_id").alias("a"), "b", F.round(scores.cosine(F.col("embedding"), F.col("y")), 6).alias("cosine"))
 
 
 _SIGNALS = {"click": "source_tier_3", "purchase": "source_tier_1", "error": "contradicted_by_tier2", "signup": "mx_ok", "view": "single_source"}
@@ -475,8 +472,7 @@ def hourly_counts(spark, sf):
 
 @_query("SELECT DISTINCT user_id, event_type FROM events")
 def incremental_dedupe(spark, sf):
-    base = spark.conf.get("spark.checkpoint.dir", "") or tempfile.mkdtemp()
-    out = f"{base.rstrip('/')}/incremental-{uuid.uuid4().hex}"
+    out = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
     path = f"{sf}/events.parquet"
     schema = spark.read.parquet(path).schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if _is_folder(spark, path) else f"{sf}/events*.parquet")
@@ -516,3 +512,71 @@ def snapshot_hosts(spark, sf):
     p = table(spark, sf, "pages").select("url", "html", F.timestamp_seconds(F.col("page_id") * 3600).alias("fetched"))
     newest = p.agg(F.max("fetched")).first()[0]  # a fixed date would leave small tables empty
     return files.fresh_snapshots(p, "url", "fetched", F.lit(newest).cast("timestamp"), 7).select("url_key", "url", "fetched")
+
+
+_BAD = "error@"
+
+
+@_query("SELECT event_id, CASE WHEN contains(lower(event_type || '@' || user_id), 'error@') THEN '' ELSE event_type || '@' || user_id END AS email FROM events")
+def placeholder_emails(spark, sf):
+    email = F.concat_ws("@", "event_type", F.col("user_id").cast("string"))
+    return table(spark, sf, "events").select("event_id", rules.without_placeholder(email, (_BAD,)).alias("email"))
+
+
+@_query("SELECT p_partkey, len(string_split_regex(trim(upper(p_name)), '\\s+')) >= 2 AND NOT list_has_any(string_split_regex(trim(upper(p_name)), '\\s+'), ['GREEN', 'STEEL', 'BLUE']) AS person FROM part")
+def person_names(spark, sf):
+    return table(spark, sf, "part").select("p_partkey", rules.is_person(F.col("p_name"), ("GREEN", "STEEL", "BLUE")).alias("person"))
+
+
+@_query("""SELECT page_id, starts_with(p, '/en/') AND length(p) - length(replace(p, '/', '')) >= 2 AS profile, contains(u, 'example') AS wanted
+  FROM (SELECT page_id, regexp_extract(coalesce(url, ''), '^[^:]+://[^/?#]*([^?#]*)', 1) AS p, lower(coalesce(url, '')) AS u FROM pages)""")
+def profile_urls(spark, sf):
+    return table(spark, sf, "pages").select("page_id", rules.is_profile(F.col("url"), "/en/").alias("profile"), rules.on_domain(F.col("url"), "Example").alias("wanted"))
+
+
+@_query("""SELECT doc_id, CASE WHEN n_chars < 300 THEN 'invalid_format' WHEN lang = 'fr' THEN 'no_mx' WHEN quality = 1 THEN 'verified' WHEN quality = 0 THEN 'rejected' ELSE 'unverified' END AS kind
+  FROM documents LEFT JOIN labels USING (doc_id)""")
+def address_cases(spark, sf):
+    d = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id", "left")
+    return d.select("doc_id", rules.address_case(F.col("n_chars") >= 300, F.col("lang") != "fr", F.col("quality") == 1).alias("kind"))
+
+
+_MATCH_SQL = """WITH t AS (SELECT p_partkey AS a, p_brand, p_size, list_distinct(string_split(lower(p_name), ' ')) AS w FROM part),
+  k AS (SELECT x.a, y.a AS b, x.w AS u, y.w AS v, x.p_size = y.p_size AS same, 85 + (x.p_size + y.p_size) % 16 AS s FROM t x JOIN t y ON x.p_brand = y.p_brand AND x.a < y.a),
+  c AS (SELECT *, len(list_intersect(u, v)) AS n, len(list_intersect(u, v)) = len(u) AS held FROM k),
+  m AS (SELECT a, b, s, n, CASE WHEN len(u) < 2 OR len(v) < 2 THEN 'descartado' WHEN held AND (n >= 3 OR (n >= 2 AND same)) THEN 'alta' WHEN s >= 93 AND n >= 3 AND same THEN 'alta'
+    WHEN s >= 93 AND (n >= 3 OR (n >= 2 AND same)) THEN 'media' WHEN s >= 90 AND n >= 2 THEN 'baja' ELSE 'descartado' END AS label FROM c)"""
+
+
+def _labelled_pairs(spark, sf):
+    """Pairs of parts of one brand; their sizes stand for places and for the ratio, which SQL does not have."""
+    t = table(spark, sf, "part").select(F.col("p_partkey").alias("a"), "p_brand", "p_size", F.array_distinct(F.split(F.lower("p_name"), " ")).alias("w"))
+    pairs = matching.blocked_pairs(t, "a", F.array("p_brand"))
+    j = pairs.join(t, "a").join(t.select(F.col("a").alias("b"), F.col("p_size").alias("size_b"), F.col("w").alias("v")), "b")
+    alike = F.lit(85) + (F.col("p_size") + F.col("size_b")) % 16
+    label = rules.match_label(F.col("w"), F.col("v"), alike, F.col("p_size") == F.col("size_b"))
+    return j.select("a", "b", alike.alias("s"), rules.overlap(F.col("w"), F.col("v")).alias("overlap"), label.alias("label"))
+
+
+@_query(_MATCH_SQL + " SELECT label, count(*) AS pairs, sum(CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END) AS overlapping FROM m GROUP BY 1")
+def match_labels(spark, sf):
+    return _labelled_pairs(spark, sf).groupBy("label").agg(F.count(F.lit(1)).alias("pairs"), F.sum("overlap").alias("overlapping"))
+
+
+@_query(_MATCH_SQL + """ SELECT a, b, label, s FROM (SELECT *, row_number() OVER (PARTITION BY a ORDER BY CASE label WHEN 'alta' THEN 3 WHEN 'media' THEN 2 ELSE 1 END DESC, s DESC, b) AS k
+  FROM m WHERE label <> 'descartado') WHERE k = 1""")
+def best_match(spark, sf):
+    pairs = _labelled_pairs(spark, sf).where("label <> 'descartado'")
+    return ranking.top_per_key(pairs, ["a"], [rules.label_rank(F.col("label")).desc(), F.desc("s"), F.asc("b")]).select("a", "b", "label", "s")
+
+
+@_query("SELECT user_id, count(*) AS n FROM events GROUP BY 1 ORDER BY n DESC, user_id LIMIT 8")
+def value_counts_top8(spark, sf):
+    return table(spark, sf, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "user_id").limit(8)
+
+
+@_query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderstatus = 'F' ORDER BY CASE WHEN o_orderpriority = '1-URGENT' THEN 0 ELSE 1 END, o_orderkey LIMIT 20")
+def head_after_filter(spark, sf):
+    """Rows of the first priority first, then by key; a limit is the feature."""
+    first = F.when(F.col("o_orderpriority") == "1-URGENT", 0).otherwise(1)
+    return table(spark, sf, "orders").where("o_orderstatus = 'F'").orderBy(first, "o_orderkey").limit(20).select("o_orderkey", "o_custkey")

@@ -43,6 +43,16 @@ def ship(spark: SparkSession) -> None:
     _shipped.add(sc.applicationId)
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of spark.checkpoint.dir; a plain local session that leaves it unset gets a temporary one."""
+    named = spark.conf.get("spark.checkpoint.dir", "")
+    if named:
+        return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
+    return f"file://{tempfile.mkdtemp(prefix='recordloom-')}"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -101,13 +101,28 @@ def test_buckets_tiers_and_pairs(spark):
 def test_ratios():
     assert round(ratio.ratio("clinicabiblia.com", "clinicabiblica.com"), 2) == 97.14
     assert round(ratio.ratio("acme.com", "me.com"), 1) == 85.7
-    assert ratio.strict_name_score(("MORA", "SALAS", "ELENA"), ("MORA", "SALAS", "ELENA")) == pytest.approx(1.0)
-    assert round(ratio.strict_name_score(("SOTO", "RIVAS", "LUIS"), ("SOTO", "SOTO", "ANA")), 4) == 0.1111
-    assert ratio.strict_name_score(("MORA", "", "ELENA"), ("MORA", "SALAS", "ELENA")) == 0.25
     for a, b in (("abc", "acb"), ("", "x"), ("soto vega", "vega soto ana")):
         assert ratio.token_set(a, b) == ratio.token_set(b, a) and ratio.ratio(a, b) == ratio.ratio(b, a)
 
 
+def test_name_score(spark):
+    cases = [(("MORA", "SALAS", "ELENA"), ("Mora", "SALAS", "ELENA"), 1.0), (("SOTO", "RIVAS", "LUIS"), ("SOTO", "SOTO", "ANA"), 0.1111), (("MORA", "", "ELENA"), ("MORA", "SALAS", "ELENA"), 0.25)]
+    rows = [(*a, *b, want) for a, b, want in cases]
+    df = spark.createDataFrame(rows, "a string, b string, c string, x string, y string, z string, want double")
+    score = ratio.name_score(ratio.agreement(F.col("a"), F.col("x")), ratio.agreement(F.col("b"), F.col("y"), 0.5, 1.0), ratio.agreement(F.col("c"), F.col("z")))
+    assert all(round(r["s"], 4) == r["want"] for r in df.select(score.alias("s"), "want").collect())
+
+
+def test_nearest(spark):
+    for domain, want in (("gmial.com", "gmail.com"), ("gmail.com", None), ("clinicabiblia.com", "clinicabiblica.com"), ("zzzzzzzzz", None), ("", None), (None, None)):
+        df = spark.createDataFrame([(domain,)], "c string")
+        assert df.select(contacts.suggested_domain(F.col("c"))).first()[0] == want, domain
+    variants = {"CARD": ["CARDIOLOGIA", "CARDIOLOGO"], "PED": ["PEDIATRIA"]}
+    for raw, want in (("Cardiología", "CARD"), ("cardiologa", "CARD"), ("pediatrria", "PED"), ("xyz", None), (None, None)):
+        df = spark.createDataFrame([(raw,)], "c string")
+        assert df.select(contacts.nearest_category(F.col("c"), variants)).first()[0] == want, raw
+
+
 def test_proximity(spark):
     words = F.array(F.lit("soto"), F.lit("ana"))
     far = "ana@x.org" + " " * 300 + "Soto"
