@@ -69,6 +69,21 @@ def hypotheses(name: Column, domain: Column) -> Column:
     return F.when((text(domain) != "") & (last1 != ""), F.transform(first_of, lambda h: F.struct(h["address"].alias("address"), h["pattern"].alias("pattern"), h["prior"].alias("prior")))).otherwise(F.expr("cast(array() as array<struct<address:string,pattern:string,prior:double>>)"))
 
 
+def common_addresses(given, first_surname, second_surname, domain: str = "") -> Column:
+    """Five guesses from plain lower-case names, in a fixed order; without a domain they stand at a placeholder.  Empty without
+    a given name or first surname."""
+    g, a, b = (F.lower(strip_accents(F.trim(text(c)))) for c in (given, first_surname, second_surname))
+    join = lambda *parts: F.concat(*[F.lit(p) if isinstance(p, str) else p for p in parts])
+    head = [join(g, ".", a), join(g, a), join(F.substring(g, 1, 1), a)]
+    if domain:
+        tail = [F.when(b != "", join(g, ".", a, ".", b)).otherwise(join(g, ".", a)), F.replace(join(a, b, g), F.lit(" "))]
+    else:
+        tail = [join("dr.", g, ".", a), join("doctor.", g, ".", a)]
+    at = F.lit(f"@{domain or 'clinic'}.com")
+    none = F.expr("cast(array() as array<string>)")
+    return F.when((g != "") & (a != ""), F.array(*[F.concat(x, at) for x in head + tail])).otherwise(none)
+
+
 def hypothesis_signals(tier: Column, mx_ok: Column, catch_all: Column, external: Column) -> Column:
     return F.array_compact(F.array(F.lit("is_inferred_from_pattern"), F.concat(F.lit("source_tier_"), tier.cast("string")), F.when(mx_ok, "mx_ok"), F.when(catch_all, "catch_all_domain"), F.when(external >= 0.7, "external_validator_pass").when(external < 0.7, "external_validator_fail")))
 

@@ -52,3 +52,31 @@ def label_rank(label: Column) -> Column:
 
 def overlap(a: Column, b: Column) -> Column:
     return F.when(F.arrays_overlap(a, b), 1.0).otherwise(0.0)
+
+
+def first_pattern(title: Column, patterns: list[tuple[str, str]]) -> Column:
+    """The value of the first pattern, in the list's order, that is found in the title, accents and letter case aside; or null."""
+    up, out = F.upper(strip_accents(text(title))), F
+    for pattern, value in patterns:
+        out = out.when(up.rlike(pattern), value)
+    return out
+
+
+def place_suffix(place: Column, names: list[str]) -> Column:
+    """The first of ``names`` that the text ends with as whole words, accents and letter case aside; or null."""
+    up, out = F.concat(F.lit(" "), F.trim(F.upper(strip_accents(text(place))))), F
+    for name in names:
+        out = out.when(up.endswith(F.concat(F.lit(" "), F.upper(strip_accents(F.lit(name))))), name)
+    return out
+
+
+def province(region: Column, city: Column, provinces: dict[str, list[str]], searched: Column, trusts_search: Column) -> Column:
+    """The province of a record: its region, its city's province, its city if that is the name of one, or, where there is no
+    city and the source is trusted, the one that was searched for; null otherwise.  Provinces with their cities are a
+    short fixed list; a city named twice belongs to the last."""
+    plain = lambda c: F.upper(strip_accents(text(c)))
+    named = F.create_map(*[x for p in provinces for x in (plain(F.lit(p)), F.lit(p))])
+    cities = {c: p for p, all_of in provinces.items() for c in all_of}
+    held = F.create_map(*[x for c, p in cities.items() for x in (plain(F.lit(c)), F.lit(p))])
+    town = F.trim(plain(city))
+    return F.coalesce(F.try_element_at(named, plain(region)), F.try_element_at(held, town), F.try_element_at(named, town), F.when((town == "") & trusts_search, searched))

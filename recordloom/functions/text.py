@@ -200,3 +200,16 @@ def joined_distinct(values: Column, sep: str = " | ") -> Column:
 
 def first_value(values: Column) -> Column:
     return F.coalesce(F.try_element_at(F.filter(values, lambda v: F.trim(text(v)) != ""), F.lit(1)), F.lit(""))
+
+
+def nested_names(cells) -> Column:
+    """Names from an array of strings that each hold a JSON array of objects: ESPECIALIDAD, or else desc_espec, in title case.
+    A string that is none is taken as it is.  Distinct, in order, joined by " | "."""
+
+    def names(raw: Column) -> Column:
+        objects = F.from_json(raw, "array<struct<ESPECIALIDAD:string,desc_espec:string>>")
+        inner = F.transform(objects, lambda o: title_case(F.when(text(o["ESPECIALIDAD"]) != "", o["ESPECIALIDAD"]).otherwise(text(o["desc_espec"]))))
+        return F.when(F.trim(raw).startswith("[") & objects.isNotNull(), inner).otherwise(F.array(text(raw)))
+
+    every = F.flatten(F.transform(F.coalesce(cells, F.expr("cast(array() as array<string>)")), names))
+    return F.array_join(F.array_distinct(F.filter(every, lambda v: v != "")), " | ")

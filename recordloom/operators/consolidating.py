@@ -26,6 +26,29 @@ def clean_view(df: DataFrame, email: str, phone: str, suggested: str) -> DataFra
     return df.withColumn("email_quality", flag(email, text(suggested) != "")).withColumn("phone_quality", flag(phone, ~text(phone).rlike(r"^\+\d{8,15}$")))
 
 
+def clean_rows(df: DataFrame) -> DataFrame:
+    """The delivered columns of normalised records.
+
+    Needs category, category_raw, full_name, family_name_1, family_name_2, given_name, email, suggested_domain, email_issue,
+    phone, phone_type, phone_issue, assigned, comment and restored; missing text counts as empty.  The quality of a contact
+    is OK, else its issue, else FALTA."""
+    say = lambda c: text(F.col(c))
+    category = F.upper(by_precedence(F.col("category"), F.col("category_raw")))
+    suggested = F.when(has_value("email") & has_value("suggested_domain"), F.concat(F.substring_index("email", "@", 1), F.lit("@"), say("suggested_domain"))).otherwise("")
+    plain = [say(c).alias(c) for c in ("full_name", "family_name_1", "family_name_2", "given_name", "email")]
+    email = F.when(has_value("email") & ~has_value("email_issue"), "OK").otherwise(by_precedence(F.col("email_issue"), F.lit("FALTA")))
+    phone = F.when(has_value("phone"), "OK").otherwise(by_precedence(F.col("phone_issue"), F.lit("FALTA")))
+    rest = [say(c).alias(c) for c in ("phone", "phone_type", "assigned", "comment")]
+    return df.select(category.alias("category"), *plain, suggested.alias("suggested_email"), *rest, email.alias("email_quality"), phone.alias("phone_quality"), "restored")
+
+
+def rates(df: DataFrame, conditions: dict[str, Column]) -> DataFrame:
+    """(stage, n, total, rate) rows: how many rows meet each condition; a rate of 0 for an empty table."""
+    one = df.agg(F.count(F.lit(1)).alias("_rl_all"), *[F.count_if(c).alias(n) for n, c in conditions.items()])
+    rows = F.inline(F.array(*[F.struct(F.lit(n).alias("stage"), F.col(n).alias("n"), F.col("_rl_all").alias("total"), F.round(F.coalesce(F.try_divide(n, "_rl_all"), F.lit(0.0)), 4).alias("rate")) for n in conditions]))
+    return one.select(rows)
+
+
 def issues(df: DataFrame) -> DataFrame:
     return df.where((F.col("email_quality") != "OK") | (F.col("phone_quality") != "OK"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.scores import subset
 from ..runtime import shared_folder
+from .ranking import top_per_key
 
 
 def shared_tokens(left: DataFrame, right: DataFrame, lid: str, rid: str, ltokens: str, rtokens: str, least: int = 2) -> DataFrame:
@@ -29,6 +30,28 @@ def unique_match(pairs: DataFrame, lid: str, rid: str, value: str) -> DataFrame:
     return one.where("_rl_n = 1").drop("_rl_n")
 
 
+def first_contained(seed: DataFrame, base: DataFrame, sid: str, bid: str, stokens: str, btokens: str) -> DataFrame:
+    """(sid, bid): the first base row whose token set holds the seed's or is held by it; empty sets match nothing."""
+    return contained(seed, base, sid, bid, stokens, btokens, 1, 1).groupBy(sid).agg(F.min(bid).alias(bid))
+
+
+def known_by_surname(df: DataFrame, known: DataFrame, tokens: str, known_tokens: str, surname: str, part: float = 0.66) -> DataFrame:
+    """Rows of ``df`` with a known name that shares at least two words, and ``part`` of the shorter name's, one of them being
+    that name's first surname.  Equal known names count once."""
+    k = known.select(F.col(surname).alias("_rl_s"), F.array_sort(F.array_distinct(known_tokens)).alias("_rl_k")).where(F.col("_rl_s") != "").distinct()
+    shared = F.size(F.array_intersect(tokens, "_rl_k"))
+    shorter = F.least(F.size(F.array_distinct(tokens)), F.size("_rl_k"))
+    words = df.withColumn("_rl_row", F.monotonically_increasing_id()).withColumn("_rl_t", F.explode(F.array_distinct(tokens)))
+    found = words.join(k, (F.col("_rl_t") == F.col("_rl_s")) & (shared >= 2) & (shared >= part * shorter), "left_semi")
+    return found.dropDuplicates(["_rl_row"]).select(*df.columns)
+
+
+def first_query_match(pairs: DataFrame, key: str, turn: str, score: str, rid: str, least: float = 0.75) -> DataFrame:
+    """Best match of each key: of the first query by ``turn`` whose best score reaches ``least``, the pair of the highest score;
+    of equals the smallest ``rid``."""
+    return top_per_key(pairs.where(F.col(score) >= least), [key], [F.asc(turn), F.desc(score), F.asc(rid)])
+
+
 def blocked_pairs(df: DataFrame, idc: str, keys: Column) -> DataFrame:
     """(a, b), a < b: rows with any block key in common, each pair once."""
     k = df.select(F.col(idc).alias("a"), F.explode(F.array_distinct(keys)).alias("_rl_k")).distinct()

@@ -11,20 +11,8 @@ from ..operators import consolidating, matching, ranking
 from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
-
-_QUERIES: dict = {}
-_SQL: dict[str, str] = {}
-
-
-def _query(sql: str | None = None):
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _SQL[f.__name__] = sql
-        return f
-
-    return add
-
+from . import claims as _claims  # noqa: F401  its queries join the book
+from .book import QUERIES as _QUERIES, SQL as _SQL, query as _query
 
 def queries() -> dict:
     return dict(_QUERIES)

@@ -68,6 +68,11 @@ def open_envelope(df: DataFrame, raw: str, schema: str) -> DataFrame:
     return df.withColumn("data", F.when(F.get_json_object(raw, "$.Type") == "0", F.from_json(inner, schema)))
 
 
+def with_contact(df: DataFrame, phone: str, address: str, site: str) -> DataFrame:
+    """Rows of an institution's one answer, each with the institution's own contacts."""
+    return df.withColumns({"phone": F.lit(phone), "address": F.lit(address), "site": F.lit(site)})
+
+
 def fresh_snapshots(df: DataFrame, url: str, fetched: str, now, days: int = 7) -> DataFrame:
     """The latest snapshot of each url, no older than ``days``."""
     keyed = df.withColumn("url_key", F.substring(F.sha2(F.col(url), 256), 1, 16))

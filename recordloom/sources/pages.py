@@ -29,9 +29,19 @@ def attribute(card: Column, name: str) -> Column:
     return unescape(F.regexp_extract(card, f'{name}="([^"]*)"', 1))
 
 
-def cards(html, marker: str, longest: int = 4000) -> Column:
-    """Parts of a listing from each marker on, cut to a length."""
-    return F.transform(F.slice(F.split(text(html), marker), 2, 1 << 20), lambda c: F.substring(c, 1, longest))
+def cards(html, marker: str, wanted: str | None = None) -> Column:
+    """Parts of a listing from each marker to the next; with ``wanted`` only those in which that pattern is found."""
+    every = F.slice(F.split(text(html), marker), 2, 1 << 20)
+    return F.filter(every, lambda c: c.rlike(wanted)) if wanted else every
+
+
+def autocompleted(raw) -> Column:
+    """array<struct(name, path)> of a registry's JSON answer; empty if it is no array; objects without a name go, and so does
+    what follows a path's question mark."""
+    none = F.expr("cast(array() as array<struct<name:string,path:string>>)")
+    rows = F.when(F.trim(text(raw)).startswith("["), F.from_json(text(raw), "array<struct<name:string,path:string>>"))
+    named = F.filter(F.coalesce(rows, none), lambda r: F.trim(text(r["name"])) != "")
+    return F.transform(named, lambda r: F.struct(r["name"].alias("name"), F.substring_index(text(r["path"]), "?", 1).alias("path")))
 
 
 def title_parts(t: Column) -> Column:
