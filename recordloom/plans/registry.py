@@ -11,7 +11,7 @@ from ..operators import consolidating, matching, ranking
 from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
-from . import claims as _claims  # noqa: F401  its queries join the book
+from . import claims as _claims, contacts as _contacts  # noqa: F401  their queries join the book
 from .book import QUERIES as _QUERIES, SQL as _SQL, query as _query
 
 def queries() -> dict:
@@ -377,7 +377,13 @@ def best_email_hypothesis(spark, sf):
     return _part_names(spark, sf).select("name_id", h.alias("h"), signals.alias("s")).select("name_id", "h.*", F.round(scores.confidence(F.col("s"), F.lit(scores.PRIOR)), 4).alias("p"))
 
 
-@_query()
+_FORMS_SQL = ", ".join(f"{{'form': '{form}', 'pattern': '{pattern}', 'prior': {prior}::DOUBLE}}" for pattern, prior, form in (
+    ("{first}.{last}", 0.34, "G.A"), ("{f}{last}", 0.18, "FA"), ("{first}{last}", 0.12, "GA"), ("{first}_{last}", 0.06, "G_A"), ("{last}.{first}", 0.05, "A.G"), ("{f}.{last}", 0.04, "F.A"),
+    ("{first}", 0.03, "G"), ("{last}", 0.03, "A"), ("dr.{last}", 0.02, "dr.A"), ("dr{last}", 0.02, "drA"), ("{first}-{last}", 0.02, "G-A"), ("info", 0.01, "info"), ("contacto", 0.01, "contacto")))
+
+
+@_query(f"""SELECT name_id, replace(replace(replace(h.form, 'G', g), 'A', a), 'F', g[1]) || '@example.com' AS address, h.pattern AS pattern, h.prior AS prior
+  FROM (SELECT min(p_partkey) AS name_id, split_part(p_name, ' ', 1) AS a, split_part(p_name, ' ', 2) AS g FROM part GROUP BY p_name), (SELECT unnest([{_FORMS_SQL}]) AS h)""")
 def email_hypotheses(spark, sf):
     return _part_names(spark, sf).select("name_id", F.inline(contacts.hypotheses(F.col("n"), F.lit("example.com"))))
 
@@ -495,7 +501,7 @@ def profile_pages(spark, sf):
     return table(spark, sf, "pages").select("page_id", pages.profile()(F.col("html")).alias("p")).select("page_id", "p.*")
 
 
-@_query()
+@_query("""SELECT substr(sha256(url), 1, 16) AS url_key, url, epoch_ms(max(page_id) * 3600000) AS fetched FROM pages WHERE page_id * 3600 > (SELECT max(page_id) FROM pages) * 3600 - 7 * 86400 GROUP BY url""")
 def snapshot_hosts(spark, sf):
     p = table(spark, sf, "pages").select("url", "html", F.timestamp_seconds(F.col("page_id") * 3600).alias("fetched"))
     newest = p.agg(F.max("fetched")).first()[0]  # a fixed date would leave small tables empty
