@@ -2,11 +2,13 @@
 
 An equi-join on the key with a time-range predicate, hot keys salted by replication, would still form as many pairs as a
 hot key's rows on either side multiply to.  So time is cut into a tree of intervals, each parted into ``2 ** BITS``
-children, and the equi-join runs on (key, interval, salt): in each interval around its time a row on the left meets the
-latest row of every child before its own, and in the smallest interval the single times at or before it.  Smallest are
-the intervals that hold no more than ``2 ** BITS`` distinct times of any key; their depth is found from the data, so a
-row on the left has at most ``2 ** BITS`` candidates a level however many rows its key has.  ``max_by`` picks the latest
-of them, and a left join brings back what has no match.
+children, and the equi-join runs on (key, cell): in each interval around its time a row on the left meets the latest time
+of every child before its own, and in the smallest interval the single times at or before it.  Smallest are the
+intervals that hold no more than ``2 ** BITS`` distinct times of any key; their depth is found from the data, so a row
+on the left has at most ``2 ** BITS`` candidates a level however many rows its key has.  Cells that many rows ask for are
+salted: their rows on the left are dealt to parts, and their few candidates replicated.  Of rows at one time the first
+by the tie order is kept, and their number, before any join; the latest time is then joined to it, and a left join
+brings back what has no match.
 """
 
 from __future__ import annotations
@@ -15,9 +17,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .scratch import Scratch
 
-#: An interval has 2 ** BITS children; keys with more than one in HOT rows on the left are salted, SALTS parts each.  There are
-#: fewer than HOT such keys, whatever the size of the tables: only they are broadcast.
-BITS, HOT, SALTS = 4, 500, 32
+#: An interval has 2 ** BITS children.  A cell that more than one in HOT of the rows on the left ask for is salted, into SALTS parts
+#: at most.  A level has fewer than HOT such cells, whatever the size of the tables: only they are collected and broadcast.
+BITS, HOT, SALTS = 6, 400, 64
 
 
 def micros(df: DataFrame, column: str) -> Column:
@@ -48,6 +50,40 @@ def shifts(found: DataFrame, back: int) -> list[int]:
     return out
 
 
+def _cell(level: int, at: Column, width: int) -> Column:
+    """The number of an interval of a level, with room for a salt."""
+    return (F.shiftright(at, width) * 16 + level) * SALTS
+
+
+def hot_cells(asking: DataFrame, widths: list[int]) -> DataFrame | None:
+    """(key, cell, parts) of the cells to salt.  A cell is hot only if the one around it is, so each level is counted within the hot
+    cells of the level above; None if there are none."""
+    spark, limit, out = asking.sparkSession, asking.count() // HOT, []
+    within = asking
+    for level, width in enumerate(widths if limit else ()):
+        counted = within.groupBy("key", _cell(level, F.col("t"), width).alias("cell")).count()
+        found = [(r["key"], r["cell"], min(SALTS, r["count"] // limit + 1)) for r in counted.where(F.col("count") > limit).collect()]
+        if not found:
+            break
+        out += found
+        here = F.broadcast(spark.createDataFrame(found, f"key {dict(asking.dtypes)['key']}, cell long, parts int").drop("parts"))
+        within = within.withColumn("cell", _cell(level, F.col("t"), width)).join(here, ["key", "cell"], "left_semi").drop("cell")
+    return F.broadcast(spark.createDataFrame(out, f"key {dict(asking.dtypes)['key']}, cell long, parts int")) if out else None
+
+
+def offers(found: DataFrame, widths: list[int]) -> DataFrame:
+    """(key, cell, since, at): in a cell ``at`` is a candidate for rows from ``since`` on, null for all."""
+    leaf = found.select("key", _cell(len(widths) - 1, F.col("t"), widths[-1]).alias("cell"), F.col("t").alias("since"), F.col("t").alias("at"))
+    out, below = leaf, found.select("key", F.col("t").alias("at"))
+    for level in reversed(range(len(widths) - 1)):  # the latest time of each child, from its children's
+        narrow = widths[level + 1]
+        below = below.groupBy("key", F.shiftright("at", narrow).alias("child")).agg(F.max("at").alias("at"))
+        out = out.unionByName(below.select("key", _cell(level, F.col("at"), widths[level]).alias("cell"), F.shiftleft(F.col("child") + 1, narrow).alias("since"), "at"))
+        below = below.drop("child")
+    whole = below.groupBy("key", F.shiftright("at", widths[0]).alias("child")).agg(F.max("at").alias("at"))
+    return out.unionByName(whole.select("key", _cell(0, F.shiftleft(F.col("child") + 1, widths[0]), widths[0]).alias("cell"), F.lit(None).cast("long").alias("since"), "at"))
+
+
 def as_of(left: DataFrame, right: DataFrame, left_id: str, key: str, left_at: str, right_at: str, prefer: list[str], back: int) -> DataFrame:
     """One row for each distinct ``left_id``: id, key, t, found (t, best, n) of the latest row at or before t and at most
     ``back`` earlier, in whole numbers of one unit.
@@ -56,40 +92,22 @@ def as_of(left: DataFrame, right: DataFrame, left_id: str, key: str, left_at: st
     before smaller, null last, and n their number.  Without such rows ``found`` is null; so it is for a null key or time.
     Repeated rows on the left count once; if they differ, the largest (key, t) counts.  A null id is an id like others.
     Repeated rows on the right are rows of their own.  Empty tables give no rows, or no matches.  Other columns are not
-    read, so their names do not matter."""
-    spark = left.sparkSession
-    scratch = Scratch(spark, "as_of")
+    read, so their names do not matter.  Times may be negative; they and the tolerance are under 2 ** 52."""
+    scratch = Scratch(left.sparkSession, "as_of")
     rows = left.groupBy(F.col(left_id).alias("id")).agg(F.max(F.struct(F.col(key).alias("key"), F.col(left_at).alias("t"))).alias("at"))
     rows = scratch.save(rows.select("id", "at.key", "at.t"), "left")
     found = scratch.save(times(right, key, right_at, prefer), "times")
     widths = shifts(found, back)
 
     asking = rows.where("key is not null and t is not null")
-    least = asking.count() // HOT
-    hot = F.broadcast(asking.groupBy("key").count().where(F.col("count") > least).select("key", F.lit(SALTS).alias("salts"))) if least else None
-
-    def salted(df: DataFrame, salt: Column) -> DataFrame:
-        """With a column ``salt``, made from the column ``salts``: the number of parts of the row's key."""
-        df = df.join(hot, "key", "left").fillna(1, ["salts"]) if hot is not None else df.withColumn("salts", F.lit(1))
-        return df.withColumn("salt", salt).drop("salts")
-
-    def node(level: int, number: Column) -> Column:
-        return F.struct(F.lit(level).alias("level"), number.alias("node"))
-
-    # Level 0 is the widest interval before a row's own, level k the k-th widest around it.
-    ask = [node(0, F.shiftright("t", widths[0]) - 1)] + [node(k, F.shiftright("t", w)) for k, w in enumerate(widths, 1)]
-    ask = asking.select("id", "key", F.col("t").alias("asked"), F.explode(F.array(*ask)).alias("at")).select("id", "key", "asked", "at.*")
-    ask = salted(ask, F.pmod(F.xxhash64("id", "asked"), F.col("salts")).cast("int"))
-    value = F.struct("t", "best", "n")
-    # The latest row of a child is a candidate for what is asked from the child's end on.
-    child = [F.struct(F.lit(0).alias("level"), F.shiftright("t", widths[0]).alias("node"), F.lit(None).cast("long").alias("since"))]
-    child += [F.struct(F.lit(k).alias("level"), F.shiftright("t", w).alias("node"), F.shiftleft(F.shiftright("t", narrower) + 1, narrower).alias("since")) for k, (w, narrower) in enumerate(zip(widths, widths[1:]), 1)]
-    inner = found.select("key", value.alias("value"), F.explode(F.array(*child)).alias("at"))
-    inner = inner.groupBy("key", "at.level", "at.node", "at.since").agg(F.max_by("value", F.col("value.t")).alias("value"))
-    leaf = found.select("key", F.lit(len(widths)).alias("level"), F.shiftright("t", widths[-1]).alias("node"), F.col("t").alias("since"), value.alias("value"))
-    offer = salted(inner.unionByName(leaf), F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-
-    on = ["key", "level", "node", "salt"]
-    pairs = ask.join(offer, on).where((F.col("since").isNull() | (F.col("since") <= F.col("asked"))) & (F.col("value.t") >= F.col("asked") - back))
-    best = pairs.groupBy("id").agg(F.max_by("value", F.col("value.t")).alias("found"))
-    return rows.join(best.withColumnRenamed("id", "_rl_id"), F.col("id").eqNullSafe(F.col("_rl_id")), "left").select("id", "key", "t", "found")
+    cells = F.explode(F.array(*[_cell(k, F.col("t"), w) for k, w in enumerate(widths)]))
+    ask, offer = asking.select("id", "key", F.col("t").alias("asked"), cells.alias("cell")), offers(found, widths)
+    if (hot := hot_cells(asking, widths)) is not None:
+        parts = F.coalesce("parts", F.lit(1))
+        ask = ask.join(hot, ["key", "cell"], "left").withColumn("cell", F.col("cell") + F.pmod(F.xxhash64("id", "asked"), parts)).drop("parts")
+        offer = offer.join(hot, ["key", "cell"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("cell", F.col("cell") + F.col("salt")).drop("parts", "salt")
+    near = ask.join(offer, ["key", "cell"]).where((F.col("since").isNull() | (F.col("since") <= F.col("asked"))) & (F.col("at") >= F.col("asked") - back))
+    latest = near.groupBy(F.col("id").alias("_rl_id")).agg(F.max("at").alias("at"))
+    matched = rows.join(latest, F.col("id").eqNullSafe(F.col("_rl_id")), "left").drop("_rl_id")
+    value = found.select("key", F.col("t").alias("at"), F.struct("t", "best", "n").alias("found"))
+    return matched.join(value, ["key", "at"], "left").select("id", "key", "t", "found")
