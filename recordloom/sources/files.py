@@ -81,16 +81,31 @@ def fresh_snapshots(df: DataFrame, url: str, fetched: str, now, days: int = 7) -
 
 
 def write_sheets(sheets: dict[str, DataFrame], folder: str, kind: str = "parquet") -> None:
-    """One folder per sheet; each is written beside its place and then swapped in."""
+    """One folder per sheet; each is written beside its place and then takes it.  The old one is put aside until the new one is
+    there, and comes back if that fails."""
     for name, df in sheets.items():
         sc = df.sparkSession.sparkContext
-        target = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/{name}")
-        fresh = sc._jvm.org.apache.hadoop.fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}")
+        path = sc._jvm.org.apache.hadoop.fs.Path
+        mark = uuid.uuid4().hex
+        target, fresh, aside = path(f"{folder}/{name}"), path(f"{folder}/.{name}-{mark}"), path(f"{folder}/.{name}-{mark}-before")
         df.write.format(kind).option("header", True).save(fresh.toString())
         store = target.getFileSystem(sc._jsc.hadoopConfiguration())
-        store.delete(target, True)
-        store.rename(fresh, target)
+        there = store.exists(target)
+        if there and not store.rename(target, aside):
+            raise OSError(f"{target} could not be put aside")
+        if not store.rename(fresh, target):
+            if there:
+                store.rename(aside, target)
+            raise OSError(f"{fresh} could not take the place of {target}")
+        store.delete(aside, True)
 
 
 def append(df: DataFrame, path: str, kind: str = "json") -> None:
+    """Add part files to a folder; of delimited ones each has a header, as whoever reads them needs only one file."""
     df.write.mode("append").option("header", True).format(kind).save(path)
+
+
+def report(rows: DataFrame, path: str) -> None:
+    """A report of metrics (metric, value) as one JSON object in one file; metrics are few, whatever they count."""
+    whole = rows.agg(F.to_json(F.map_from_entries(F.sort_array(F.collect_list(F.struct("metric", "value"))))).alias("value"))
+    whole.coalesce(1).write.mode("overwrite").text(path)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from collections.abc import Iterator
+
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
+from pyspark.sql.streaming import StatefulProcessor
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100, kind: str = "parquet") -> DataFrame:
@@ -11,7 +14,9 @@ def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 1
 
 
 def seen_once(stream: DataFrame, keys: list[str], event_time: str | None = None, delay: str = "1 day") -> DataFrame:
-    """The first row of each key.  With an event time, state is bounded by the watermark."""
+    """The first row of each key.  With an event time, state is bounded by the watermark: a key that comes back more than ``delay``
+    after it was seen counts as new.  Without, the state holds every key; it is on disk, and a batch looks up only its own."""
+    state_on_disk(stream.sparkSession)
     return stream.withWatermark(event_time, delay).dropDuplicatesWithinWatermark(keys) if event_time else stream.dropDuplicates(keys)
 
 
@@ -21,18 +26,69 @@ def drain(stream: DataFrame, target: str, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-def append_new(stream: DataFrame, target: str, checkpoint: str, key: Column) -> None:
-    """Append the rows of each batch whose key the target lacks."""
+class _FirstSeen(StatefulProcessor):
+    """Lets the first row of a key through, once."""
+
+    def __init__(self, order: str):
+        self.order = order
+
+    def init(self, handle) -> None:
+        self.seen = handle.getValueState("seen", "known boolean")
+
+    def handleInputRows(self, key, rows, timer) -> Iterator[Row]:
+        first = min(rows, key=lambda r: (r[self.order] is None, r[self.order]))
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield first
+
+    def handleInitialState(self, key, known, timer) -> None:
+        self.seen.update((True,))
+
+    def close(self) -> None:
+        pass
+
+
+def state_on_disk(spark: SparkSession) -> None:
+    """Keyed state in RocksDB, of which each batch saves what it changed: neither memory nor a batch's cost grows with the keys."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+def new_keys(stream: DataFrame, keys: list[str], order: str, known: DataFrame | None = None) -> DataFrame:
+    """The first row of each key that neither an earlier batch nor ``known`` held; within a batch the smallest by ``order``, null last.
+
+    ``known`` (rows with the key columns, such as a target written before) is read once, by the first run of a checkpoint.  A null
+    key is a key like others.  The state holds every key, on disk; ``seen_once`` with an event time forgets keys instead."""
+    state_on_disk(stream.sparkSession)
+    seed = known.select(*keys).distinct().groupBy(*keys) if known is not None else None
+    return stream.groupBy(*keys).transformWithState(_FirstSeen(order), stream.schema, "Append", "None", seed)
+
+
+def read_appended(spark: SparkSession, target: str) -> DataFrame:
+    """What is in a folder that runs append to, at any depth."""
+    return spark.read.option("recursiveFileLookup", True).parquet(target)
+
+
+def append_new(stream: DataFrame, keys: list[str], order: str, target: str, checkpoint: str) -> None:
+    """Append to a Parquet folder the rows whose key it lacks.  The first run learns the keys that are there; later ones look up
+    only those of their own rows.  Each batch goes to a folder of its own, which a repeated batch writes anew."""
+    spark = stream.sparkSession
+    known = read_appended(spark, target) if _there(spark, target) and not _there(spark, checkpoint) else spark.createDataFrame([], stream.schema)
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/{RUN}{number}")
+
+    fresh = new_keys(stream, keys, order, known)
+    fresh.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+#: Folders of batches start with this; it is no partition column.
+RUN = "appended-"
 
-    def merge(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        fresh = batch.withColumn("_rl_key", key).dropDuplicates(["_rl_key"])
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target)
-        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
-            fresh = fresh.join(spark.read.parquet(target).select(key.alias("_rl_key")), "_rl_key", "left_anti")
-        fresh.drop("_rl_key").write.mode("append").parquet(target)
 
-    stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def windowed_counts(stream: DataFrame, event_time: str, window: str, keys: list[str], delay: str = "10 minutes") -> DataFrame:
