@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from .scratch import Scratch
 
-#: An interval has 2 ** BITS children.  A cell that more than one in HOT of the rows on the left ask for is salted, into SALTS parts
-#: at most.  A level has fewer than HOT such cells, whatever the size of the tables: only they are collected and broadcast.
-BITS, HOT, SALTS = 6, 400, 64
+#: An interval has 2 ** BITS children.  At most DEEP keys have trees deeper than the others'.  A cell that more than one in HOT of all
+#: requests are for is salted, into SALTS parts at most; there are fewer than HOT such cells.  Whatever the size of the
+#: tables, only these keys and cells are collected and broadcast.
+BITS, DEEP, HOT, SALTS = 6, 10_000, 400, 64
 
 
 def micros(df: DataFrame, column: str) -> Column:
@@ -38,16 +39,23 @@ def times(right: DataFrame, key: str, at: str, prefer: list[str]) -> DataFrame:
     return known.groupBy(F.col(key).alias("key"), F.col(at).alias("t")).agg(F.max(F.struct(*prefer)).alias("best"), F.count(F.lit(1)).alias("n"))
 
 
-def shifts(found: DataFrame, back: int) -> list[int]:
-    """The widths of the intervals around a time as powers of two, widest first: the first is no shorter than ``back``; in the
-    last no key has more than ``2 ** BITS`` distinct times."""
-    out = [max(BITS, back.bit_length())]
-    while out[-1] > BITS:
-        most = found.groupBy("key", F.shiftright("t", out[-1])).count().agg(F.max("count")).first()[0]
-        if (most or 0) <= 1 << BITS:
+def trees(found: DataFrame, back: int) -> tuple[list[int], int, dict]:
+    """The widths of the levels' intervals as powers of two, the first no shorter than ``back``; the number of levels that all keys
+    have; and that of at most DEEP keys that have more.  In a key's last level no interval holds more than ``2 ** BITS`` of
+    its distinct times."""
+    spark, widths, base, depth, within = found.sparkSession, [max(BITS, back.bit_length())], None, {}, found
+    while widths[-1] > BITS:
+        full = within.groupBy("key", F.shiftright("t", widths[-1])).count().where(F.col("count") > 1 << BITS).select("key").distinct()
+        keys = [r["key"] for r in full.limit(DEEP + 1).collect()]
+        if base is None and len(keys) <= DEEP:
+            base = len(widths)
+        if not keys:
             break
-        out.append(max(BITS, out[-1] - BITS))
-    return out
+        widths.append(max(BITS, widths[-1] - BITS))
+        if base is not None:
+            depth |= dict.fromkeys(keys, len(widths))
+            within = found.join(F.broadcast(spark.createDataFrame([(k,) for k in keys], found.select("key").schema)), "key", "left_semi")
+    return widths, base or len(widths), depth
 
 
 def _cell(level: int, at: Column, width: int) -> Column:
@@ -55,32 +63,16 @@ def _cell(level: int, at: Column, width: int) -> Column:
     return (F.shiftright(at, width) * 16 + level) * SALTS
 
 
-def hot_cells(asking: DataFrame, widths: list[int]) -> DataFrame | None:
-    """(key, cell, parts) of the cells to salt.  A cell is hot only if the one around it is, so each level is counted within the hot
-    cells of the level above; None if there are none."""
-    spark, limit, out = asking.sparkSession, asking.count() // HOT, []
-    within = asking
-    for level, width in enumerate(widths if limit else ()):
-        counted = within.groupBy("key", _cell(level, F.col("t"), width).alias("cell")).count()
-        found = [(r["key"], r["cell"], min(SALTS, r["count"] // limit + 1)) for r in counted.where(F.col("count") > limit).collect()]
-        if not found:
-            break
-        out += found
-        here = F.broadcast(spark.createDataFrame(found, f"key {dict(asking.dtypes)['key']}, cell long, parts int").drop("parts"))
-        within = within.withColumn("cell", _cell(level, F.col("t"), width)).join(here, ["key", "cell"], "left_semi").drop("cell")
-    return F.broadcast(spark.createDataFrame(out, f"key {dict(asking.dtypes)['key']}, cell long, parts int")) if out else None
-
-
-def offers(found: DataFrame, widths: list[int]) -> DataFrame:
-    """(key, cell, since, at): in a cell ``at`` is a candidate for rows from ``since`` on, null for all."""
-    leaf = found.select("key", _cell(len(widths) - 1, F.col("t"), widths[-1]).alias("cell"), F.col("t").alias("since"), F.col("t").alias("at"))
-    out, below = leaf, found.select("key", F.col("t").alias("at"))
-    for level in reversed(range(len(widths) - 1)):  # the latest time of each child, from its children's
-        narrow = widths[level + 1]
-        below = below.groupBy("key", F.shiftright("at", narrow).alias("child")).agg(F.max("at").alias("at"))
-        out = out.unionByName(below.select("key", _cell(level, F.col("at"), widths[level]).alias("cell"), F.shiftleft(F.col("child") + 1, narrow).alias("since"), "at"))
-        below = below.drop("child")
-    whole = below.groupBy("key", F.shiftright("at", widths[0]).alias("child")).agg(F.max("at").alias("at"))
+def offers(found: DataFrame, widths: list[int], base: int) -> DataFrame:
+    """(key, cell, since, at): in a cell ``at`` is a candidate for rows from ``since`` on, null for all.  ``found`` has the depth of
+    each key's tree."""
+    cells = F.array(*[_cell(k, F.col("t"), w) for k, w in enumerate(widths)])
+    out = found.select("key", F.element_at(cells, F.col("depth")).alias("cell"), F.col("t").alias("since"), F.col("t").alias("at"))
+    for level, narrow in enumerate(widths[1:]):  # the latest time of each child
+        deeper = found.where(F.col("depth") > level + 1) if level + 1 >= base else found
+        child = deeper.groupBy("key", F.shiftright("t", narrow).alias("child")).agg(F.max("t").alias("at"))
+        out = out.unionByName(child.select("key", _cell(level, F.col("at"), widths[level]).alias("cell"), F.shiftleft(F.col("child") + 1, narrow).alias("since"), "at"))
+    whole = found.groupBy("key", F.shiftright("t", widths[0]).alias("child")).agg(F.max("t").alias("at"))
     return out.unionByName(whole.select("key", _cell(0, F.shiftleft(F.col("child") + 1, widths[0]), widths[0]).alias("cell"), F.lit(None).cast("long").alias("since"), "at"))
 
 
@@ -97,12 +89,21 @@ def as_of(left: DataFrame, right: DataFrame, left_id: str, key: str, left_at: st
     rows = left.groupBy(F.col(left_id).alias("id")).agg(F.max(F.struct(F.col(key).alias("key"), F.col(left_at).alias("t"))).alias("at"))
     rows = scratch.save(rows.select("id", "at.key", "at.t"), "left")
     found = scratch.save(times(right, key, right_at, prefer), "times")
-    widths = shifts(found, back)
-
-    asking = rows.where("key is not null and t is not null")
-    cells = F.explode(F.array(*[_cell(k, F.col("t"), w) for k, w in enumerate(widths)]))
-    ask, offer = asking.select("id", "key", F.col("t").alias("asked"), cells.alias("cell")), offers(found, widths)
-    if (hot := hot_cells(asking, widths)) is not None:
+    spark, kind = left.sparkSession, dict(rows.dtypes)["key"]
+    widths, base, depth = trees(found, back)
+    deep = F.broadcast(spark.createDataFrame([*depth.items()], f"key {kind}, depth int")) if depth else None
+
+    def deepened(df: DataFrame) -> DataFrame:
+        return df.join(deep, "key", "left").fillna(base, ["depth"]) if deep is not None else df.withColumn("depth", F.lit(base))
+
+    asking = deepened(rows.where("key is not null and t is not null"))
+    cells = F.slice(F.array(*[_cell(k, F.col("t"), w) for k, w in enumerate(widths)]), F.lit(1), F.col("depth"))
+    ask = asking.select("id", "key", F.col("t").alias("asked"), F.explode(cells).alias("cell"))
+    offer = offers(deepened(found.select("key", "t")), widths, base)
+    limit = ask.count() // HOT
+    hot = ask.groupBy("key", "cell").count().where(F.col("count") > limit).collect() if limit else []
+    if hot:
+        hot = F.broadcast(spark.createDataFrame([(r["key"], r["cell"], min(SALTS, r["count"] // limit + 1)) for r in hot], f"key {kind}, cell long, parts int"))
         parts = F.coalesce("parts", F.lit(1))
         ask = ask.join(hot, ["key", "cell"], "left").withColumn("cell", F.col("cell") + F.pmod(F.xxhash64("id", "asked"), parts)).drop("parts")
         offer = offer.join(hot, ["key", "cell"], "left").withColumn("salt", F.explode(F.sequence(F.lit(0), parts - 1))).withColumn("cell", F.col("cell") + F.col("salt")).drop("parts", "salt")

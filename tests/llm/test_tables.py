@@ -140,6 +140,8 @@ def brute(clicks, orders, back):
 @pytest.mark.parametrize("back", [3, 200, 10**7])
 def test_as_of(spark, back, monkeypatch):
     monkeypatch.setattr(asof, "HOT", 4)
+    monkeypatch.setattr(asof, "DEEP", 2 if back == 200 else 10_000)
+    monkeypatch.setattr(asof, "BITS", 2 if back == 200 else 6)
     for span in (20, 3000, 10**9):
         pick = lambda n: [None if x < 0 else int(x) for x in rng.integers(-1, n, 600)]
         clicks = [(i, 1 if i % 3 == 0 else k, t if t is None else t - span // 2) for i, (k, t) in enumerate(zip(pick(6), pick(span)))] + [(None, 1, 5)]
