@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import ship
@@ -34,10 +35,7 @@ class Features:
     def _shape(self, word: str) -> int:
         for pattern, by in _RUNS:
             word = pattern.sub(by, word)
-        h = 2
-        for c in word[:12]:
-            h = (h * 1000003 + ord(c)) & 0x7FFFFFFF
-        return h | 2
+        return xxhash.xxh32_intdigest(word.encode("utf-8", "surrogatepass")) & 0x7FFFFFFF | 2
 
     def shapes(self, text: str) -> np.ndarray:
         words = text.split()
@@ -86,13 +84,13 @@ class Model:
         features = Features()
         rows = [features(t) for t, _ in sample]
         y = np.array([1 if label else -1 for _, label in sample])
-        counts = np.full((2, COLUMNS), smoothing)
-        for at, label in zip(rows, y):
-            counts[int(label > 0), at] += 1
-        counts /= counts.sum(axis=1, keepdims=True)
-        self.ratio = np.log(counts[1] / counts[0]) if len(rows) and (y > 0).any() and (y < 0).any() else np.zeros(COLUMNS)
         held = np.arange(len(rows)) % 5 == 4  # for calibration
         fit = np.flatnonzero(~held)
+        counts = np.full((2, COLUMNS), smoothing)
+        for i in fit:
+            counts[int(y[i] > 0), rows[i]] += 1
+        counts /= counts.sum(axis=1, keepdims=True)
+        self.ratio = np.log(counts[1] / counts[0]) if (y[fit] > 0).any() and (y[fit] < 0).any() else np.zeros(COLUMNS)
         unit = [self._unit(rows[i]) for i in fit]
         w = dual_coordinate_descent([(np.append(at, COLUMNS), np.append(v, 1.0)) for at, v in unit], y[fit].astype(float), COLUMNS + 1, balanced(y[fit], c))
         self.bias, self.weight, self.square = float(w[-1]), (w[:-1] * self.ratio).astype(np.float32), (self.ratio**2).astype(np.float32)
