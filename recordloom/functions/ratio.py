@@ -1,4 +1,4 @@
-"""String ratios by the longest common subsequence, as Arrow functions over distinct pairs.
+"""String ratios by the longest common subsequence, as Arrow functions; callers see to it that equal pairs come once.
 
 ratio is 200 * LCS / (len a + len b), 100 for two empty strings.  token_sort sorts the words first; token_set compares
 the words in common with either side's rest.
@@ -10,7 +10,8 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import DoubleType
 
-from .text import text
+from .scores import cosine, jaccard
+from .text import strip_accents, text
 
 
 def lcs(a: str, b: str) -> int:
@@ -85,9 +86,9 @@ def scorer(name: str):
 
 
 def agreement(a: Column, b: Column, alone: float = 0.0, neither: float = 0.0) -> Column:
-    """Token sort ratio of two name parts, from 0 to 1, letter case aside; ``alone`` if one of them is empty,
+    """Token sort ratio of two name parts, from 0 to 1, accents and letter case aside; ``alone`` if one of them is empty,
     ``neither`` if both are.  A second surname that one name lacks counts 0.5, one that neither has 1."""
-    x, y = F.lower(text(a)), F.lower(text(b))
+    x, y = F.lower(strip_accents(a)), F.lower(strip_accents(b))
     return F.when((x == "") & (y == ""), neither).when((x == "") | (y == ""), alone).otherwise(scorer("token_sort")(x, y) / 100)
 
 
@@ -97,6 +98,25 @@ def name_score(first_surname: Column, second_surname: Column, given: Column) ->
     return F.when(lesser < 0.6, lesser / 2).otherwise(0.35 * first_surname + 0.35 * second_surname + 0.3 * given)
 
 
+def strict_name_score(name: Column, other: Column) -> Column:
+    """The score of two parsed names, of their surnames and first given names."""
+    given = [F.substring_index(n["given_name"], " ", 1) for n in (name, other)]
+    second = agreement(name["family_name_2"], other["family_name_2"], 0.5, 1.0)
+    return name_score(agreement(name["family_name_1"], other["family_name_1"]), second, agreement(*given))
+
+
+def pair_features(a: Column, b: Column) -> dict[str, Column]:
+    """The features of two records, by the names that scores.pair_probability knows: structs with full_name, category, the sets cities,
+    schools, places, phones and emails, and a vector, null where there is none."""
+    names = [F.lower(strip_accents(x["full_name"])) for x in (a, b)]
+    one = lambda c: F.when(c, 1.0).otherwise(0.0)
+    alike = {k: jaccard(a[c], b[c]) for k, c in (("city_match", "cities"), ("edu_overlap", "schools"), ("affil_overlap", "places"))}
+    same = one((text(a["category"]) != "") & (a["category"] == b["category"]))
+    met = {k: one(F.arrays_overlap(a[c], b[c])) for k, c in (("phone_overlap", "phones"), ("email_overlap", "emails"))}
+    near = F.when(a["vector"].isNotNull() & b["vector"].isNotNull(), cosine(a["vector"], b["vector"]))
+    return {"name_token_sort": scorer("token_sort")(*names) / 100, "name_token_set": scorer("token_set")(*names) / 100, "specialty_match": same, **alike, **met, "name_embed_cos": near}
+
+
 def nearest(names: list[str], least: float):
     """A column function: the name of a short list that is most alike by the weighted ratio, if that is ``least`` or more; of
     equals the first in order of letters.  Null for a null or empty string.  Give it distinct values."""

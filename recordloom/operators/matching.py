@@ -2,26 +2,82 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.rules import label_rank, match_label
 from ..functions.scores import subset
-from ..runtime import shared_folder
+from .components import connected, first_fit
 from .ranking import top_per_key
 
 
+#: Tokens that are more than one in HOT of all tokens come last in the order of tokens; there are fewer than HOT of them.  Their
+#: rows are dealt to SALTS parts.
+HOT, SALTS = 100, 16
+
+
+def _frequent(*sides: tuple[DataFrame, str]) -> list[str]:
+    """The tokens of more than one in HOT places, the rarest first; fewer than HOT."""
+    every = None
+    for df, tokens in sides:
+        one = df.select(F.explode(F.array_distinct(tokens)).alias("t"))
+        every = one if every is None else every.unionByName(one)
+    total = every.count()
+    found = every.groupBy("t").count().where(F.col("count") > max(20, total // HOT)).orderBy("count", "t").collect()
+    return [r["t"] for r in found]
+
+
+def _ordered(tokens: str, hot: list[str]) -> Column:
+    """Distinct tokens in one order for all rows, in which frequent ones come last."""
+    last = F.array(*map(F.lit, hot)) if hot else F.expr("array('')")
+    keyed = F.transform(F.array_distinct(tokens), lambda t: F.struct(F.array_position(last, t).alias("h"), F.xxhash64(t).alias("x"), t.alias("t")))
+    return F.transform(F.array_sort(keyed), lambda k: k["t"])
+
+
+def _meet(probe: DataFrame, index: DataFrame, hot: list[str]) -> DataFrame:
+    """The rows of both sides with one token (column _rl_t); a frequent token's rows are dealt out on one side and repeated on the
+    other, the one with fewer of them by rule: ``probe``."""
+    often = F.col("_rl_t").isin(*hot) if hot else F.lit(False)
+    left = probe.withColumn("_rl_salt", F.explode(F.when(often, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))))
+    right = index.withColumn("_rl_salt", F.when(often, F.pmod(F.xxhash64(*index.columns), F.lit(SALTS)).cast("int")).otherwise(0))
+    return left.join(right, ["_rl_t", "_rl_salt"]).drop("_rl_salt")
+
+
+def token_pairs(left: DataFrame, right: DataFrame, ltokens: str, rtokens: str, least: int = 2) -> DataFrame:
+    """All columns of both sides, and ``shared``: each pair of rows with at least ``least`` distinct tokens in common, once.
+
+    Names of columns must differ.  Tokens have one order, frequent ones last.  Two rows with ``least`` tokens in common
+    have one among all but the last ``least - 1`` of either, so only these are joined on, and the pair is taken where
+    its first common token meets.  A token that every row has is then no key at all, unless rows have little else."""
+    hot = _frequent((left, ltokens), (right, rtokens))
+    some = lambda c: F.explode(F.slice(c, 1, F.greatest(F.size(c) - (least - 1), F.lit(0))))
+    a = left.withColumn("_rl_a", _ordered(ltokens, hot)).withColumn("_rl_t", some(F.col("_rl_a")))
+    b = right.withColumn("_rl_b", _ordered(rtokens, hot)).withColumn("_rl_t", some(F.col("_rl_b")))
+    common = F.array_intersect("_rl_a", "_rl_b")
+    met = _meet(a, b, hot).withColumn("_rl_c", common).where((F.size("_rl_c") >= least) & (F.element_at("_rl_c", 1) == F.col("_rl_t")))
+    return met.select(*left.columns, *right.columns, F.size("_rl_c").cast("long").alias("shared"))
+
+
 def shared_tokens(left: DataFrame, right: DataFrame, lid: str, rid: str, ltokens: str, rtokens: str, least: int = 2) -> DataFrame:
-    """(lid, rid, shared): pairs with at least ``least`` distinct tokens in common, by an equi-join on tokens."""
-    a = left.select(lid, F.explode(F.array_distinct(ltokens)).alias("_rl_t"))
-    b = right.select(rid, F.explode(F.array_distinct(rtokens)).alias("_rl_t"))
-    return a.join(b, "_rl_t").groupBy(lid, rid).agg(F.count(F.lit(1)).alias("shared")).where(F.col("shared") >= least)
+    """(lid, rid, shared): pairs with at least ``least`` distinct tokens in common; ids are unique on their side."""
+    return token_pairs(left.select(lid, F.col(ltokens).alias("_rl_u")), right.select(rid, F.col(rtokens).alias("_rl_v")), "_rl_u", "_rl_v", least).select(lid, rid, "shared")
 
 
 def contained(left: DataFrame, right: DataFrame, lid: str, rid: str, ltokens: str, rtokens: str, least: int = 2, reverse_from: int = 3) -> DataFrame:
-    """(lid, rid): left tokens within right ones, or right ones, if ``reverse_from`` or more, within left ones."""
-    pairs = shared_tokens(left, right, lid, rid, ltokens, rtokens, least)
-    pairs = pairs.join(left.select(lid, F.array_distinct(ltokens).alias("_rl_a")), lid).join(right.select(rid, F.array_distinct(rtokens).alias("_rl_b")), rid)
-    return pairs.where(subset(F.col("_rl_a"), F.col("_rl_b")) | ((F.size("_rl_b") >= reverse_from) & subset(F.col("_rl_b"), F.col("_rl_a")))).select(lid, rid, "shared")
+    """(lid, rid, shared): left tokens within right ones, or right ones, if ``reverse_from`` or more, within left ones; ``least`` at
+    least in common; ids are unique on their side.
+
+    A set within another has its rarest token there, so each smaller set is looked up by that one token alone."""
+    hot = _frequent((left, ltokens), (right, rtokens))
+    a = left.select(lid, _ordered(ltokens, hot).alias("_rl_a"))
+    b = right.select(rid, _ordered(rtokens, hot).alias("_rl_b"))
+
+    def held(small: DataFrame, s: str, big: DataFrame, g: str, size: int) -> DataFrame:
+        first = small.where(F.size(s) >= max(size, 1)).withColumn("_rl_t", F.element_at(s, 1))
+        return _meet(first, big.withColumn("_rl_t", F.explode(g)), hot).where(subset(F.col(s), F.col(g)))
+
+    one = held(a, "_rl_a", b, "_rl_b", least).select(lid, rid, F.size("_rl_a").cast("long").alias("shared"))
+    other = held(b, "_rl_b", a, "_rl_a", max(least, reverse_from)).where(F.size("_rl_a") > F.size("_rl_b"))  # equal sets are among the first
+    return one.unionByName(other.select(lid, rid, F.size("_rl_b").cast("long").alias("shared")))
 
 
 def unique_match(pairs: DataFrame, lid: str, rid: str, value: str) -> DataFrame:
@@ -30,6 +86,39 @@ def unique_match(pairs: DataFrame, lid: str, rid: str, value: str) -> DataFrame:
     return one.where("_rl_n = 1").drop("_rl_n")
 
 
+def match_registry(docs: DataFrame, registry: DataFrame, did: str, words: str, place: str, rid: str, rwords: str, rplace: str, email: str, token_set) -> DataFrame:
+    """Every row of ``docs`` with its match in a registry: (did, label, score, email, rid, candidates, rule).
+
+    Only registry rows with an email that share two words count.  A name that holds, or from three words on is held by,
+    rows of one email only is theirs at once (rule contencion_unica).  Otherwise the best label, then the best token set
+    ratio, then the smallest rid wins; if rows of several emails are as good within one point the label is ambiguo, and
+    no email is given.  Without a match the label is sin_match.  Equal names at equal places are compared once, on either
+    side, so that neither a name nor an entry that many rows have is compared row by row."""
+    keyed = docs.select(did, F.array_sort(F.array_distinct(words)).alias("_rl_w"), F.col(place).alias("_rl_p"))
+    key = ["_rl_w", "_rl_p"]
+    entries = registry.where(F.col(email) != "").groupBy(F.array_sort(F.array_distinct(rwords)).alias("_rl_r"), F.col(rplace).alias("_rl_q")).agg(
+        F.min(F.struct(F.col(rid).alias("rid"), F.col(email).alias("email"))).alias("first"), F.min(email).alias("low"), F.max(email).alias("high"), F.count(F.lit(1)).alias("n"))
+    pairs = token_pairs(keyed.select(*key).distinct(), entries, "_rl_w", "_rl_r")
+    alike, small = token_set(F.array_join("_rl_w", " "), F.array_join("_rl_r", " ")), F.size("_rl_r")
+    pairs = pairs.withColumn("s", alike).withColumn("held", (F.col("shared") == F.size("_rl_w")) | ((small >= 3) & (F.col("shared") == small)))
+    label = match_label(F.col("_rl_w"), F.col("_rl_r"), F.col("s"), (F.col("_rl_p") != "") & F.col("_rl_q").contains(F.col("_rl_p")))
+    pairs = pairs.withColumn("rank", label_rank(label))
+    sure = F.when(F.col("held"), F.struct("first", "s"))
+    best = F.when(F.col("rank") > 0, F.struct(-F.col("rank"), -F.col("s"), F.col("first")))
+    some = pairs.groupBy(*key).agg(F.min(sure).alias("sure"), F.min(F.when(F.col("held"), F.col("low"))).alias("low"), F.max(F.when(F.col("held"), F.col("high"))).alias("high"),
+                                   F.sum(F.when(F.col("held"), F.col("n"))).alias("held"), F.min(best).alias("best"), F.sum(F.when(F.col("rank") > 0, F.col("n"))).alias("ranked"))
+    some = some.withColumn("unique", (F.col("low") == F.col("high")) & (F.size("_rl_w") >= 2)).select(*key, "sure", "unique", "held", "ranked", (-F.col("best.col1")).alias("top"), (-F.col("best.col2")).alias("score"), F.col("best.first").alias("won"))
+    tied = pairs.join(some.select(*key, "top", "score"), key).where((F.col("rank") == F.col("top")) & (F.col("s") >= F.col("score") - 1))
+    tied = tied.groupBy(*key).agg((F.min("low") != F.max("high")).alias("many"))
+    out = keyed.join(some.join(tied, key, "left"), key, "left")
+    unique, none = F.coalesce("unique", F.lit(False)), F.col("top").isNull()
+    found = F.when(unique, "alta").when(none, "sin_match").when(F.col("many"), "ambiguo").when(F.col("top") == 3, "alta").when(F.col("top") == 2, "media").otherwise("baja")
+    mail = F.when(unique, F.col("sure.first.email")).when(none | F.col("many"), "").otherwise(F.col("won.email"))
+    number = F.when(unique, F.col("held")).otherwise(F.coalesce("ranked", F.lit(0)))
+    return out.select(did, found.alias("label"), F.when(unique, F.col("sure.s")).otherwise(F.col("score")).alias("score"), mail.alias("email"), F.when(unique, F.col("sure.first.rid")).otherwise(F.col("won.rid")).alias("rid"),
+                      number.alias("candidates"), F.when(unique, "contencion_unica").alias("rule"))
+
+
 def first_contained(seed: DataFrame, base: DataFrame, sid: str, bid: str, stokens: str, btokens: str) -> DataFrame:
     """(sid, bid): the first base row whose token set holds the seed's or is held by it; empty sets match nothing."""
     return contained(seed, base, sid, bid, stokens, btokens, 1, 1).groupBy(sid).agg(F.min(bid).alias(bid))
@@ -59,47 +148,35 @@ def blocked_pairs(df: DataFrame, idc: str, keys: Column) -> DataFrame:
 
 
 def clusters(edges: DataFrame, u: str, v: str, p: str, threshold: float = 0.85, folder: str | None = None) -> DataFrame:
-    """(node, cluster_id) of the nodes on edges of at least ``threshold``; cluster_id is the smallest node.
-
-    Each node takes the smallest label among its neighbours and then its label's label, until nothing changes.  Rounds
-    are cut by reliable checkpoints, in the folder of spark.checkpoint.dir."""
-    spark = edges.sparkSession
-    sc = spark.sparkContext
-    if sc._jsc.sc().getCheckpointDir().isEmpty():
-        sc.setCheckpointDir(folder or shared_folder(spark))
-    e = edges.where(F.col(p) >= threshold).select(F.col(u).alias("u"), F.col(v).alias("v"))
-    e = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct().checkpoint()
-    label = e.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")).checkpoint()
-    while True:
-        near = e.join(label.withColumnsRenamed({"node": "v", "label": "vl"}), "v").groupBy("u").agg(F.min("vl").alias("m"))
-        step = label.join(near, label["node"] == near["u"]).select("node", F.least("label", "m").alias("label"))
-        jump = step.alias("s").join(step.alias("t"), F.col("s.label") == F.col("t.node"), "left").select(F.col("s.node").alias("node"), F.least("s.label", F.coalesce("t.label", "s.label")).alias("label")).checkpoint()
-        changed = jump.join(label.withColumnRenamed("label", "old"), "node").where("label <> old").limit(1).count()
-        label = jump
-        if not changed:
-            return label.select("node", F.col("label").alias("cluster_id"))
-
-
-def leader_dedupe(df: DataFrame, group: list[str], tokens: str, order: list[str], source: str, fills: list[str], schema: str) -> DataFrame:
+    """(node, cluster_id) of the nodes on edges of at least ``threshold``; cluster_id is the smallest node."""
+    return connected(edges.where(F.col(p) >= threshold), u, v, folder).withColumnRenamed("root", "cluster_id")
+
+
+def leader_dedupe(df: DataFrame, group: list[str], tokens: str, order: list[str], source: str, fills: list[str], schema: str | None = None, url: str | None = None) -> DataFrame:
     """Greedy leaders within a group: rows in a total order join the first earlier leader whose token set holds theirs or
     is held by it, and give it their source and their values of ``fills`` where it has none.
 
-    First-fit is not transitive closure, so it is a grouped function; groups are exact keys such as place and category.
-    """
-
-    def lead(f: pd.DataFrame) -> pd.DataFrame:
-        leaders: list[dict] = []
-        for row in f.sort_values(order, kind="stable").to_dict("records"):
-            words = set(row[tokens])
-            home = next((r for r in leaders if words <= set(r[tokens]) or set(r[tokens]) <= words), None) if words else None
-            if home is None:
-                leaders.append(row | {"members": 1})
-                continue
-            home["members"] += 1
-            if row[source] not in home[source].split("+"):
-                home[source] += "+" + row[source]
-            for c in fills:
-                home[c] = home[c] or row[c]
-        return pd.DataFrame(leaders, columns=[*f.columns, "members"])
-
-    return df.groupBy(*group).applyInPandas(lead, schema + ", members long")
+    The result has the leaders' columns and ``members``; sources are joined by "+" in the order in which they came, and
+    with ``url`` the column url_2 has that of the last row that brought a new source (else empty).  First-fit is not transitive closure: the
+    leaders are the first independent set in order, found in rounds, so no group is in one task.  Empty sets hold
+    nothing and are held by nothing.  ``order`` must tell the rows of a group apart.  ``schema`` is no longer needed."""
+    at = F.struct(*order).alias("_rl_at")
+    rows = df.withColumn("_rl_g", F.to_json(F.struct(*group), {"ignoreNullFields": "false"})).withColumn("_rl_at", at)
+    rows = rows.withColumn("_rl_id", F.struct("_rl_g", "_rl_at"))
+    # Rows of a group with equal sets have one fate, that of the first of them.
+    rows = rows.withColumn("_rl_w", F.array_sort(F.array_distinct(F.transform(tokens, lambda t: F.concat("_rl_g", F.lit("\x1f"), t)))))
+    rows = rows.withColumn("_rl_w", F.when(F.size("_rl_w") > 0, F.col("_rl_w")).otherwise(F.array(F.to_json("_rl_id"))))
+    sets = rows.groupBy("_rl_w").agg(F.min("_rl_id").alias("_rl_id"))
+    other = sets.select(F.col("_rl_id").alias("_rl_jd"), F.col("_rl_w").alias("_rl_x"))
+    pairs = contained(sets, other, "_rl_id", "_rl_jd", "_rl_w", "_rl_x", 1, 1).where("_rl_id <> _rl_jd")
+    edges = pairs.select(F.least("_rl_id", "_rl_jd").alias("a"), F.greatest("_rl_id", "_rl_jd").alias("b"))
+    home = first_fit(sets.select(F.col("_rl_id").alias("node")), edges).select(F.col("node").alias("_rl_id"), "leader")
+    held = rows.join(sets.join(home, "_rl_id").select("_rl_w", "leader"), "_rl_w")
+    came = held.groupBy("leader", source).agg(F.min("_rl_at").alias("at"), *([F.min_by(url, "_rl_at").alias("url")] if url else []))
+    came = came.groupBy("leader").agg(F.sort_array(F.collect_list(F.struct("at", F.col(source).alias("s"), *(["url"] if url else [])))).alias("_rl_s"))
+    first = [F.min_by(F.when(F.col(c) != "", F.col(c)), F.when(F.col(c) != "", F.col("_rl_at"))).alias(f"_rl_f{k}") for k, c in enumerate(fills)]
+    summed = held.groupBy("leader").agg(F.count(F.lit(1)).alias("members"), *first).join(came, "leader").withColumnRenamed("leader", "_rl_id")
+    lead = rows.join(summed, "_rl_id")
+    value = {source: F.array_join(F.transform("_rl_s", lambda s: s["s"]), "+")} | {c: F.coalesce(F.col(f"_rl_f{k}"), F.col(c)) for k, c in enumerate(fills)}
+    more = [F.when(F.size("_rl_s") > 1, F.element_at("_rl_s", -1)["url"]).otherwise("").alias("url_2")] if url else []
+    return lead.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns], "members", *more)

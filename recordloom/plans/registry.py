@@ -11,7 +11,7 @@ from ..operators import consolidating, matching, ranking
 from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
-from . import claims as _claims, contacts as _contacts, runs as _runs, web as _web  # noqa: F401  their queries join the book
+from . import claims as _claims, contacts as _contacts, names as _names, runs as _runs, web as _web  # noqa: F401  their queries join the book
 from .book import QUERIES as _QUERIES, SQL as _SQL, query as _query
 
 def queries() -> dict:
@@ -489,7 +489,15 @@ def fuzzy_pairs(spark, sf):
     return pairs.select("p_name", "q_name", score("p_name", "q_name").alias("score"))
 
 
-@_query()
+@_query("""WITH RECURSIVE p AS (SELECT p_brand, p_type, p_partkey, list_sort(list_distinct(list_filter(regexp_split_to_array(regexp_replace(upper(p_name), '[^A-Z ]', ' ', 'g'), '\\s+'), lambda t: length(t) >= 3))) AS words,
+    's' || p_partkey % 3 AS origin, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) ELSE '' END AS size FROM part),
+  t AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY origin, p_partkey) AS k FROM p),
+  r(p_brand, p_type, k, leaders, id, home) AS (SELECT p_brand, p_type, k, [{'id': p_partkey, 'words': words}], p_partkey, p_partkey FROM t WHERE k = 1
+    UNION ALL SELECT p_brand, p_type, k, CASE WHEN h IS NULL THEN list_append(leaders, {'id': p_partkey, 'words': words}) ELSE leaders END, p_partkey, coalesce(h, p_partkey) FROM (
+      SELECT t.*, r.leaders, list_filter(r.leaders, lambda l: len(list_intersect(l.words, t.words)) = least(len(l.words), len(t.words)))[1].id AS h FROM r JOIN t ON t.p_brand = r.p_brand AND t.p_type = r.p_type AND t.k = r.k + 1)),
+  m AS (SELECT r.home, t.* FROM r JOIN t ON t.p_partkey = r.id), o AS (SELECT home, origin, min(k) AS k FROM m GROUP BY 1, 2), s AS (SELECT home, string_agg(origin, '+' ORDER BY k) AS origin FROM o GROUP BY 1),
+  a AS (SELECT home, count(*) AS members, coalesce(arg_min(size, k) FILTER (size <> ''), '') AS size FROM m GROUP BY 1)
+  SELECT t.p_brand, t.p_type, t.p_partkey, t.words, s.origin, a.size, a.members FROM t JOIN s ON s.home = t.p_partkey JOIN a ON a.home = t.p_partkey""")
 def leader_dedupe(spark, sf):
     p = table(spark, sf, "part").select("p_brand", "p_type", "p_partkey", text.name_key(F.concat_ws(" ", "p_name"), 3).alias("words"), F.concat(F.lit("s"), (F.col("p_partkey") % 3).cast("string")).alias("origin"), F.when(F.col("p_size") > 25, F.col("p_size").cast("string")).otherwise("").alias("size"))
     return matching.leader_dedupe(p, ["p_brand", "p_type"], "words", ["origin", "p_partkey"], "origin", ["size"], "p_brand string, p_type string, p_partkey long, words array<string>, origin string, size string")
