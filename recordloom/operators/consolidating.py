@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.text import has_value, text
+from ..functions.text import agrees, has_value, text
 
 
 def by_precedence(*values: Column) -> Column:
@@ -66,6 +66,34 @@ def goal_gap(df: DataFrame, groups: list[str], goal: int) -> DataFrame:
     return df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n")).withColumn("gap", F.greatest(F.lit(goal) - F.col("n"), F.lit(0)))
 
 
+def value_counts(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """(groups, name): how often each value stands in a group, as "value: count, ..." with the most frequent first; of equals the
+    first in order of letters; null as nothing."""
+    n = df.where(F.col(value).isNotNull()).groupBy(*groups, value).agg(F.count(F.lit(1)).alias("_rl_n"))
+    listed = F.sort_array(F.collect_list(F.struct(-F.col("_rl_n"), F.col(value).alias("v"))))
+    return n.groupBy(*groups).agg(F.array_join(F.transform(listed, lambda x: F.concat(x["v"], F.lit(": "), (-x["col1"]).cast("string"))), ", ").alias(name))
+
+
+def group_report(df: DataFrame, groups: list[str], counts: dict[str, Column], listed: dict[str, str], goal: int) -> DataFrame:
+    """A row a group: its rows, those for which each condition holds, the goal and what is missing to it, and for each column of
+    ``listed`` (name: column) how often each of its values stands there, empty if none does."""
+    some = [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()]
+    out = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), *some).withColumn("goal", F.lit(goal)).withColumn("gap", F.greatest(F.lit(goal) - F.col("n"), F.lit(0)))
+    for name, column in listed.items():
+        out = out.join(value_counts(df, groups, column, name), groups, "left").fillna("", [name])
+    return out
+
+
+def verification_report(inputs: DataFrame, matches: DataFrame, key: str, least: float = 0.75) -> DataFrame:
+    """Every input (key, name, category) with its match (key, canonical, categories as an array, score, path, oid), as the ten columns
+    of a report.  Categories agree, or not, or it is an empty string: without a match, or without a category on either side."""
+    j = inputs.join(matches, key, "left")
+    none, agree = F.col("oid").isNull(), agrees(F.col("category"), F.col("categories"))
+    said = F.when(none | (text("category") == ""), "").otherwise(F.coalesce(agree.cast("string"), F.lit("")))
+    return j.select(key, "name", text("category").alias("category"), (~none).alias("matched"), text("canonical").alias("canonical_name"), F.coalesce(F.array_join("categories", ", "), F.lit("")).alias("canonical_categories"), said.alias("category_agrees"),
+                    F.round(F.coalesce("score", F.lit(0.0)), 3).alias("score"), text("path").alias("profile_url"), text(F.col("oid").cast("string")).alias("oid"), F.when(none, f"no match of {least} or more").otherwise("").alias("notes"))
+
+
 def stacked(*tables: DataFrame) -> DataFrame:
     """All rows, columns aligned by name; missing ones are null."""
     out = tables[0]

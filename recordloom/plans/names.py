@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import ratio, scores, text
-from ..operators import matching
+from ..operators import consolidating, matching
 from ..runtime import ship, table
 from .book import query as _query
 
@@ -94,18 +94,25 @@ _PARTS = """SELECT *, u[1] AS w1, CASE WHEN len(u) = 0 THEN '' WHEN len(u) <= 2
   FROM (SELECT *, list_filter(string_split({p}n, ' '), lambda t: t <> '') AS u FROM {t})"""
 
 
-@_query(f"""WITH {_SIDES}, da AS (SELECT id, n AS an FROM d), gb AS (SELECT id AS rid, n AS bn FROM g),
+_QUERIES_SQL = f"""WITH {_SIDES}, da AS (SELECT id, n AS an FROM d), gb AS (SELECT id AS rid, n AS bn FROM g),
   i AS ({_PARTS.format(p='a', t='da')}), r AS ({_PARTS.format(p='b', t='gb')}),
   q AS (SELECT id, a1, a2, ag, 1 AS turn, [a1, ag] AS words FROM i WHERE a1 <> '' AND ag <> '' UNION ALL SELECT id, a1, a2, ag, 2, [a1, a2] FROM i WHERE a1 <> '' AND a2 <> ''
     UNION ALL SELECT id, a1, a2, ag, 3, u FROM i WHERE len(u) > 0),
   k AS (SELECT *, list_distinct(words) AS z FROM q),
   j AS (SELECT id, turn, rid, a1, a2, ag, b1, b2, bg FROM k JOIN r ON len(list_intersect(z, u)) = len(z)),
   e AS (SELECT *, {_strict_sql('a1', 'b1')} AS s1, CASE WHEN a2 = '' AND b2 = '' THEN 1.0::DOUBLE WHEN a2 = '' OR b2 = '' THEN 0.5::DOUBLE ELSE {_ratio('a2', 'b2')} / 100 END AS s2, {_strict_sql('ag', 'bg')} AS s3 FROM j),
-  s AS (SELECT id, turn, rid, CASE WHEN least(s1, s2) < 0.6 THEN least(s1, s2) / 2 ELSE 0.35 * s1 + 0.35 * s2 + 0.3 * s3 END AS score FROM e)
-  SELECT id, turn, rid, round(score, 6) AS score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, score DESC, rid) AS o FROM s WHERE score >= 0.75) WHERE o = 1""")
+  s AS (SELECT id, turn, rid, CASE WHEN least(s1, s2) < 0.6 THEN least(s1, s2) / 2 ELSE 0.35 * s1 + 0.35 * s2 + 0.3 * s3 END AS score FROM e),
+  best AS (SELECT id, turn, rid, score FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY turn, score DESC, rid) AS o FROM s WHERE score >= 0.75) WHERE o = 1)"""
+
+
+@_query(_QUERIES_SQL + " SELECT id, turn, rid, round(score, 6) AS score FROM best")
 def registry_queries(spark, sf) -> DataFrame:
     """Three queries a client, in turn, each finding registry names that hold its words; the first whose best strict score is 0.75
     or more decides."""
+    return _best_of_queries(spark, sf).select("id", "turn", "rid", F.round("score", 6).alias("score"))
+
+
+def _best_of_queries(spark, sf) -> DataFrame:
     ship(spark)
     d, g = _sides(spark, sf)
     name = text.parse_given_first(text.match_name("n"))
@@ -120,7 +127,24 @@ def registry_queries(spark, sf) -> DataFrame:
     held = matching.contained(asks, names, "ask", "rid", "z", "rwords", 1, 1 << 30).join(names.select("rid", text.parse_given_first(text.match_name("rn")).alias("other")), "rid")
     scored = held.select("ask", "rid", "other").withColumn("score", ratio.strict_name_score(F.col("ask.name"), F.col("other")))
     pairs = turns.withColumn("ask", F.struct(F.array_sort(F.array_distinct("words")).alias("z"), "name")).join(scored, "ask")
-    return matching.first_query_match(pairs, "id", "turn", "score", "rid").select("id", "turn", "rid", F.round("score", 6).alias("score"))
+    return matching.first_query_match(pairs, "id", "turn", "score", "rid")
+
+
+@_query(_QUERIES_SQL + """, own AS (SELECT d.id, d.n AS name, coalesce(c.segment, '') AS category FROM d JOIN clients c ON c.client_id = d.id),
+  reg AS (SELECT g.id AS rid, g.n AS canonical, CASE WHEN g.id % 5 = 0 THEN [] ELSE [upper(coalesce(c.segment, '')), 'Care-' || g.id % 3] END AS categories FROM g JOIN clients c ON c.client_id = g.id)
+  SELECT own.id, name, category, best.id IS NOT NULL AS matched, coalesce(canonical, '') AS canonical_name, coalesce(array_to_string(categories, ', '), '') AS canonical_categories,
+    CASE WHEN best.id IS NULL OR category = '' OR len(categories) = 0 THEN '' ELSE CAST(lower(categories[1]) = category AND categories[1] <> '' AS VARCHAR) END AS category_agrees, round(coalesce(score, 0), 3) AS score,
+    CASE WHEN best.id IS NULL THEN '' ELSE '/doctor/' || best.rid END AS profile_url, coalesce(CAST(best.rid AS VARCHAR), '') AS oid, CASE WHEN best.id IS NULL THEN 'no match of 0.75 or more' ELSE '' END AS notes
+  FROM own LEFT JOIN best ON best.id = own.id LEFT JOIN reg ON reg.rid = best.rid""")
+def verification_rows(spark, sf) -> DataFrame:
+    """The report of all clients verified against the registry, in ten columns."""
+    d, g = _sides(spark, sf)
+    c = table(spark, sf, "clients").select("client_id", "segment")
+    own = d.join(c, F.col("id") == F.col("client_id")).select("id", text.match_name("n").alias("name"), F.col("segment").alias("category"))
+    listed = F.when(F.col("rid") % 5 == 0, F.array().cast("array<string>")).otherwise(F.array(F.upper(F.coalesce("segment", F.lit(""))), F.concat(F.lit("Care-"), F.col("rid") % 3)))
+    reg = g.join(c, F.col("rid") == F.col("client_id")).select("rid", text.match_name("rn").alias("canonical"), listed.alias("categories"))
+    best = _best_of_queries(spark, sf).select("id", "rid", "score").join(reg, "rid").select("id", "canonical", "categories", "score", F.concat(F.lit("/doctor/"), "rid").alias("path"), F.col("rid").alias("oid"))
+    return consolidating.verification_report(own, best, "id")
 
 
 @_query(f"""WITH c AS (SELECT client_id AS id, master_id, lower({_PLAIN.format(c='name')}) AS n, segment, city, nation_id, source, email, balance FROM clients WHERE name IS NOT NULL AND master_id IS NOT NULL),

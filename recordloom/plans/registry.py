@@ -11,7 +11,7 @@ from ..operators import consolidating, matching, ranking
 from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
-from . import claims as _claims, contacts as _contacts, names as _names, runs as _runs, web as _web  # noqa: F401  their queries join the book
+from . import claims as _claims, contacts as _contacts, names as _names, reports as _reports, runs as _runs, web as _web  # noqa: F401  their queries join the book
 from .book import QUERIES as _QUERIES, SQL as _SQL, query as _query
 
 def queries() -> dict:
