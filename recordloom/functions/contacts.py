@@ -99,6 +99,13 @@ def phone_parts(c, country: str) -> Column:
     return F.when(ok, F.struct(F.concat(F.lit("+" + code), national).alias("e164"), national.alias("national"), kind.alias("line_type")))
 
 
+def phone_or_raw(c, country: str) -> Column:
+    """A valid number in international form, its area or network code apart; what is no valid number as it is."""
+    p = phone_parts(c, country)
+    n = p["national"]
+    return F.coalesce(F.concat(F.lit(f"+{NUMBERING[country][0]} "), F.substr(n, F.lit(1), F.length(n) - 7), F.lit(" "), F.substr(n, F.length(n) - 6, F.lit(7))), text(c))
+
+
 def phones_in(c, country: str) -> Column:
     """Valid numbers in a text, in E.164 form, distinct, in order."""
     runs = F.regexp_extract_all(text(c), F.lit(r"(\+?\d[\d ().-]{6,18}\d)"), 1)

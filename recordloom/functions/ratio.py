@@ -6,8 +6,11 @@ the words in common with either side's rest.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pandas as pd
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
 from .scores import cosine, jaccard
@@ -117,17 +120,75 @@ def pair_features(a: Column, b: Column) -> dict[str, Column]:
     return {"name_token_sort": scorer("token_sort")(*names) / 100, "name_token_set": scorer("token_set")(*names) / 100, "specialty_match": same, **alike, **met, "name_embed_cos": near}
 
 
+class Names:
+    """A list of names to look up the most alike in, by the weighted ratio.  Most are ruled out by their lengths and by how many
+    characters they have in common with a value, which bound the ratio from above; the result is as if all were compared."""
+
+    def __init__(self, names: list[str]):
+        self.names = sorted(set(names))
+        self.column = {c: k for k, c in enumerate(sorted(set("".join(self.names))))}
+        self.size = np.array([len(n) for n in self.names], np.int64)
+        self.count = np.zeros((len(self.names), len(self.column)), np.uint16)
+        self.having: dict[str, list[int]] = {}
+        for k, n in enumerate(self.names):
+            for c in n:
+                self.count[k, self.column[c]] += 1
+            for w in set(n.split()):
+                self.having.setdefault(w, []).append(k)
+        self.tidy = np.array([self._tidy(n) for n in self.names], bool)
+
+    @staticmethod
+    def _tidy(name: str) -> bool:
+        """Whether sorting a name's words only moves its characters."""
+        words = name.split()
+        return name == " ".join(words) and len(words) == len(set(words))
+
+    def bounds(self, value: str) -> np.ndarray:
+        """For each name a number that the weighted ratio is not above."""
+        own = np.zeros(len(self.column), np.uint16)
+        for c in value:
+            if c in self.column:
+                own[self.column[c]] += 1
+        common = np.minimum(self.count, own).sum(axis=1, dtype=np.int64)
+        short, long = np.minimum(self.size, len(value)), np.maximum(self.size, len(value))
+        plain = 200.0 * common / (short + long)
+        part = np.where(common > 0, 200.0 * common / np.maximum(short + common, 1), 0.0)  # of windows no longer than the shorter one
+        shared = np.zeros(len(self.names), bool)
+        shared[[k for w in set(value.split()) for k in self.having.get(w, ())]] = True
+        close = long < 1.5 * short
+        out = np.where(close, np.where(shared, np.maximum(plain, 95.0), plain), np.maximum(plain, np.where(long < 8 * short, 0.9, 0.6) * part))
+        return np.where(self.tidy, out, 100.0) if self._tidy(value) else np.full(len(self.names), 100.0)
+
+    def best(self, value: str, least: float) -> str | None:
+        """The most alike name, if its ratio is ``least`` or more; of equals the first in order of letters."""
+        if not value or not self.names:
+            return None
+        bound = self.bounds(value)
+        best, found = least, None
+        for k in np.lexsort((np.arange(len(bound)), -bound)).tolist():
+            if bound[k] < best - 1e-9:
+                break
+            score = weighted(value, self.names[k])
+            if score > best or score == best and (found is None or k < found):
+                best, found = score, k
+        return None if found is None else self.names[found]
+
+
 def nearest(names: list[str], least: float):
-    """A column function: the name of a short list that is most alike by the weighted ratio, if that is ``least`` or more; of
-    equals the first in order of letters.  Null for a null or empty string.  Give it distinct values."""
-    order = sorted(set(names))
+    """A column function: the name of a list that is most alike by the weighted ratio, if that is ``least`` or more; of
+    equals the first in order of letters.  Null for a null or empty string.  Equal values of a batch are looked up once."""
 
     @F.pandas_udf("string")
-    def found(values: pd.Series) -> pd.Series:
-        out = []
-        for v in values:
-            best, name = max(((weighted(v, n), -i) for i, n in enumerate(order)), default=(0.0, 0)) if v else (0.0, 0)
-            out.append(order[-name] if v and order and best >= least else None)
-        return pd.Series(out, dtype=object)
+    def found(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = Names(names)
+        for values in parts:
+            best = {v: known.best(v, least) for v in values.dropna().unique()}
+            yield values.map(best).astype(object).where(values.notna(), None)
 
     return found
+
+
+def nearest_values(df: DataFrame, column: str, names: list[str], least: float, out: str) -> DataFrame:
+    """``df`` with the name most alike to a column's value; each distinct value is looked up once, however many rows have it."""
+    values = df.select(F.col(column).alias("_rl_v")).where("_rl_v is not null").distinct().withColumn(out, nearest(names, least)("_rl_v"))
+    return df.join(values, F.col(column) == F.col("_rl_v"), "left").drop("_rl_v")

@@ -10,6 +10,7 @@ PLAIN = "AAAAAAEEEEIIIIOOOOOUUUUNCYaaaaaaeeeeiiiiooooouuuuncyy"
 LIGATURES = {"ß": "ss", "æ": "ae", "œ": "oe", "Æ": "AE", "Œ": "OE", "ø": "o", "Ø": "O", "ł": "l", "Ł": "L"}
 PARTICLES = ("DEL", "DE", "DA", "DO", "VAN", "VON", "LA", "LE", "Y", "SAN", "SANTA")
 AFTER_DE = ("LA", "LAS", "LOS", "SANTA", "SAN")
+TITLES = ("DR", "DRA", "DOCTOR", "DOCTORA", "MD", "MG", "ESP", "MSC", "LIC")
 MATCH_PARTICLES = ("DE", "DEL", "LA", "LAS", "LOS", "Y", "DA", "DI", "SAN", "SANTA")
 
 
@@ -153,6 +154,11 @@ def match_tokens(c) -> Column:
     return F.filter(F.split(match_name(c), " "), lambda t: (F.length(t) >= 3) & ~t.isin(*MATCH_PARTICLES))
 
 
+def registry_tokens(c) -> Column:
+    """Plain words of two letters or more, without titles."""
+    return F.filter(F.split(clean_spaces(F.regexp_replace(F.upper(strip_accents(text(c))), "[^A-Z ]", " ")), " "), lambda t: (F.length(t) > 1) & ~t.isin(*TITLES))
+
+
 def name_key(c, least: int = 4) -> Column:
     """Distinct plain tokens of at least ``least`` letters."""
     return F.array_sort(F.array_distinct(F.filter(F.split(F.regexp_replace(F.upper(strip_accents(c)), "[^A-Z ]", " "), r"\s+"), lambda t: F.length(t) >= least)))
@@ -198,8 +204,9 @@ def joined_distinct(values: Column, sep: str = " | ") -> Column:
     return F.array_join(F.array_distinct(F.filter(F.transform(values, lambda v: F.trim(text(v))), lambda v: v != "")), sep)
 
 
-def first_value(values: Column) -> Column:
-    return F.coalesce(F.try_element_at(F.filter(values, lambda v: F.trim(text(v)) != ""), F.lit(1)), F.lit(""))
+def first_value(values: Column, otherwise: Column | None = None) -> Column:
+    """The first value that is not blank, trimmed, or else another one, or an empty string."""
+    return F.coalesce(F.trim(F.try_element_at(F.filter(values, lambda v: F.trim(text(v)) != ""), F.lit(1))), F.lit("") if otherwise is None else otherwise)
 
 
 def nested_names(cells) -> Column:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions import ratio, scores, text
+from ..functions import contacts, ratio, scores, text
 from ..operators import consolidating, matching
 from ..runtime import ship, table
 from .book import query as _query
@@ -167,3 +167,29 @@ def pair_features(spark, sf) -> DataFrame:
     out = pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), *[v.alias(k) for k, v in f.items()])
     p = scores.pair_probability({k: F.col(k) for k in f})
     return out.select("a", "b", F.round("name_token_sort", 6).alias("name_token_sort"), F.round("name_token_set", 6).alias("name_token_set"), F.round(p, 6).alias("p"))
+
+
+_FREE, _HELD = contacts.FREEMAIL, contacts.KNOWN_DOMAINS
+_DOMAINS = ", ".join(f"'{d}'" for d in sorted(_FREE + _HELD))
+
+
+@_query(f"""WITH k AS (SELECT unnest([{_DOMAINS}]) AS d), v AS (SELECT c_custkey, c_custkey % 15 + 1 AS w, c_custkey % 7 AS pos, c_custkey % 5 AS how, [{_DOMAINS}][c_custkey % 15 + 1] AS d FROM customer),
+  m AS (SELECT c_custkey, CASE how WHEN 0 THEN d WHEN 1 THEN substr(d, 1, pos) || 'x' || substr(d, pos + 1) WHEN 2 THEN substr(d, 1, pos) || substr(d, pos + 2) WHEN 3 THEN 'mail.' || d ELSE 'q' || pos || '.zz' END AS v FROM v),
+  u AS (SELECT DISTINCT v FROM m), f AS (SELECT v, d, CASE WHEN length(v) <= length(d) THEN v ELSE d END AS a, CASE WHEN length(v) <= length(d) THEN d ELSE v END AS b FROM u, k),
+  p AS (SELECT v, d, a, b, {_ratio('a', 'b')} AS whole, length(b) / length(a) AS much FROM f),
+  z AS (SELECT v, d, a, substr(b, CAST(greatest(i, 0) + 1 AS BIGINT), CAST(i + length(a) - greatest(i, 0) AS BIGINT)) AS w FROM (SELECT *, unnest(range(1 - length(a), length(b))) AS i FROM p WHERE much >= 1.5)),
+  t AS (SELECT v, d, max({_ratio('a', 'w')}) AS part FROM z GROUP BY 1, 2),
+  s AS (SELECT p.v, p.d, CASE WHEN much < 1.5 THEN whole WHEN much < 8 THEN greatest(whole, 0.9 * part) ELSE greatest(whole, 0.6 * part) END AS s FROM p LEFT JOIN t ON t.v = p.v AND t.d = p.d),
+  o AS (SELECT v, d FROM (SELECT *, row_number() OVER (PARTITION BY v ORDER BY s DESC, d) AS n FROM s WHERE s >= 85) WHERE n = 1)
+  SELECT c_custkey, m.v AS domain, CASE WHEN m.v NOT IN ({_DOMAINS}) THEN o.d END AS suggestion FROM m LEFT JOIN o ON o.v = m.v""")
+def domain_suggestions(spark, sf) -> DataFrame:
+    """Mistyped, shortened, longer and unknown domains, and the known one that each is most like."""
+    ship(spark)
+    k, known = F.col("c_custkey"), sorted(_FREE + _HELD)
+    d, at = F.element_at(F.array(*map(F.lit, known)), (k % 15 + 1).cast("int")), (k % 7).cast("int")
+    cut = lambda n: F.substr(d, n, F.lit(99))
+    how = k % 5
+    value = F.when(how == 0, d).when(how == 1, F.concat(F.substr(d, F.lit(1), at), F.lit("x"), cut(at + 1))).when(how == 2, F.concat(F.substr(d, F.lit(1), at), cut(at + 2))).when(how == 3, F.concat(F.lit("mail."), d)).otherwise(F.concat(F.lit("q"), at, F.lit(".zz")))
+    rows = table(spark, sf, "customer").select("c_custkey", value.alias("domain"))
+    found = ratio.nearest_values(rows, "domain", known, 85.0, "suggestion")
+    return found.withColumn("suggestion", F.when(~F.col("domain").isin(known), F.col("suggestion")))

@@ -11,7 +11,7 @@ from ..operators import consolidating, matching, ranking
 from ..runtime import shared_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
-from . import claims as _claims, contacts as _contacts, names as _names, reports as _reports, runs as _runs, web as _web  # noqa: F401  their queries join the book
+from . import cells as _cells, claims as _claims, contacts as _contacts, names as _names, reports as _reports, runs as _runs, web as _web  # noqa: F401  their queries join the book
 from .book import QUERIES as _QUERIES, SQL as _SQL, query as _query
 
 def queries() -> dict:
@@ -479,16 +479,6 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-@_query()
-def fuzzy_pairs(spark, sf):
-    ship(spark)
-    names = table(spark, sf, "part").select("p_name").distinct().select("p_name", text.tokens("p_name").alias("t"))
-    other = names.withColumnsRenamed({"p_name": "q_name", "t": "u"})
-    pairs = matching.shared_tokens(names, other, "p_name", "q_name", "t", "u", 1).where("p_name < q_name")
-    score = ratio.scorer("token_sort")
-    return pairs.select("p_name", "q_name", score("p_name", "q_name").alias("score"))
-
-
 @_query("""WITH RECURSIVE p AS (SELECT p_brand, p_type, p_partkey, list_sort(list_distinct(list_filter(regexp_split_to_array(regexp_replace(upper(p_name), '[^A-Z ]', ' ', 'g'), '\\s+'), lambda t: length(t) >= 3))) AS words,
     's' || p_partkey % 3 AS origin, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) ELSE '' END AS size FROM part),
   t AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY origin, p_partkey) AS k FROM p),

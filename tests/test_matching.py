@@ -112,3 +112,23 @@ def test_strict_scores(spark):
     df = spark.createDataFrame(rows, f"a {part}, b {part}, want double")
     for r in df.select(ratio.strict_name_score(F.col("a"), F.col("b")).alias("s"), "want").collect():
         assert r["s"] == pytest.approx(r["want"])
+
+
+def test_ruling_names_out_changes_nothing():
+    letters = "abcde .-"
+    pool = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(300)] + ["ana soto", "soto ana", "ana  soto", "ana ana", "x" * 40]
+    names, values = ratio.Names([n for n in pool[::2] if n]), pool[1::2] + ["ana soto vega", "zzz", ""]
+    for v in values:
+        bound = names.bounds(v)
+        scores = [ratio.weighted(v, n) for n in names.names]
+        assert all(s <= b + 1e-9 for s, b in zip(scores, bound))
+        for least in (0.0, 60.0, 88.0):
+            top = max((s for s in scores if s >= least), default=None)
+            assert names.best(v, least) == (None if not v or top is None else names.names[scores.index(top)]), (v, least)
+
+
+def test_nearest_values(spark):
+    ship(spark)
+    df = spark.createDataFrame([("gmial.com",), ("gmail.com",), (None,), ("",), ("zzz",), ("gmial.com",)], "d string")
+    got = [tuple(r) for r in ratio.nearest_values(df, "d", ["gmail.com", "ymail.com"], 85.0, "near").collect()]
+    assert sorted(got, key=str) == sorted([("gmial.com", "gmail.com"), ("gmail.com", "gmail.com"), (None, None), ("", None), ("zzz", None), ("gmial.com", "gmail.com")], key=str)
