@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import contacts, ratio, text
 from ..operators import matching
-from ..runtime import shared_folder, ship, table
+from ..runtime import run_folder, ship, table
 from ..sources import files
 from .book import query as _query
 from .names import _NAME, _ratio, _sorted
@@ -73,7 +71,7 @@ def cell_forms(spark, sf) -> DataFrame:
 def file_formats(spark: SparkSession, sf) -> DataFrame:
     """Clients written in five formats and read again: a delimited file in a Windows code page, JSON lines of which some are cut off,
     JSON arrays, answers whose data is JSON in JSON or an error, and a log that is appended to twice."""
-    folder = f"{shared_folder(spark)}/formats-{uuid.uuid4().hex}"
+    folder = run_folder(spark, "formats")
     c = table(spark, sf, "clients").select("client_id", F.coalesce("name", F.lit("")).alias("name"), F.coalesce("email", F.lit("")).alias("email"))
     c.select("client_id", F.col("name").alias("Médico"), F.col("email").alias("Correo")).write.option("sep", ";").option("header", True).option("encoding", "iso-8859-1").csv(f"{folder}/delimited")
     one = F.to_json(F.struct("client_id", "name", "email"))

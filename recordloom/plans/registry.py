@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import contacts, ratio, rules, scores, text
 from ..operators import consolidating, matching, ranking
-from ..runtime import shared_folder, ship, table
+from ..runtime import run_folder, ship, table
 from ..sources import files, pages
 from ..streaming import incremental
 from . import cells as _cells, claims as _claims, contacts as _contacts, names as _names, reports as _reports, runs as _runs, web as _web  # noqa: F401  their queries join the book
@@ -466,19 +464,12 @@ def hourly_counts(spark, sf):
 
 @_query("SELECT DISTINCT user_id, event_type FROM events")
 def incremental_dedupe(spark, sf):
-    out = f"{shared_folder(spark)}/incremental-{uuid.uuid4().hex}"
-    path = f"{sf}/events.parquet"
-    schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path if _is_folder(spark, path) else f"{sf}/events*.parquet")
-    incremental.drain(incremental.seen_once(stream.select("user_id", "event_type"), ["user_id", "event_type"]), f"{out}/rows", f"{out}/cursor")
+    out = run_folder(spark, "incremental")
+    stream = _runs.table_stream(spark, sf, "events").select("user_id", "event_type")
+    incremental.drain(incremental.seen_once(stream, ["user_id", "event_type"]), f"{out}/rows", f"{out}/cursor")
     return spark.read.parquet(f"{out}/rows").select("user_id", "event_type")
 
 
-def _is_folder(spark: SparkSession, path: str) -> bool:
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
-
-
 @_query("""WITH RECURSIVE p AS (SELECT p_brand, p_type, p_partkey, list_sort(list_distinct(list_filter(regexp_split_to_array(regexp_replace(upper(p_name), '[^A-Z ]', ' ', 'g'), '\\s+'), lambda t: length(t) >= 3))) AS words,
     's' || p_partkey % 3 AS origin, CASE WHEN p_size > 25 THEN CAST(p_size AS VARCHAR) ELSE '' END AS size FROM part),
   t AS (SELECT *, row_number() OVER (PARTITION BY p_brand, p_type ORDER BY origin, p_partkey) AS k FROM p),

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import contacts, scores, text
 from ..operators import claims, consolidating
-from ..runtime import shared_folder, table
+from ..runtime import run_folder, table
 from ..sources import tabular
 from .book import query as _query
 
@@ -51,7 +49,7 @@ ROLES = {"name": [("apellidos",), ("nombre",)], "post": [("puesto",), ("cargo",)
   FROM clients WHERE (client_id // 50) % 4 < 3""")
 def mixed_headers(spark, sf) -> DataFrame:
     """Files of fifty clients each, of four kinds: other separators, headers, orders of columns, lines before the header."""
-    k, folder = F.col("client_id"), f"{shared_folder(spark)}/mixed-{uuid.uuid4().hex}"
+    k, folder = F.col("client_id"), run_folder(spark, "mixed")
     quote = lambda c: F.concat(F.lit('"'), F.replace(c, F.lit('"'), F.lit('""')), F.lit('"'))
     name, post, place, mail = quote(F.concat(k, F.lit(', "x"'))), quote(F.concat(F.lit("P;"), k % 4)), F.concat(F.lit("City "), k % 5), F.concat(F.lit("c"), k, F.lit("@x.ec"))
     rows = [F.concat_ws(",", name, post, place, F.concat(F.lit("2"), k), mail), F.concat_ws(";", mail, F.lit(""), name, post, place), F.concat_ws("\t", k, name, post, F.lit("ext"), place, mail), F.concat_ws("|", name, mail)]

@@ -2,20 +2,14 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..runtime import shared_folder, ship, table
+from ..runtime import run_folder, ship, table
 from ..sources import files, workbook
 from ..streaming import cursor, incremental
 from .book import query as _query
 
 
-def _place(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
 def table_stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table as a stream of its files, whether it is a file or a folder of them."""
     schema = spark.read.parquet(f"{sf}/{name}.parquet").schema
@@ -37,7 +31,7 @@ def workbook_round_trip(spark, sf) -> DataFrame:
     sheet = F.element_at(F.array(*map(F.lit, [*COUNTRIES, "Notes & <more>"])), (F.col("nation_id") % 4 + 1).cast("int"))
     out = c.select(sheet.alias("sheet"), F.col("client_id").alias("Id"), F.col("segment").alias(" Especialidad"), F.col("name").alias("Nombre"), F.col("email").alias("Correo"), F.col("balance").alias("Saldo"),
                    F.col("updated_at").cast("date").alias("Dia"), F.col("updated_at").alias("Hora"), (F.col("client_id") % 3 == 0).alias("Marca"))
-    folder = _place(spark, "workbooks")
+    folder = run_folder(spark, "workbooks")
     workbook.write_workbooks(out, folder, "sheet", ["Id"], 4)
     rows = workbook.read_workbooks(spark, folder)
     roles = {"id": ("id",), "name": ("nombre", "name"), "email": ("email", "correo"), "category": ("especialidad",), "balance": ("saldo",), "day": ("dia",), "at": ("hora",), "flag": ("marca",)}
@@ -52,7 +46,7 @@ def budgeted_pages(spark, sf) -> DataFrame:
     """Sales as pages of three sources' answers, each ended by a page without records; runs of a limited number of pages take them
     all in, each from where the one before ended."""
     ship(spark)
-    place, size = _place(spark, "cursor"), 500
+    place, size = run_folder(spark, "cursor"), 500
     s = table(spark, sf, "sales").select((F.col("sale_id") % 3).alias("k"), (F.floor(F.col("sale_id") / (3 * size)) + 1).alias("page"), F.struct("sale_id", "client_id", "total").alias("r"))
     pages = s.groupBy("k", "page").agg(F.count(F.lit(1)).alias("n"), F.to_json(F.collect_list("r")).alias("records"))
     known = pages.groupBy("k").agg(F.sum("n").alias("total"), F.max("page").alias("last"))
@@ -75,7 +69,7 @@ def appended_keys(spark, sf) -> DataFrame:
     """The target holds the clients' kinds of a quarter of the clicks; two runs over all clicks add what it lacks, the second
     nothing."""
     ship(spark)
-    place = _place(spark, "appended")
+    place = run_folder(spark, "appended")
     table(spark, sf, "clicks").where("client_id is not null and click_id % 4 = 0").groupBy("client_id", "kind").agg(F.min("click_id").alias("click_id")).withColumn("old", F.lit(True)).write.parquet(f"{place}/target")
     for _ in range(2):
         stream = table_stream(spark, sf, "clicks").where("client_id is not null").select("client_id", "kind", "click_id").withColumn("old", F.lit(False))
@@ -86,7 +80,7 @@ def appended_keys(spark, sf) -> DataFrame:
 @_query("SELECT date_trunc('day', ts) AS since, kind, count(*) AS n FROM clicks WHERE ts IS NOT NULL GROUP BY 1, 2")
 def streamed_counts(spark, sf) -> DataFrame:
     """Counts by day and kind, kept up to date by a stream."""
-    place = _place(spark, "counts")
+    place = run_folder(spark, "counts")
     stream = table_stream(spark, sf, "clicks").where("ts is not null").withColumn("ts", F.col("ts").cast("timestamp"))
     counts = incremental.windowed_counts(stream, "ts", "1 day", ["kind"])
 

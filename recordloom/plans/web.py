@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..runtime import ship, table
-from ..sources import pages
+from ..sources import files, pages
 from .book import query as _query
 
 
@@ -131,3 +131,17 @@ def microdata_records(spark, sf) -> DataFrame:
                  F.when(key % 3 != 0, address), phone, F.when(key % 10 == 4, _html('<div itemscope itemtype="http://schema.org/Review/"><i itemprop="name">Review ', key, "</i></div>")), "</div>")
     found = _as_pages(table(spark, sf, "vendors"), "vendor_id", 5, card)
     return found.select("page", F.explode(pages.microdata()(F.col("html"))["records"]).alias("r")).select("page", "r.*")
+
+
+@_query("""SELECT url, CASE WHEN max(page_id) FILTER (page_id % 3 <> 0 AND page_id * 3600 > m - 7 * 86400) IS NOT NULL THEN 'cached' WHEN count(*) FILTER (page_id % 2 = 0 AND page_id % 10 NOT IN (4, 6)) > 0 THEN 'fetched'
+    WHEN count(*) FILTER (page_id % 2 = 0) > 0 THEN 'refused' ELSE 'missing' END AS state, coalesce('cache ' || max(page_id) FILTER (page_id % 3 <> 0 AND page_id * 3600 > m - 7 * 86400), 'page ' || max(page_id) FILTER (page_id % 2 = 0 AND page_id % 10 NOT IN (4, 6))) AS html
+  FROM (SELECT *, (SELECT max(page_id) FROM pages) * 3600 AS m FROM pages) WHERE url IS NOT NULL GROUP BY url, m""")
+def fetch_states(spark, sf) -> DataFrame:
+    """What a crawl has of each url: a snapshot of the last week, or an answer of today, some of which are refusals by status or by
+    their text, or nothing."""
+    p = table(spark, sf, "pages").select("page_id", "url")
+    k, at = F.col("page_id"), F.timestamp_seconds(F.col("page_id") * 3600)
+    cache = p.where(k % 3 != 0).select("url", at.alias("at"), _html("cache ", k).alias("html"))
+    answers = p.where(k % 2 == 0).select("url", at.alias("at"), F.when(k % 10 == 4, F.lit("<title>CAPTCHA</title>")).otherwise(_html("page ", k)).alias("html"), F.when(k % 10 == 6, 429).otherwise(200).alias("status"))
+    newest = p.agg(F.max(at)).first()[0]
+    return files.settled(p, cache, answers, "url", "at", "html", "status", F.lit(newest).cast("timestamp"))

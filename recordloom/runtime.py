@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 import zipfile
 
 from pyspark.sql import SparkSession
 
 _shipped: set[str] = set()
+_local: dict[str, str] = {}
+_runs: list[tuple[SparkSession, str]] = []
 
 
 def local_session(cores: int = 8, shuffle_partitions: int = 8, memory: str = "12g") -> SparkSession:
@@ -44,13 +49,34 @@ def ship(spark: SparkSession) -> None:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of spark.checkpoint.dir; a plain local session that leaves it unset gets a temporary one."""
+    """The folder of spark.checkpoint.dir; a plain local session that leaves it unset gets a temporary one, until the driver ends."""
     named = spark.conf.get("spark.checkpoint.dir", "")
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+    sc = spark.sparkContext
+    if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
         raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    return f"file://{tempfile.mkdtemp(prefix='recordloom-')}"
+    if sc.applicationId not in _local:
+        _local[sc.applicationId] = tempfile.mkdtemp(prefix="recordloom-")
+        atexit.register(shutil.rmtree, _local[sc.applicationId], ignore_errors=True)
+    return f"file://{_local[sc.applicationId]}"
+
+
+def run_folder(spark: SparkSession, label: str) -> str:
+    """A folder of its own for one run, in the shared one; removed when the driver ends."""
+    path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    _runs.append((spark, path))
+    return path
+
+
+@atexit.register
+def _remove_runs() -> None:
+    for spark, path in _runs:
+        try:
+            target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+        except Exception:  # the session may have ended before
+            return
 
 
 def table(spark: SparkSession, sf_dir: str, name: str):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 ROLES = {
     "category": ("especialidad", "specialty"), "name": ("nombre", "name", "medico", "médico"), "email": ("email", "correo", "e-mail"),
@@ -80,6 +80,29 @@ def fresh_snapshots(df: DataFrame, url: str, fetched: str, now, days: int = 7) -
     return fresh.groupBy("url_key").agg(F.max_by(F.struct(*[c for c in df.columns]), fetched).alias("s")).select("url_key", "s.*")
 
 
+#: Answers that mean no: status codes, and words near the beginning of a page. Fixed values.
+REFUSALS, HEAD = (403, 429, 503), 5000
+HINTS = ("captcha", "cf-chl", "are you a robot", "verifica que eres humano", "access denied", "blocked", "challenge-platform")
+
+
+def refused(html: Column, status: Column) -> Column:
+    """Whether a site has refused an answer, by its status or by what the page begins with."""
+    head = F.lower(F.substring(F.coalesce(html, F.lit("")), 1, HEAD))
+    return status.isin(*REFUSALS) | F.exists(F.array(*map(F.lit, HINTS)), lambda h: head.contains(h))
+
+
+def settled(wanted: DataFrame, cache: DataFrame, answers: DataFrame, url: str, fetched: str, html: str, status: str, now, days: int = 7) -> DataFrame:
+    """Each wanted url with its state and page: cached, if the cache has a snapshot no older than ``days``; else fetched, if an answer
+    came that is no refusal, the last of several; else refused, if one came; else missing.  Only pages of the first two
+    are given, and urls that are wanted twice come once."""
+    fresh = cache.where(F.col(fetched) > now - F.expr(f"INTERVAL {days} DAYS")).groupBy(url).agg(F.max_by(html, fetched).alias("_rl_c"), F.count(F.lit(1)).alias("_rl_n"))
+    good = F.when(~refused(F.col(html), F.col(status)), F.struct(F.col(fetched).alias("at"), F.col(html).alias("page")))
+    came = answers.groupBy(url).agg(F.max(good).alias("_rl_g"), F.count(F.lit(1)).alias("_rl_m"))
+    j = wanted.select(url).where(F.col(url).isNotNull()).distinct().join(fresh, url, "left").join(came, url, "left")
+    state = F.when(F.col("_rl_n") > 0, "cached").when(F.col("_rl_g").isNotNull(), "fetched").when(F.col("_rl_m") > 0, "refused").otherwise("missing")
+    return j.select(url, state.alias("state"), F.when(F.col("_rl_n") > 0, F.col("_rl_c")).otherwise(F.col("_rl_g.page")).alias(html))
+
+
 def write_sheets(sheets: dict[str, DataFrame], folder: str, kind: str = "parquet") -> None:
     """One folder per sheet; each is written beside its place and then takes it.  The old one is put aside until the new one is
     there, and comes back if that fails."""
