@@ -314,7 +314,17 @@ def name_parse_family_first(spark, sf):
     return table(spark, sf, "pages").select("page_id", n.alias("n")).select("page_id", F.col("n.family_name_1").alias("fam1"), F.col("n.family_name_2").alias("fam2"), F.col("n.given_name").alias("given"))
 
 
-@_query()
+_LOWER_SQL = f"lower({_PLAIN_SQL})"
+
+
+@_query(f"""WITH RECURSIVE t AS (SELECT page_id, {_NAME_SQL} AS w FROM (SELECT page_id, replace(replace(replace(replace(regexp_replace({_TITLE_SQL}, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS t FROM pages)),
+  r(page_id, i, u) AS (SELECT page_id, 1, []::VARCHAR[] FROM t UNION ALL SELECT page_id, i + k, list_append(u, array_to_string(w[i : i + k - 1], ' ')) FROM (
+    SELECT r.*, t.w, CASE WHEN w[i] = 'DE' AND i + 2 <= len(w) AND w[i + 1] IN {text.AFTER_DE} THEN 3 WHEN w[i] IN {text.PARTICLES} AND i + 1 <= len(w) THEN 2 ELSE 1 END AS k FROM r JOIN t USING (page_id) WHERE i <= len(w))),
+  n AS (SELECT page_id, w, CASE WHEN len(u) = 0 THEN '' WHEN len(u) <= 2 THEN u[-1] ELSE u[-2] END AS f1, CASE WHEN len(u) >= 3 THEN u[-1] END AS f2, CASE WHEN len(u) < 2 THEN '' WHEN len(u) = 2 THEN u[1] ELSE array_to_string(u[:-3], ' ') END AS g FROM r JOIN t USING (page_id) WHERE i > len(w)),
+  d AS (SELECT *, trim(f1 || ' ' || coalesce(f2, '')) AS f, {_LOWER_SQL.format('f1')} AS l1, {_LOWER_SQL.format("coalesce(f2, '')")} AS l2, {_LOWER_SQL.format('g')}[1:1] AS l3 FROM n)
+  SELECT page_id, f1 AS family_name_1, f2 AS family_name_2, g AS given_name, array_to_string(w, ' ') AS full_name, array_to_string(list_transform(regexp_extract_all(lower(CASE WHEN g = '' THEN f WHEN f = '' THEN g ELSE f || ', ' || g END), '(\\p{{L}}+|\\P{{L}}+)'), lambda x: upper(x[1]) || x[2:]), '') AS display,
+    array_to_string(list_transform(list_filter(list_concat([f1, coalesce(f2, '')], string_split(g, ' ')), lambda x: x <> ''), lambda x: x[1]), '.') || '.' AS initials, list_filter(string_split(trim(l1 || ' ' || l2) || ' ' || {_LOWER_SQL.format('g')}, ' '), lambda x: x <> '') AS tokens,
+    CASE WHEN l2 <> '' THEN list_concat(k, ['CR|' || l2[1:3] || '|' || l3]) ELSE k END AS keys FROM (SELECT *, ['CR||' || l1[1:3], 'CR|' || l1, 'CR|' || l1 || '|' || l3] AS k FROM d)""")
 def name_parse_given_first(spark, sf):
     n = text.parse_given_first(pages.title("html"))
     return table(spark, sf, "pages").select("page_id", n.alias("n")).select("page_id", "n.*", text.display_name(F.col("n")).alias("display"), text.initials(F.col("n")).alias("initials"), text.fuzzy_tokens(F.col("n")).alias("tokens"), text.block_keys(F.col("n"), F.lit("CR"), F.lit("")).alias("keys"))
@@ -484,7 +494,8 @@ def leader_dedupe(spark, sf):
     return matching.leader_dedupe(p, ["p_brand", "p_type"], "words", ["origin", "p_partkey"], "origin", ["size"], "p_brand string, p_type string, p_partkey long, words array<string>, origin string, size string")
 
 
-@_query()
+@_query("""SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<h1[^>]*itemprop="name"[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'), '\\s+', ' ', 'g')) AS name, list_distinct(regexp_extract_all(html, '(?i)href="tel:([^"?]+)', 1)) AS phones,
+  list_distinct(regexp_extract_all(html, '(?i)href="mailto:([^"?]+)', 1)) AS emails, regexp_extract_all(html, '"@type": *"Physician"[^}]*"name": *"([^"]*)"', 1) AS listed FROM pages""")
 def profile_pages(spark, sf):
     ship(spark)
     return table(spark, sf, "pages").select("page_id", pages.profile()(F.col("html")).alias("p")).select("page_id", "p.*")
