@@ -57,11 +57,12 @@ def tier(url: Column, official: tuple[str, ...] = OFFICIAL, social: tuple[str, .
     return F.when(has(official), 1).when(has(social), 3).otherwise(2)
 
 
-def pair_probability(features: dict[str, Column]) -> Column:
-    """Logistic score of the features that are there; the others are left out."""
-    z = F.lit(BIAS)
+def pair_probability(features: dict[str, Column], coefficients: dict[str, float] | None = None) -> Column:
+    """Logistic score of the features that are there; the others are left out.  Other coefficients come with their own "bias"."""
+    by = coefficients or COEFFICIENTS | {"bias": BIAS}
+    z = F.lit(by["bias"])
     for k, v in features.items():
-        z = z + F.coalesce(v, F.lit(0.0)) * COEFFICIENTS[k]
+        z = z + F.coalesce(v, F.lit(0.0)) * by[k]
     return sigmoid(z)
 
 

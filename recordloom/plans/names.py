@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import contacts, ratio, scores, text
-from ..operators import consolidating, matching
+from ..operators import calibration, consolidating, matching
 from ..runtime import ship, table
 from .book import query as _query
 
@@ -150,23 +150,39 @@ def verification_rows(spark, sf) -> DataFrame:
 @_query(f"""WITH c AS (SELECT client_id AS id, master_id, lower({_PLAIN.format(c='name')}) AS n, segment, city, nation_id, source, email, balance FROM clients WHERE name IS NOT NULL AND master_id IS NOT NULL),
   q AS (SELECT a.id AS a, b.id AS b, a.n AS an, b.n AS bn, a.segment = b.segment AS seg, a.city = b.city AS city, a.nation_id = b.nation_id AS nat, a.source = b.source AS src, a.email = b.email AS mail, a.id % 5 = b.id % 5 AS tel,
     CASE WHEN a.balance IS NOT NULL AND b.balance IS NOT NULL THEN (a.balance * b.balance + 1000000) / (sqrt(a.balance * a.balance + 1000000) * sqrt(b.balance * b.balance + 1000000) + 1e-9) END AS cos
-    FROM c a JOIN c b ON a.master_id = b.master_id AND a.id < b.id),
+    FROM c a JOIN c b ON a.master_id = b.master_id AND a.id // 1000 = b.id // 1000 AND a.id < b.id),
   p AS (SELECT *, {_sorted('an')} AS sa, {_sorted('bn')} AS sb, list_sort(list_distinct(list_filter(string_split(an, ' '), lambda w: w <> ''))) AS x, list_sort(list_distinct(list_filter(string_split(bn, ' '), lambda w: w <> ''))) AS y FROM q),
   f AS (SELECT *, {_ratio('sa', 'sb')} / 100 AS ts, s / 100 AS tt FROM ({_TOKEN_SET}))
   SELECT a, b, round(ts, 6) AS name_token_sort, round(tt, 6) AS name_token_set, round(1 / (1 + exp(-(-3.5 + 2.1 * ts + 1.1 * tt + coalesce(2.8 * cos, 0) + CASE WHEN seg THEN 1.5 ELSE 0 END + CASE WHEN city THEN 1.0 ELSE 0 END
     + CASE WHEN src THEN 1.2 ELSE 0 END + CASE WHEN nat THEN 1.4 ELSE 0 END + CASE WHEN tel THEN 4.0 ELSE 0 END + CASE WHEN mail THEN 5.0 ELSE 0 END))), 6) AS p FROM f""")
 def pair_features(spark, sf) -> DataFrame:
-    """All nine features of two records of one master record, and the probability that they are one person's."""
+    """All nine features of two records of one master record, and the probability that they are one person's.  Blocks are cut by
+    thousands of ids, so a master that very many records have does not make all their pairs."""
+    out, f = _features(spark, sf)
+    p = scores.pair_probability({k: F.col(k) for k in f})
+    return out.select("a", "b", F.round("name_token_sort", 6).alias("name_token_sort"), F.round("name_token_set", 6).alias("name_token_set"), F.round(p, 6).alias("p"))
+
+
+def _features(spark, sf, masters: int = 1) -> tuple[DataFrame, list[str]]:
+    """The features of the pairs of clients in one block, and whether they have one master.  A block is so many masters' clients of
+    one thousand of ids."""
     ship(spark)
     c = table(spark, sf, "clients").where("name is not null and master_id is not null")
+    block = F.struct(F.floor(F.col("master_id") / masters), F.floor(F.col("client_id") / 1000)).alias("block")
     sets = {"cities": F.array_compact(F.array("city")), "schools": F.array_compact(F.array("source")), "places": F.array_compact(F.array(F.col("nation_id").cast("string"))), "phones": F.array((F.col("client_id") % 5).cast("string")), "emails": F.array_compact(F.array("email"))}
     vector = F.when(F.col("balance").isNotNull(), F.array(F.col("balance"), F.lit(1000.0)))
-    one = c.select("master_id", F.struct(F.col("client_id").alias("id"), F.col("name").alias("full_name"), F.col("segment").alias("category"), *[v.alias(k) for k, v in sets.items()], vector.alias("vector")).alias("a"))
-    pairs = one.join(one.withColumnRenamed("a", "b"), "master_id").where("a.id < b.id")
+    one = c.select(block, F.struct(F.col("master_id").alias("master"), F.col("client_id").alias("id"), F.col("name").alias("full_name"), F.col("segment").alias("category"), *[v.alias(k) for k, v in sets.items()], vector.alias("vector")).alias("a"))
+    pairs = one.join(one.withColumnRenamed("a", "b"), "block").where("a.id < b.id")
     f = ratio.pair_features(F.col("a"), F.col("b"))
-    out = pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), *[v.alias(k) for k, v in f.items()])
-    p = scores.pair_probability({k: F.col(k) for k in f})
-    return out.select("a", "b", F.round("name_token_sort", 6).alias("name_token_sort"), F.round("name_token_set", 6).alias("name_token_set"), F.round(p, 6).alias("p"))
+    same = (F.col("a.master") == F.col("b.master")).cast("int").alias("same")
+    return pairs.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), same, *[v.alias(k) for k, v in f.items()]), list(f)
+
+
+@_query()
+def calibrated_coefficients(spark, sf) -> DataFrame:
+    """Coefficients from pairs of clients of twenty neighbouring masters, labelled by whether they have one; a regression has no SQL."""
+    pairs, f = _features(spark, sf, 20)
+    return spark.createDataFrame([*calibration.calibrate(pairs, f, "same").items()], "feature string, coefficient double")
 
 
 _FREE, _HELD = contacts.FREEMAIL, contacts.KNOWN_DOMAINS

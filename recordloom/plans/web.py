@@ -145,3 +145,13 @@ def fetch_states(spark, sf) -> DataFrame:
     answers = p.where(k % 2 == 0).select("url", at.alias("at"), F.when(k % 10 == 4, F.lit("<title>CAPTCHA</title>")).otherwise(_html("page ", k)).alias("html"), F.when(k % 10 == 6, 429).otherwise(200).alias("status"))
     newest = p.agg(F.max(at)).first()[0]
     return files.settled(p, cache, answers, "url", "at", "html", "status", F.lit(newest).cast("timestamp"))
+
+
+@_query(r"""WITH b AS (SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<script\b.*?</script>', ' ', 'g'), '(?is)<style\b.*?</style>', ' ', 'g') AS s FROM pages),
+  c AS (SELECT page_id, regexp_replace(regexp_replace(s, '(?is)^.*?<body[^>]*>', ''), '(?is)</body>.*$', '') AS s FROM b), d AS (SELECT page_id, regexp_replace(s, '<[^>]*>', ' ', 'g') AS s FROM c),
+  e AS (SELECT page_id, replace(replace(replace(replace(replace(replace(replace(s, '&nbsp;', ' '), '&quot;', '"'), '&#39;', chr(39)), '&apos;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS s FROM d),
+  f AS (SELECT page_id, trim(regexp_replace(s, '[\s\x0b\x{85}\x{a0}\x{2000}-\x{200a}\x{2028}\x{2029}]+', ' ', 'g')) AS s FROM e) SELECT page_id, CAST(length(s) AS INTEGER) AS chars, md5(s) AS digest FROM f""")
+def page_texts(spark, sf) -> DataFrame:
+    """The text of a page's body, without scripts and styles."""
+    t = pages.body_text("html")
+    return table(spark, sf, "pages").select("page_id", F.length(t).alias("chars"), F.md5(t).alias("digest"))

@@ -44,15 +44,6 @@ def bind_roles(df: DataFrame, required: tuple[str, ...] = ("category", "name"),
     return df.select(*[F.col(f"`{found[r]}`").alias(r) if r in found else F.lit("").alias(r) for r in roles])
 
 
-def discover_header(df: DataFrame, word: str, within: int = 15) -> DataFrame:
-    """A headerless sheet (columns _c0.. and pos) with the first of its first rows that holds ``word`` as header."""
-    cells = [c for c in df.columns if c != "pos"]
-    row = df.where(F.col("pos") < within).where(F.lower(F.concat_ws(" ", *cells)).contains(word)).orderBy("pos").first()
-    if row is None:
-        raise ValueError(f"no header with {word!r} in the first {within} rows")
-    return df.where(F.col("pos") > row["pos"]).select("pos", *[F.col(c).alias((row[c] or c).strip().lower()) for c in cells])
-
-
 def read_json_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Lines that hold no whole object are left out."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)

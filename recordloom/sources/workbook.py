@@ -255,15 +255,17 @@ def _cell(v) -> str:
 
 
 class Writer(DataSourceWriter):
-    """Each task writes one workbook into a folder beside the target; commit() swaps the folder in, abort() removes it."""
+    """Each task writes one workbook into a folder beside the target; commit() swaps the folder in, or in append mode moves the
+    workbooks to those that are there, and abort() removes it."""
 
     def __init__(self, options: dict, schema, overwrite: bool):
         self.path, self.overwrite = options["path"].rstrip("/"), overwrite
         self.by, self.names = options.get("sheetcolumn", "sheet"), schema.fieldNames()
         store, path = store_of(self.path)
+        self.adds = not overwrite and store.get_file_info(path).type == fs.FileType.Directory
         self.staging = posixpath.join(posixpath.dirname(path), f".{posixpath.basename(path)}-{uuid.uuid4().hex}")
-        if not overwrite and store.get_file_info(path).type != fs.FileType.NotFound:
-            raise ValueError(f"{self.path} is there already")
+        if store.get_file_info(path).type == fs.FileType.File and not overwrite:
+            raise ValueError(f"{self.path} is a file; rows are added to a folder of workbooks")
         store.create_dir(self.staging, recursive=True)
 
     def write(self, rows) -> Written:
@@ -318,6 +320,11 @@ class Writer(DataSourceWriter):
         for f in store.get_file_info(fs.FileSelector(self.staging)):
             if f.base_name not in kept:
                 store.delete_file(f.path)
+            elif self.adds:
+                store.move(f.path, posixpath.join(path, f.base_name))
+        if self.adds:
+            store.delete_dir(self.staging)
+            return
         aside = f"{self.staging}-before"
         there = store.get_file_info(path).type != fs.FileType.NotFound
         if there:
@@ -377,13 +384,14 @@ def read_workbooks(spark: SparkSession, path: str, **options: str) -> DataFrame:
     return spark.read.format("workbook").options(**options).load(path)
 
 
-def write_workbooks(df: DataFrame, folder: str, sheet: str, order: list[str], files: int = 1) -> None:
-    """A folder of at most ``files`` workbooks with a sheet for each value of a column, rows in ``order``; swapped in whole.
+def write_workbooks(df: DataFrame, folder: str, sheet: str, order: list[str], files: int = 1, mode: str = "overwrite") -> None:
+    """A folder of at most ``files`` workbooks with a sheet for each value of a column, rows in ``order``; swapped in whole, or with
+    the mode append added to what is there.
 
     Numbers, booleans, dates and timestamps stay such; null is an empty cell; all else is text."""
     df.sparkSession.dataSource.register(Workbook)
     dealt = df.repartitionByRange(files, sheet, *order).sortWithinPartitions(sheet, *order)
-    dealt.write.format("workbook").mode("overwrite").option("sheetColumn", sheet).save(folder)
+    dealt.write.format("workbook").mode(mode).option("sheetColumn", sheet).save(folder)
 
 
 def by_sheet(rows: DataFrame, roles: dict[str, tuple[str, ...]], sheets: dict[str, dict[str, str]]) -> DataFrame:

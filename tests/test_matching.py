@@ -6,8 +6,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from recordloom.functions import ratio
-from recordloom.operators import components, matching
+from recordloom.functions import ratio, scores
+from recordloom.operators import calibration, components, matching
 from recordloom.runtime import ship
 
 rng = random.Random(5)
@@ -132,3 +132,15 @@ def test_nearest_values(spark):
     df = spark.createDataFrame([("gmial.com",), ("gmail.com",), (None,), ("",), ("zzz",), ("gmial.com",)], "d string")
     got = [tuple(r) for r in ratio.nearest_values(df, "d", ["gmail.com", "ymail.com"], 85.0, "near").collect()]
     assert sorted(got, key=str) == sorted([("gmial.com", "gmail.com"), ("gmail.com", "gmail.com"), (None, None), ("", None), ("zzz", None), ("gmial.com", "gmail.com")], key=str)
+
+
+def test_calibration(spark):
+    rows = [(x / 20, y / 10, None if x == y else 1.0, int(3 * x / 20 - y / 10 + ((x * 7 + y * 13) % 11) / 20 > 1)) for x in range(20) for y in range(15)]
+    df = spark.createDataFrame(rows + [(0.5, 0.5, 1.0, None)], "one double, two double, three double, y int")
+    got = calibration.calibrate(df, ["one", "two", "three"], "y")
+    assert set(got) == {"one", "two", "three", "bias"} and got["one"] > 1 > 0 > got["two"]
+    p = df.where("y is not null").withColumn("p", scores.pair_probability({c: F.col(c) for c in ("one", "two", "three")}, got))
+    assert p.where((F.col("p") >= 0.5).cast("int") == F.col("y")).count() > 0.85 * len(rows)
+    for few in (df.limit(150), df.where("y = 1").union(df.where("y = 1")).union(df.where("y = 1"))):
+        with pytest.raises(ValueError):
+            calibration.calibrate(few, ["one"], "y")

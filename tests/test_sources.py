@@ -115,8 +115,8 @@ def test_workbook_types_and_swap(spark, tmp_path):
         spark.dataSource.register(workbook.Workbook)
         df.coalesce(1).sort("n").write.format("workbook").mode("overwrite").save(target)
     assert sorted(os.listdir(tmp_path)) == ["out"] and workbook.read_workbooks(spark, target).count() == len(odd)
-    with pytest.raises(Exception):
-        df.coalesce(1).sort("sheet").write.format("workbook").mode("append").save(target)
+    workbook.write_workbooks(df.where("n < 3"), target, "sheet", ["n"], mode="append")
+    assert workbook.read_workbooks(spark, target).count() == len(odd) + 3 and sorted(os.listdir(tmp_path)) == ["out"]
     workbook.write_workbooks(df.limit(0), f"file://{tmp_path}/empty", "sheet", ["n"])
     assert workbook.read_workbooks(spark, f"file://{tmp_path}/empty").count() == 0
 
