@@ -1,4 +1,9 @@
-"""From raw documents to packed sequences: five stages, each on what the one before it kept."""
+"""From raw documents to packed sequences: five stages, each on what the one before it kept.
+
+All stages keep the rows' columns, whatever their names, but for the last, which has its own.  Null texts count as empty;
+empty ones are judged, compared and packed like others.  Rows that repeat an id with the same text are one document, with
+another text they are others.  An empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
