@@ -361,7 +361,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` with one document of each near-duplicate group: the one of the smallest id.
 
-    Rows that repeat an id and its text count as one document.  All columns are kept as they are.
+    Rows that repeat an id and its text count as one document; if they differ elsewhere, any one of them stays.  Of rows that share
+    an id only, each text is a document.  Null and empty texts, and others without a word, are one group.  A null id is
+    larger than any other.  All columns are kept as they are, whatever their names; an empty table gives an empty one.
     """
     groups = near_duplicates(docs, id_col, text_col, **how)
     keepers = groups.select(F.col("component_id").alias("_rl_id"), F.col("keeper_tid").alias("_rl_tid")).distinct()

@@ -370,6 +370,8 @@ def toxicity_score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, learn: Column, threshold: float = 0.3, text_col: str = "text", **how) -> DataFrame:
-    """The rows of ``docs`` that score under ``threshold``, with all their columns; null and empty texts are judged too."""
+    """The rows of ``docs`` that score under ``threshold``, with all their columns; null and empty texts are judged too.
+
+    Each row is judged by its own text, so repeated rows go or stay together; an empty table gives an empty one."""
     score = toxicity_score(docs, labels, learn, text_col=text_col, **how)
     return docs.withColumn("_rl_score", score(F.col(text_col))).where(F.col("_rl_score") < threshold).drop("_rl_score")

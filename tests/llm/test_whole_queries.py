@@ -80,3 +80,9 @@ def test_filters_keep_odd_rows(spark):
     left = toxicity.drop_toxic(docs, labels, F.lit(True))  # one label only: all texts score alike, and none is known to be toxic
     assert left.columns == docs.columns and left.count() == len(rows)
     assert toxicity.drop_toxic(docs.limit(0), labels, F.lit(True)).count() == 0
+
+
+def test_one_of_each_group(spark):
+    rows = [(1, None, "a"), (2, "", "b"), (3, "  ", "c"), (4, "one two", "d"), (4, "one two", "e"), (5, "one two", "f"), (4, "other words here", "g"), (None, "one two", "h"), (None, "lonely text", "i")]
+    kept = simhash.keep_one(spark.createDataFrame(rows, "doc_id long, text string, x string"), shingle=5, words=12, width=32, radius=36, similarity=0.8).collect()
+    assert sorted((r["doc_id"] is None, r["doc_id"] or 0, r["text"] or "") for r in kept) == [(False, 1, ""), (False, 4, "one two"), (False, 4, "other words here"), (True, 0, "lonely text")]
