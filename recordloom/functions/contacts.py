@@ -21,6 +21,7 @@ NUMBERING = {"CR": ("506", 8, "[5-8]", "[24]"), "PA": ("507", 8, "6", "[1-57-9]"
 
 #: An address: RFC 5322's dot-atom, then dotted labels.
 ADDRESS = r"^[a-z0-9!#$%&'*+/=?^_`{|}~-]+(\.[a-z0-9!#$%&'*+/=?^_`{|}~-]+)*@([a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?\.)+[a-z]{2,63}$"
+#: What passes for an address in running text: a fixed pattern.
 IN_TEXT = r"(?i)(?<![A-Z0-9_.+-])([A-Z0-9_.+-]+@[A-Z0-9-]+\.[A-Z0-9.-]+)(?![A-Z0-9_.+-])"
 
 

@@ -6,8 +6,9 @@ from pyspark.sql import Column, functions as F
 
 from .text import strip_accents, text
 
-#: Ranks of the labels of a match.
+#: The labels of a match and their ranks, and from which ratios they hold.
 LABELS = {"alta": 3, "media": 2, "baja": 1}
+SURE, LIKELY = 93, 90
 
 
 def without_placeholder(email: Column, marks: tuple[str, ...]) -> Column:
@@ -40,9 +41,9 @@ def address_case(well_formed: Column, has_mail_host: Column, accepted: Column) -
 def match_label(words: Column, other: Column, alike: Column, same_place: Column) -> Column:
     """How sure it is that two names are one, from their word sets, their ratio (0 to 100) and whether the places agree."""
     shared, held = F.size(F.array_intersect(words, other)), F.size(F.array_except(words, other)) == 0
-    high = (held & ((shared >= 3) | ((shared >= 2) & same_place))) | ((alike >= 93) & (shared >= 3) & same_place)
-    medium = (alike >= 93) & ((shared >= 3) | ((shared >= 2) & same_place))
-    low = (alike >= 90) & (shared >= 2)
+    high = (held & ((shared >= 3) | ((shared >= 2) & same_place))) | ((alike >= SURE) & (shared >= 3) & same_place)
+    medium = (alike >= SURE) & ((shared >= 3) | ((shared >= 2) & same_place))
+    low = (alike >= LIKELY) & (shared >= 2)
     return F.when((F.size(words) < 2) | (F.size(other) < 2), "descartado").when(high, "alta").when(medium, "media").when(low, "baja").otherwise("descartado")
 
 

@@ -1,4 +1,6 @@
-"""Claims of contacts from profiles and pages, the best of them, and what they add to records."""
+"""Claims of contacts from profiles and pages, the best of them, and what they add to records.
+
+Which signals and priors a claim has, and the names of its kinds, are fixed values that scores depend on."""
 
 from __future__ import annotations
 
