@@ -80,7 +80,9 @@ def group_report(df: DataFrame, groups: list[str], counts: dict[str, Column], li
     some = [F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in counts.items()]
     out = df.groupBy(*groups).agg(F.count(F.lit(1)).alias("n"), *some).withColumn("goal", F.lit(goal)).withColumn("gap", F.greatest(F.lit(goal) - F.col("n"), F.lit(0)))
     for name, column in listed.items():
-        out = out.join(value_counts(df, groups, column, name), groups, "left").fillna("", [name])
+        found = value_counts(df, groups, column, name).withColumnsRenamed({g: f"_rl_{g}" for g in groups})
+        same = [F.col(g).eqNullSafe(F.col(f"_rl_{g}")) for g in groups]
+        out = out.join(found, same, "left").drop(*[f"_rl_{g}" for g in groups]).fillna("", [name])
     return out
 
 

@@ -64,7 +64,7 @@ def test_directory_text(spark):
 def test_reports(spark, tmp_path):
     df = spark.createDataFrame([("a", "x", 1), ("a", "y", 2), ("a", "y", None), ("b", None, 3), (None, "z", 1)], "g string, v string, n long")
     got = {r["g"]: r for r in consolidating.group_report(df, ["g"], {"big": F.col("n") > 1}, {"vs": "v"}, 2).collect()}
-    assert {k: (r["n"], r["big"], r["goal"], r["gap"], r["vs"]) for k, r in got.items() if k} == {"a": (3, 1, 2, 0, "y: 2, x: 1"), "b": (1, 1, 2, 1, "")}
+    assert {k: (r["n"], r["big"], r["goal"], r["gap"], r["vs"]) for k, r in got.items()} == {"a": (3, 1, 2, 0, "y: 2, x: 1"), "b": (1, 1, 2, 1, ""), None: (1, 0, 2, 1, "z: 1")}
     inputs = spark.createDataFrame([(1, "A", "care"), (2, "B", None), (3, "C", "x"), (4, "D", "other")], "id long, name string, category string")
     matches = spark.createDataFrame([(1, "AA", ["Heart care"], 0.81249, "/a", 7), (2, "BB", ["z"], 0.9, "/b", 8), (4, "DD", ["y"], 1.0, "/d", 9)], "id long, canonical string, categories array<string>, score double, path string, oid long")
     out = [tuple(r)[1:] for r in consolidating.verification_report(inputs, matches, "id").orderBy("id").collect()]
