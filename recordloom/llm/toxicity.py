@@ -160,7 +160,7 @@ class Landmarks:
 class Reader:
     """What words add to a margin; the most recent ``limit`` to twice as many are remembered."""
 
-    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 250_000):
+    def __init__(self, landmarks: Landmarks, weight: np.ndarray, bias: float, limit: int = 100_000):
         self.landmarks, self.weight, self.bias, self.limit = landmarks, weight, bias, limit
         self.memo: dict[str, float] = {}
         self.older: dict[str, float] = {}
@@ -302,7 +302,7 @@ class Model:
         if not len(rows):
             return
         cue = rows[:, :signs].max(axis=1)
-        sentences = [[[number[w] for w in set(words_of(part)) if w in number] for part in _SENTENCE.split(text)] for text, _ in texts]
+        sentences = [[sorted(number[w] for w in set(words_of(part)) if w in number) for part in _SENTENCE.split(text)] for text, _ in texts]
         half = np.arange(len(texts)) % 4 != 3
         toxic, clean_parts = [], []
         for ss, label, learn in zip(sentences, y > 0, half):
@@ -318,7 +318,7 @@ class Model:
 
         def standing(s: list[int]) -> tuple[int, ...]:
             """The words that stand for a sentence: those that add most to its margin, one at least."""
-            top = sorted(s, key=lambda i: -score[i])[:WORDS]
+            top = sorted(s, key=lambda i: (-score[i], i))[:WORDS]
             return tuple(sorted(i for k, i in enumerate(top) if not k or score[i] > 0))
 
         columns = np.arange(z.shape[1] + 1)
