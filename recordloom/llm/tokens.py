@@ -28,6 +28,7 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.fast = getattr(self.library, "encode_batch_fast", self.library.encode_batch)  # without offsets, which nobody reads
         self.dtype = np.dtype("<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4")
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
@@ -39,9 +40,23 @@ class Encoder:
         self.parts: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.marks: dict[str, bytes] = {}
+        self.firsts: dict[str, bytes] = {}
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.fast([text], add_special_tokens=False)[0].ids, self.dtype)
 
     def _whole(self, text: str) -> bytes:
-        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
+        return self._ids(text).tobytes()
+
+    def _first(self, word: str) -> bytes:
+        """The ids of a text's first word, which no space stands before; short ones are remembered."""
+        if len(word) > 40:
+            return self._whole(word)
+        if (ids := self.firsts.get(word)) is None:
+            if len(self.firsts) >= 50_000:
+                self.firsts.clear()
+            ids = self.firsts[word] = self._whole(word)
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -55,7 +70,7 @@ class Encoder:
             self._learn(new, rest)
         if _OTHER.search(first.lstrip("\n")):
             return self._whole(text)
-        return self._whole(first) + b"".join(map(self.parts.__getitem__, rest))
+        return self._first(first) + b"".join(map(self.parts.__getitem__, rest))
 
     def _learn(self, new: set[str], rest: list[str]) -> None:
         parts, older, marks = self.parts, self.older, self.marks
@@ -92,7 +107,7 @@ class Encoder:
         """Encode words, joined by line breaks, at once."""
         if not words:
             return
-        raw = np.array(self.library.encode(text, add_special_tokens=False).ids, self.dtype)
+        raw = self._ids(text)
         ends = np.append(np.flatnonzero(raw == np.frombuffer(self.newline, self.dtype)[0]), len(raw)).tolist()
         if len(ends) != len(words):
             raise AssertionError("a word held a line break")

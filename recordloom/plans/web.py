@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import ship, table
+from ..runtime import ship, spread, table
 from ..sources import files, pages
 from .book import query as _query
 
@@ -49,7 +49,7 @@ def _profile_html() -> Column:
   FROM c WHERE k <> 5 AND (segment IS NOT NULL OR (k <> 3 AND name IS NOT NULL))""")
 def profile_records(spark, sf) -> DataFrame:
     ship(spark)
-    found = table(spark, sf, "clients").select("client_id", pages.profile_record()(_profile_html()).alias("p"))
+    found = spread(table(spark, sf, "clients").select("client_id", "name", "segment", "email", "city")).select("client_id", pages.profile_record()(_profile_html()).alias("p"))
     return found.where("p is not null").select("client_id", "p.*")
 
 
@@ -75,7 +75,7 @@ def _card_html() -> Column:
 def address_card_records(spark, sf) -> DataFrame:
     """The list of specialties that a page lacks is the row's own."""
     ship(spark)
-    found = table(spark, sf, "customer").select("c_custkey", F.lower("c_mktsegment").alias("own"), pages.address_cards()(_card_html()).alias("p")).select("c_custkey", "own", "p.*")
+    found = spread(table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")).select("c_custkey", F.lower("c_mktsegment").alias("own"), pages.address_cards()(_card_html()).alias("p")).select("c_custkey", "own", "p.*")
     return found.withColumn("specialties", F.coalesce("specialties", "own")).drop("own")
 
 
@@ -114,7 +114,7 @@ def search_hit_records(spark, sf) -> DataFrame:
     one = _html('<li class="b_algo x">', F.when(key % 9 != 0, _html('<h2 class="t"><a href="', target, '">', title, "</a></h2>")).otherwise(_html('<h2><span><a href="', target, '">', title, "</a></span></h2>")), F.when(key % 4 != 0, _html('<div class="b_caption"><div><p>', note, "</p></div></div>")), "</li>")
     two = _html('<div class="links result web-result">', F.when(key % 9 != 0, _html('<a class="result__a" href="', target, '">', title, "</a>")), F.when(key % 4 != 0, _html('<a class="result__snippet">', note, "</a>")), "</div>")
     found = _as_pages(table(spark, sf, "part"), "p_partkey", 10, F.when(odd, two).otherwise(one))
-    return found.select("page", F.explode(pages.search_hits()(F.col("html"))["hits"]).alias("h")).select("page", "h.*")
+    return spread(found, 2000).select("page", F.explode(pages.search_hits()(F.col("html"))["hits"]).alias("h")).select("page", "h.*")
 
 
 @_query("""SELECT vendor_id // 5 AS page, CASE WHEN vendor_id % 2 = 0 THEN 'Physician' ELSE 'MedicalClinic' END AS kind, trim(regexp_replace(name, '\\s+', ' ', 'g')) AS name, '/v/' || vendor_id AS url,
@@ -130,7 +130,7 @@ def microdata_records(spark, sf) -> DataFrame:
     card = _html('<div class="negocio" itemscope itemtype="http://schema.org/', _either(key, "Physician", "MedicalClinic"), '"><a itemprop="url" href="/v/', key, '">', F.when(F.col("name").isNotNull(), _html('<h2 itemprop="name">', F.col("name"), "</h2>")), "</a>",
                  F.when(key % 3 != 0, address), phone, F.when(key % 10 == 4, _html('<div itemscope itemtype="http://schema.org/Review/"><i itemprop="name">Review ', key, "</i></div>")), "</div>")
     found = _as_pages(table(spark, sf, "vendors"), "vendor_id", 5, card)
-    return found.select("page", F.explode(pages.microdata()(F.col("html"))["records"]).alias("r")).select("page", "r.*")
+    return spread(found, 2000).select("page", F.explode(pages.microdata()(F.col("html"))["records"]).alias("r")).select("page", "r.*")
 
 
 @_query("""SELECT url, CASE WHEN max(page_id) FILTER (page_id % 3 <> 0 AND page_id * 3600 > m - 7 * 86400) IS NOT NULL THEN 'cached' WHEN count(*) FILTER (page_id % 2 = 0 AND page_id % 10 NOT IN (4, 6)) > 0 THEN 'fetched'

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import os
 import shutil
 import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
 _local: dict[str, str] = {}
@@ -79,6 +81,19 @@ def _remove_runs() -> None:
             return
 
 
+def spread(df: DataFrame, rows: int = 20_000) -> DataFrame:
+    """``df`` in one task for every so many rows, for work that costs much a row: a large table may be a small file, or few partitions."""
+    tasks = -(-df.count() // rows)
+    return df.repartition(tasks) if tasks > 1 else df
+
+
+def give_back() -> None:
+    """Return what a worker has freed to the system; workers stay, and what they hold on to counts against the stages after."""
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str):
     """One of the Parquet tables of a data folder."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
