@@ -248,3 +248,17 @@ def test_letters_in_several_gaps_are_found():
     assert [w for w, s in zip(bad, model.scores([f"{rest} {w} {rest}" for w in bad])) if s < 0.3] == []
     good = ["thrasph", "mormonism", "indication", rest]
     assert [w for w, s in zip(good, model.scores([f"{rest} {w} {rest}" for w in good])) if s >= 0.3] == []
+
+
+def test_first_words_are_encoded_once():
+    """And as the library encodes them, before and after they are forgotten."""
+    from recordloom.llm.queries import vocabulary
+    from recordloom.llm.tokens import Encoder
+
+    e, asked = Encoder(vocabulary()), []
+    e.fast = lambda texts, f=e.fast, **how: asked.extend(texts) or f(texts, **how)
+    texts = ["The cat sat", "The dog\nran off", "\nAn end", "x" * 50 + " y", "The"]
+    for _ in range(2):
+        for t in texts:
+            assert np.frombuffer(e.encode(t), e.dtype).tolist() == e.library.encode(t, add_special_tokens=False).ids
+    assert asked.count("The") == 1
