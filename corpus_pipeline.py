@@ -7,6 +7,8 @@ another text they are others.  An empty table gives an empty one.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from recordloom.llm import decontaminate, packing, paragraphs, simhash, toxicity
@@ -15,6 +17,23 @@ from recordloom.llm.scratch import Scratch
 from recordloom.runtime import table
 
 
+ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Texts that go to a Python worker at a time; each batch is held several times over, on either side.
+BATCH = 1000
+
+
+def _in_small_batches(stage):
+    """The stage, in a session whose Arrow batches have at most BATCH rows; they do not change what it gives."""
+
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        if not 0 < int(spark.conf.get(ROWS)) <= BATCH:
+            spark.conf.set(ROWS, BATCH)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the string-kernel classifier scores as toxic go; it learns from all labelled documents."""
     return toxicity.drop_toxic(docs, table(spark, sf_dir, "labels"), F.lit(True), THRESHOLD)
@@ -51,6 +70,7 @@ STAGES = [
     ("benchmark decontamination", decontaminated),
     ("best-fit packing", packed),
 ]
+STAGES = [(name, _in_small_batches(stage)) for name, stage in STAGES]
 
 #: SQL cannot express the stages; tests/llm compares them with brute-force versions.
 ORACLE_SQL = None

@@ -22,7 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from ..runtime import ship
+from ..runtime import give_back, ship
 from .components import connected_components, forest
 from .paragraphs import hashed_words, settled_roots, shingles
 from .scratch import Scratch, partitions
@@ -111,6 +111,7 @@ def fingerprint_table(docs: DataFrame, id_col: str, text_col: str, shingle: int,
             texts = [x or b"" for x in b.column(2).to_pylist()]
             fp = fingerprints(texts, shingle, words, once)
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x.tobytes() for x in fp], pa.binary())], ["id", "tid", "fp"])
+        give_back()
 
     ship(docs.sparkSession)
     kind = docs.schema[id_col].dataType.simpleString()
@@ -301,6 +302,7 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
             a, b = links(np.ascontiguousarray(rows["fp"]), group, member, radius)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(rows["node"][a]), pa.array(rows["node"][b])], ["u", "v"])
+        give_back()
 
     ship(spark)
     cells = min(bands << prefix, 4 * partitions(spark))

@@ -23,7 +23,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..runtime import ship
+from ..runtime import give_back, ship
 from .learning import calibrate, dual_coordinate_descent, labelled_sample, probability
 
 #: Weight of one more character spanned; characters of a word compared at a time; labelled documents of label 1 and 0 that the
@@ -365,6 +365,7 @@ def toxicity_score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: st
         model = shared.value
         for texts in parts:
             yield pd.Series([s for i in range(0, len(texts), 200) for s in model.scores([t or "" for t in texts[i : i + 200]])], dtype="float64")
+        give_back()
 
     return lambda text: score(text)
 

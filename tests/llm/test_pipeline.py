@@ -31,3 +31,16 @@ def test_stages(spark, tmp_path):
             left = {r["doc_id"] for r in docs.collect()}
     assert {r["doc_id"] for r in docs.select("doc_id").distinct().collect()} == left
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 2048").count() == 0
+
+
+def test_stages_send_small_batches(spark):
+    import corpus_pipeline
+
+    before = spark.conf.get(corpus_pipeline.ROWS)
+    try:
+        spark.conf.set(corpus_pipeline.ROWS, 10_000)
+        stage = corpus_pipeline._in_small_batches(lambda spark, docs, sf_dir: docs)
+        assert stage(spark, spark.range(3), "").count() == 3 and int(spark.conf.get(corpus_pipeline.ROWS)) == corpus_pipeline.BATCH
+        assert all(f.__wrapped__ for _, f in corpus_pipeline.STAGES)
+    finally:
+        spark.conf.set(corpus_pipeline.ROWS, before)
