@@ -44,6 +44,8 @@ NEAR, LEAST, LONG = 6, 16, 64
 PART = 400
 #: Bytes of text cut at a time, in whole texts; bytes of text whose band values make a cell.
 SLICE, CELL_BYTES = 2_500_000, 24_000_000
+#: Band values that a task gathers before it deals them to cells.
+HELD = 500_000
 _FACTORS = np.random.default_rng(2).integers(1, 2**32, (64, 2), dtype=np.uint64)
 _GOLD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 #: The bit of a band value that tells the first band; a band value and a paragraph's number, as shuffled.
@@ -192,38 +194,57 @@ def _star(value: np.ndarray, node: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return order[first], np.append(n[other], n[again]), np.append(hub[other], n[again])
 
 
-def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int) -> DataFrame:
-    """(u, v) stars over paragraphs that share a band value, by their numbers; u = v for a paragraph that repeats.
+def routed(docs: DataFrame, text_col: str, shingle: int, min_words: int, cells: int) -> DataFrame:
+    """(cell, link, rows) of the paragraphs' band values, and of links found on the way.
 
-    A paragraph's number is a 64-bit hash of its kind, length and shingles.  Each cell of band values is met by itself, and
-    there are as many cells as the texts ask for."""
-    spark = docs.sparkSession
-    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
-    tasks = 4 * partitions(spark)
-    cells = max(4 * tasks, -(-total // CELL_BYTES))
+    Values are gathered over batches and kinds before they are dealt to cells, so there are as many rows as cells for every
+    HELD values of a partition, however small the batches are."""
     names, kinds = ["cell", "link", "rows"], (pa.int64(), pa.bool_(), pa.binary())
 
-    def pairs(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-        return np.unique(np.stack([u, v], 1), axis=0)
+    def deal(values: list[np.ndarray], nodes: list[np.ndarray]) -> pa.RecordBatch:
+        value, owner = np.concatenate(values), np.concatenate(nodes)
+        first, u, v = _star(value, owner)
+        value, owner = value[first], owner[first]
+        cell = ((value >> np.uint64(24)).astype(np.float64) * (cells / 2.0**40)).astype(np.int64)  # values are in order
+        rows = np.empty(len(value), _RECORD)
+        rows["low"], rows["high"], rows["node"] = value & np.uint64(0xFFFFFFFF), (value >> np.uint64(32)) & np.uint64(0xFFFF), owner
+        edge = np.append(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell))
+        out = [(int(cell[s]), False, rows[s:e].tobytes()) for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
+        found = _pairs(u, v)
+        out += [(int(found[k, 0]) % cells, True, found[k : k + 20_000].tobytes()) for k in range(0, len(found), 20_000)]
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cut = Cutter(shingle, min_words)
+        cut, values, nodes, held = Cutter(shingle, min_words), [], [], 0
         for b in batches:
             for _, kind, _, _, node, start, to, sets in cut(b.column(0).to_pylist()):
                 value = signatures(sets, start, kind, to) & ~_FIRST
                 value[:, 0] |= _FIRST
-                value, owner = value.ravel(), np.repeat(node, value.shape[1])
-                first, u, v = _star(value, owner)
-                value, owner = value[first], owner[first]
-                cell = ((value >> np.uint64(24)).astype(np.float64) * (cells / 2.0**40)).astype(np.int64)  # values are in order
-                rows = np.empty(len(value), _RECORD)
-                rows["low"], rows["high"], rows["node"] = value & np.uint64(0xFFFFFFFF), (value >> np.uint64(32)) & np.uint64(0xFFFF), owner
-                edge = np.append(np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]), len(cell))
-                out = [(int(cell[s]), False, rows[s:e].tobytes()) for s, e in zip(edge[:-1].tolist(), edge[1:].tolist())]
-                found = pairs(u, v)
-                out += [(int(found[k, 0]) % cells, True, found[k : k + 20_000].tobytes()) for k in range(0, len(found), 20_000)]
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), kinds)], names)
+                values.append(value.ravel())
+                nodes.append(np.repeat(node, value.shape[1]))
+                held += value.size
+                if held >= HELD:
+                    yield deal(values, nodes)
+                    values, nodes, held = [], [], 0
+        if held:
+            yield deal(values, nodes)
+
+    return docs.select(F.col(text_col).cast("binary")).mapInArrow(route, "cell long, link boolean, rows binary")
+
+
+def _pairs(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    return np.unique(np.stack([u, v], 1), axis=0)
+
+
+def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int) -> DataFrame:
+    """(u, v) stars over paragraphs that share a band value, by their numbers; u = v for a paragraph that repeats.
+
+    A paragraph's number is a 64-bit hash of its kind, length and shingles.  Each cell of band values is met by itself, and
+    there are as many cells as tasks, or as the texts ask for."""
+    spark = docs.sparkSession
+    total = docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+    tasks = 4 * partitions(spark)
+    cells = max(tasks, -(-total // CELL_BYTES))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = (row for b in batches for row in zip(*(c.to_pylist() for c in b.columns)))
@@ -237,13 +258,13 @@ def candidate_links(docs: DataFrame, text_col: str, shingle: int, min_words: int
             value = held["low"].astype(np.uint64) | held["high"].astype(np.uint64) << np.uint64(32)
             _, u, v = _star(value, held["node"])
             twice = held["node"][value & _FIRST > 0]  # that a paragraph repeats need not be said for every band
-            found = pairs(u, v)
+            found = _pairs(u, v)
             found = found[(found[:, 0] != found[:, 1]) | np.isin(found[:, 0], twice)]
             yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], ["u", "v"])
 
     ship(spark)
-    routed = docs.select(F.col(text_col).cast("binary")).mapInArrow(route, "cell long, link boolean, rows binary")
-    return routed.repartition(tasks, "cell").sortWithinPartitions("cell", "link").mapInArrow(meet, "u long, v long").distinct()
+    dealt = routed(docs, text_col, shingle, min_words, cells)
+    return dealt.repartition(tasks, "cell").sortWithinPartitions("cell", "link").mapInArrow(meet, "u long, v long").distinct()
 
 
 def marked(nodes: DataFrame) -> np.ndarray:

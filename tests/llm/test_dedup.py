@@ -254,6 +254,24 @@ def test_no_link_between_unlike_centres_is_lost(spark, monkeypatch, part):
     assert found_classes(found) == want and len({k[4] for k in want}) > 1
 
 
+def test_small_batches_and_groups_make_no_more_rows(spark, monkeypatch):
+    rows = [(i, f"{words(60, 5000)}\n{words(40, 5000)}" if i % 4 else "one line that very many of the texts hold") for i in range(600)]
+    df, real, seen = spark.createDataFrame(rows, "doc_id long, text string").repartition(3), type(spark.range(1)).repartition, []
+    monkeypatch.setattr(type(df), "repartition", lambda self, *how: (seen.append(self), real(self, *how))[1])
+    before = spark.conf.get(corpus_pipeline.ROWS)
+    try:
+        spark.conf.set(corpus_pipeline.ROWS, 10)
+        paragraphs.candidate_links(df, "text", 5, 5)
+        assert 0 < seen[0].count() <= 3 * (4 * 4 + 1)  # a row for each task of the next step, and one of links, from each partition
+        spark.conf.unset(corpus_pipeline.ROWS)
+        links = [{tuple(r) for r in paragraphs.candidate_links(df, "text", 5, 5).collect()}]
+        monkeypatch.setattr(paragraphs, "HELD", 100)
+        links.append({tuple(r) for r in paragraphs.candidate_links(df, "text", 5, 5).collect()})
+        assert links[0] and links[0] == links[1]
+    finally:
+        spark.conf.set(corpus_pipeline.ROWS, before)
+
+
 def test_paragraphs_leave_one(spark):
     p = words(60, 3000)
     rows = [(1, f"alpha\n{p}", 0), (2, p, 0), (3, f"{p}\nbeta", 0), (4, "", 0), (5, None, 0), (6, words(50, 3000), 0)]
