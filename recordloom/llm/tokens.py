@@ -64,19 +64,22 @@ class Encoder:
         if not self.by_part or any(t in text for t in self.added):
             return self._whole(text)
         first, *rest = text.replace("\n", " \n").split(" ")  # a part is a word after a space, or a line break and a word
-        if new := set(rest).difference(self.parts):
-            if "" in new or "\n" in new or _OTHER.search("".join(new)):  # runs of white space, or other kinds of it
-                return self._whole(text)
-            self._learn(new, rest)
         if _OTHER.search(first.lstrip("\n")):
             return self._whole(text)
-        return self._first(first) + b"".join(map(self.parts.__getitem__, rest))
-
-    def _learn(self, new: set[str], rest: list[str]) -> None:
+        ids = list(map(self.parts.get, rest))  # each part is looked up once
+        if lacking := [i for i, x in enumerate(ids) if x is None]:
+            new = {rest[i] for i in lacking}
+            if "" in new or "\n" in new or _OTHER.search("".join(new)):  # runs of white space, or other kinds of it
+                return self._whole(text)
+            self._learn(new)
+            for i in lacking:
+                ids[i] = self.parts[rest[i]]
+        return self._first(first) + b"".join(ids)
+
+    def _learn(self, new: set[str]) -> None:
+        if len(self.parts) > self.cache_limit:
+            self.older, self.parts = self.parts, {}
         parts, older, marks = self.parts, self.older, self.marks
-        if len(parts) > self.cache_limit:
-            self.older, self.parts = parts, {}
-            older, parts, new = self.older, self.parts, set(rest)
         fresh: dict[str, list[tuple[str, bytes]]] = {}
         for w in new:
             if w in older:
@@ -98,22 +101,21 @@ class Encoder:
                 fresh[word] = [(w, mark)]
         if len(marks) > 50_000:
             marks.clear()
+        if fresh:
+            self._spread(fresh)
+
+    def _spread(self, fresh: dict[str, list[tuple[str, bytes]]]) -> None:
+        """Encode words, joined by line breaks, at once: those after a space, then those after a line break."""
         after_space = [w for w in fresh if w[0] != "\n"]
         after_break = [w for w in fresh if w[0] == "\n"]
-        self._spread(" " + "\n ".join(after_space), after_space, b"", fresh)
-        self._spread("".join(after_break)[1:], after_break, self.newline, fresh)
-
-    def _spread(self, text: str, words: list[str], before: bytes, fresh: dict) -> None:
-        """Encode words, joined by line breaks, at once."""
-        if not words:
-            return
+        words, text = after_space + after_break, "\n".join([" " + w for w in after_space] + [w[1:] for w in after_break])
         raw = self._ids(text)
         ends = np.append(np.flatnonzero(raw == np.frombuffer(self.newline, self.dtype)[0]), len(raw)).tolist()
         if len(ends) != len(words):
             raise AssertionError("a word held a line break")
         data, size, start, parts = raw.tobytes(), self.dtype.itemsize, 0, self.parts
         for w, e in zip(words, ends):
-            ids = before + data[start * size : e * size]
+            ids = data[start * size : e * size] if w[0] != "\n" else self.newline + data[start * size : e * size]
             for name, mark in fresh[w]:
                 parts[name] = ids + mark
             start = e + 1

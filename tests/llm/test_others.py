@@ -262,3 +262,38 @@ def test_first_words_are_encoded_once():
         for t in texts:
             assert np.frombuffer(e.encode(t), e.dtype).tolist() == e.library.encode(t, add_special_tokens=False).ids
     assert asked.count("The") == 1
+
+
+def test_parts_are_looked_up_and_asked_for_once():
+    from recordloom.llm.queries import vocabulary
+    from recordloom.llm.tokens import Encoder
+
+    class Counted(dict):
+        n = 0
+
+        def get(self, *key):
+            Counted.n += 1
+            return super().get(*key)
+
+        def __getitem__(self, key):
+            Counted.n += 1
+            return super().__getitem__(key)
+
+        def __contains__(self, key):
+            Counted.n += 1
+            return super().__contains__(key)
+
+    e, asked = Encoder(vocabulary()), []
+    ask, e.fast = e.fast, lambda texts, **how: (asked.append(texts), ask(texts, **how))[1]
+    text = "one two, three\nfour five\nsix: ünder"
+    whole = np.array(e.library.encode(text, add_special_tokens=False).ids, e.dtype).tobytes()
+    e.encode("one two,")
+    asked.clear()
+    assert e.encode(text) == whole and len(asked) <= 2  # what is new, after spaces and after line breaks, and a mark
+    e.parts = Counted(e.parts)
+    asked.clear()
+    assert e.encode(text) == whole and not asked and Counted.n == 6  # a part each
+    e.cache_limit, e.parts = 0, dict(e.parts)
+    for more in (" seven two,", "\neight four", " nine"):  # what is remembered moves on within a text
+        t = text + more
+        assert e.encode(t) == np.array(e.library.encode(t, add_special_tokens=False).ids, e.dtype).tobytes()
