@@ -2,10 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-from pyspark.sql import DataFrame, Row, SparkSession, functions as F
-from pyspark.sql.streaming import StatefulProcessor
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def file_stream(spark: SparkSession, path: str, schema, files_per_batch: int = 100, kind: str = "parquet") -> DataFrame:
@@ -26,42 +23,29 @@ def drain(stream: DataFrame, target: str, checkpoint: str, mode: str = "append")
     query.awaitTermination()
 
 
-class _FirstSeen(StatefulProcessor):
-    """Lets the first row of a key through, once."""
-
-    def __init__(self, order: str):
-        self.order = order
-
-    def init(self, handle) -> None:
-        self.seen = handle.getValueState("seen", "known boolean")
-
-    def handleInputRows(self, key, rows, timer) -> Iterator[Row]:
-        first = min(rows, key=lambda r: (r[self.order] is None, r[self.order]))
-        if not self.seen.exists():
-            self.seen.update((True,))
-            yield first
-
-    def handleInitialState(self, key, known, timer) -> None:
-        self.seen.update((True,))
-
-    def close(self) -> None:
-        pass
-
-
 def state_on_disk(spark: SparkSession) -> None:
-    """Keyed state in RocksDB, of which each batch saves what it changed: neither memory nor a batch's cost grows with the keys."""
+    """Keyed state in RocksDB, of which each batch saves what it changed: neither memory nor a batch's cost grows with the keys.
+    Space on disk is not taken ahead, which would be 4 MB for each of the shuffle partitions, however few their keys."""
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
 
 
 def new_keys(stream: DataFrame, keys: list[str], order: str, known: DataFrame | None = None) -> DataFrame:
     """The first row of each key that neither an earlier batch nor ``known`` held; within a batch the smallest by ``order``, null last.
+    To be written in update mode.
 
-    ``known`` (rows with the key columns, such as a target written before) is read once, by the first run of a checkpoint.  A null
-    key is a key like others.  The state holds every key, on disk; ``seen_once`` with an event time forgets keys instead."""
+    ``known`` is a stream with the key columns (such as of a target written before) that is there whole in the first batch.  A null key
+    is a key like others.  The state holds every key and its first row, on disk; a key is new in the batch whose time is its only one.
+    ``seen_once`` with an event time forgets keys instead."""
     state_on_disk(stream.sparkSession)
-    seed = known.select(*keys).distinct().groupBy(*keys) if known is not None else None
-    return stream.groupBy(*keys).transformWithState(_FirstSeen(order), stream.schema, "Append", "None", seed)
+    rows = stream.select(*keys, F.lit(False).alias("_rl_known"), F.struct(*stream.columns).alias("_rl_row"))
+    if known is not None:
+        rows = rows.unionByName(known.select(*keys, F.lit(True).alias("_rl_known")), allowMissingColumns=True)
+    rows = rows.withColumn("_rl_at", F.current_timestamp())  # the time of the batch, also when it is repeated
+    rank = F.struct("_rl_at", ~F.col("_rl_known"), F.col(f"_rl_row.{order}").isNull(), F.col(f"_rl_row.{order}"))
+    seen = rows.groupBy(*keys).agg(F.min_by("_rl_row", rank).alias("_rl_row"), F.bool_or("_rl_known").alias("_rl_known"), F.min("_rl_at").alias("_rl_since"), F.max("_rl_at").alias("_rl_last"))
+    return seen.where(~F.col("_rl_known") & (F.col("_rl_since") == F.col("_rl_last"))).select("_rl_row.*")
 
 
 def read_appended(spark: SparkSession, target: str) -> DataFrame:
@@ -70,21 +54,29 @@ def read_appended(spark: SparkSession, target: str) -> DataFrame:
 
 
 def append_new(stream: DataFrame, keys: list[str], order: str, target: str, checkpoint: str) -> None:
-    """Append to a Parquet folder the rows whose key it lacks.  The first run learns the keys that are there; later ones look up
-    only those of their own rows.  Each batch goes to a folder of its own, which a repeated batch writes anew."""
+    """Append to a Parquet folder the rows whose key it lacks.  The first run learns the keys that are there, from a copy of them
+    beside the checkpoint, so that they count also if it is repeated; later ones look up only those of their own rows.  Each batch
+    goes to a folder of its own, which a repeated batch writes anew."""
     spark = stream.sparkSession
-    known = read_appended(spark, target) if _there(spark, target) and not _there(spark, checkpoint) else spark.createDataFrame([], stream.schema)
+    place = f"{checkpoint}/{KNOWN}"
+    if not _there(spark, f"{place}/_SUCCESS"):
+        there = read_appended(spark, target) if _there(spark, target) else spark.createDataFrame([], stream.schema)
+        there.select(*keys).write.mode("overwrite").parquet(place)
+    known = spark.readStream.schema(stream.select(*keys).schema).parquet(place)
 
     def put(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{target}/{RUN}{number}")
 
     fresh = new_keys(stream, keys, order, known)
-    fresh.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    fresh.writeStream.foreachBatch(put).outputMode("update").option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
 #: Folders of batches start with this; it is no partition column.
 RUN = "appended-"
 
+#: Folder of a checkpoint for the keys that its target held before the first run.
+KNOWN = "known"
+
 
 def _there(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -4,6 +4,7 @@ import datetime
 import glob
 import json
 import os
+import random
 import zipfile
 
 import pytest
@@ -193,6 +194,41 @@ def test_seen_keys(spark, tmp_path):
     assert read() == sorted([("old", 1), (None, 2), ("a", 7), ("b", 3), ("c", 2)], key=str)
 
 
+def test_seen_keys_of_many_batches(spark, tmp_path):
+    """Against a plain loop: a run of several batches, keys of two columns with nulls, equal and missing orders, an empty batch."""
+    draw, schema = random.Random(7), "a string, b long, n double, note string"
+    batches = [[(draw.choice((None, "x", "y")), draw.choice((None, *range(8))), draw.choice((None, 0.5, 1.0, 2.0)), "held" if not k else f"{k}") for _ in range(25)] if k != 2 else [] for k in range(5)]
+    base, held = f"file://{tmp_path}", {r[:2]: r for r in batches[0]}
+    spark.createDataFrame([*held.values()], schema).write.parquet(f"{base}/target/part=1")
+    for k, rows in enumerate(batches[1:], 1):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{base}/batch{k}")
+        for at in glob.glob(f"{tmp_path}/batch{k}/*.parquet"):
+            os.makedirs(f"{tmp_path}/in", exist_ok=True)
+            os.rename(at, f"{tmp_path}/in/{k}.parquet")
+            os.utime(f"{tmp_path}/in/{k}.parquet", (k * 1000, k * 1000))
+        found = {}
+        for r in sorted(rows, key=lambda r: (r[2] is None, r[2] or 0)):
+            found.setdefault(r[:2], r)
+        held = {**found, **held}
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    for _ in range(2):
+        incremental.append_new(stream, ["a", "b"], "n", f"{base}/target", f"{base}/cp")
+    got = [r[:4] for r in map(tuple, incremental.read_appended(spark, f"{base}/target").select("a", "b", "n", "note").collect())]
+    assert sorted(got, key=str) == sorted(held.values(), key=str)
+
+
+def test_known_keys_outlast_a_failed_run(spark, tmp_path):
+    """The keys that the target held are not taken for new ones when the first run is repeated after a failure."""
+    ship(spark)
+    base = f"file://{tmp_path}"
+    spark.createDataFrame([("old", 1)], "k string, n long").write.parquet(f"{base}/target")
+    stream = feed(spark, f"{base}/in", [("old", 5), ("a", 9)])
+    with pytest.raises(Exception, match="not today"):
+        incremental.append_new(stream.withColumn("n", F.when(F.col("k") == "a", F.raise_error(F.lit("not today")).cast("long")).otherwise(F.col("n"))), ["k"], "n", f"{base}/target", f"{base}/cp")
+    incremental.append_new(stream, ["k"], "n", f"{base}/target", f"{base}/cp")
+    assert sorted(map(tuple, incremental.read_appended(spark, f"{base}/target").collect())) == [("a", 9), ("old", 1)]
+
+
 def test_seen_keys_are_forgotten(spark, tmp_path):
     base = f"file://{tmp_path}"
     for day, keys in ((1, "aab"), (2, "ac"), (9, "d"), (10, "a")):  # the watermark passes with the batch after
