@@ -14,6 +14,7 @@ members, and only a spanning forest leaves the cell.  Copies share a fingerprint
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -33,6 +34,8 @@ CELL_WORDS = 3_000_000
 SLICE_WORDS = 150_000
 #: 64-bit words beside the band that a candidate carries if it is verified by its shingles later.
 BESIDE = 2
+#: Bytes of a fingerprint's copies that are shuffled at a time.
+AT_ONCE = 2_500
 
 _LANES = sum(((np.arange(256, dtype=np.uint64) >> np.uint64(b)) & np.uint64(1)) << np.uint64(8 * b) for b in range(8))
 
@@ -250,7 +253,10 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
     ``distinct`` has one row per fingerprint: node (long) and fp.  The fingerprint is cut into bands of ``width`` bits,
     each hashed by balls of radius 3.  One band of all bits finds every pair within 3 bits; b bands find every pair
     within 4b-1 bits, and most beyond.  With ``beside`` only so many words next to the band's are sent along, and the radius
-    holds for these.  Edges lead to the smallest node of what is connected in a cell."""
+    holds for these.  Edges lead to the smallest node of what is connected in a cell.
+
+    More fingerprints ask for more cells, and each is sent to more of them; so the bands are taken in turns, and what is shuffled
+    at a time stays within AT_ONCE bytes a fingerprint, or one band."""
     spark = distinct.sparkSession
     n = max(1, distinct.count())
     bands = words * 64 // width
@@ -258,32 +264,35 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
     prefix = int(np.clip(np.ceil(np.log2(max(1.0, n * per_node / CELL_WORDS))), 1, 16))
     record = np.dtype([("node", "<i8"), ("key", f"<u{width // 8}"), ("fp", "<u8", (beside,))] if beside else [("node", "<i8"), ("fp", "<u8", (words,))])
 
-    def bands_of(fp: np.ndarray) -> Iterator[np.ndarray]:
+    def band(fp: np.ndarray, b: int) -> np.ndarray:
         per_word = 64 // width
-        for b in range(bands):
-            x = fp[:, b // per_word]
-            yield x if per_word == 1 else (x >> np.uint64(width * (b % per_word))) & np.uint64((1 << width) - 1)
-
-    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            if not b.num_rows:
-                continue
-            rows = np.empty(b.num_rows, record)
-            rows["node"] = b.column(0).to_numpy()
-            fp = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, words)
-            if not beside:
-                rows["fp"] = fp
-            for k, keys in enumerate(bands_of(fp)):
-                if beside:
-                    rows["key"] = keys
-                    rows["fp"] = fp[:, (k * width // 64 + 1 + np.arange(beside)) % words]
-                index, cell = destinations(keys, width, prefix)
-                order = np.argsort(cell, kind="stable")
-                index, cell = index[order], cell[order]
-                cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
-                bounds = [*zip(cut.tolist(), [*cut[1:].tolist(), len(cell)])]
-                cells, blobs = [(k << prefix) | int(cell[s]) for s, _ in bounds], [rows[index[s:e]].tobytes() for s, e in bounds]
-                yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(blobs, pa.binary())], ["cell", "rows"])
+        x = fp[:, b // per_word]
+        return x if per_word == 1 else (x >> np.uint64(width * (b % per_word))) & np.uint64((1 << width) - 1)
+
+    def routed(turn: range):
+        def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for b in batches:
+                if not b.num_rows:
+                    continue
+                rows = np.empty(b.num_rows, record)
+                rows["node"] = b.column(0).to_numpy()
+                fp = np.frombuffer(b"".join(b.column(1).to_pylist()), "<u8").reshape(-1, words)
+                if not beside:
+                    rows["fp"] = fp
+                for k in turn:
+                    keys = band(fp, k)
+                    if beside:
+                        rows["key"] = keys
+                        rows["fp"] = fp[:, (k * width // 64 + 1 + np.arange(beside)) % words]
+                    index, cell = destinations(keys, width, prefix)
+                    order = np.argsort(cell, kind="stable")
+                    index, cell = index[order], cell[order]
+                    cut = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]])
+                    bounds = [*zip(cut.tolist(), [*cut[1:].tolist(), len(cell)])]
+                    cells, blobs = [(k << prefix) | int(cell[s]) for s, _ in bounds], [rows[index[s:e]].tobytes() for s, e in bounds]
+                    yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int64()), pa.array(blobs, pa.binary())], ["cell", "rows"])
+
+        return route
 
     def solve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, list[bytes]] = {}
@@ -297,17 +306,30 @@ def linked_fingerprints(distinct: DataFrame, scratch: Scratch, words: int, width
                 rows = rows[np.argsort(rows["node"])]
                 keys = rows["key"].astype(np.uint64)
             else:
-                keys = [*bands_of(np.ascontiguousarray(rows["fp"]))][c >> prefix]
+                keys = band(np.ascontiguousarray(rows["fp"]), c >> prefix)
             group, member = meetings(keys, width, prefix, c & ((1 << prefix) - 1))
             a, b = links(np.ascontiguousarray(rows["fp"]), group, member, radius)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(rows["node"][a]), pa.array(rows["node"][b])], ["u", "v"])
         give_back()
 
+    def found(turn: range) -> DataFrame:
+        dealt = distinct.select("node", "fp").mapInArrow(routed(turn), "cell long, rows binary")
+        return dealt.repartition(min(len(turn) << prefix, 4 * partitions(spark)), "cell").mapInArrow(solve, "u long, v long").distinct()
+
     ship(spark)
-    cells = min(bands << prefix, 4 * partitions(spark))
-    routed = distinct.select("node", "fp").mapInArrow(route, "cell long, rows binary").repartition(cells, "cell")
-    return scratch.save(routed.mapInArrow(solve, "u long, v long").distinct(), "links")
+    copies = 1 + prefix + prefix * (prefix - 1) / 4  # cells that a key is sent to, on average
+    step = max(1, int(AT_ONCE / (copies * record.itemsize)))
+    turns = [range(k, min(k + step, bands)) for k in range(0, bands, step)]
+    if len(turns) == 1:
+        return scratch.save(found(turns[0]), "links")
+    parts = []
+    for i, turn in enumerate(turns):
+        parts.append(scratch.save(found(turn), f"links{i}"))
+        scratch.drop()  # the turn's shuffle files
+    whole = scratch.save(functools.reduce(DataFrame.unionByName, parts).distinct(), "links")
+    scratch.drop(*(f"links{i}" for i in range(len(turns))))
+    return whole
 
 
 def shingle_sets(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:

@@ -272,6 +272,21 @@ def test_small_batches_and_groups_make_no_more_rows(spark, monkeypatch):
         spark.conf.set(corpus_pipeline.ROWS, before)
 
 
+def test_bands_are_dealt_in_turns(spark, monkeypatch):
+    own, n = np.random.default_rng(8), 900  # a generator of its own: the other tests' words stay as they are
+    fp = own.integers(0, 1 << 64, (n, 4), dtype=np.uint64)
+    fp[600:] = fp[:300] ^ (np.uint64(1) << own.integers(0, 64, (300, 4), dtype=np.uint64))
+    df = spark.createDataFrame([(i, x.tobytes()) for i, x in enumerate(fp)], "node long, fp binary").repartition(3)
+    whole = {tuple(r) for r in simhash.linked_fingerprints(df, Scratch(spark, "t"), 4, 32, 40, 2).collect()}
+    assert {(i + 600, i) for i in range(300)} <= whole
+    real, seen = type(df).repartition, []
+    monkeypatch.setattr(type(df), "repartition", lambda self, *how: (seen.append(self), real(self, *how))[1])
+    monkeypatch.setattr(simhash, "CELL_WORDS", 1000)  # as many cells as for very many fingerprints
+    assert {tuple(r) for r in simhash.linked_fingerprints(df, Scratch(spark, "t"), 4, 32, 40, 2).collect()} == whole
+    at_once = [x.agg(F.sum(F.length("rows"))).first()[0] for x in seen]
+    assert sum(at_once) > 2500 * n and max(at_once) <= 1.1 * 2500 * n
+
+
 def test_paragraphs_leave_one(spark):
     p = words(60, 3000)
     rows = [(1, f"alpha\n{p}", 0), (2, p, 0), (3, f"{p}\nbeta", 0), (4, "", 0), (5, None, 0), (6, words(50, 3000), 0)]
