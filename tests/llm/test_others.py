@@ -117,6 +117,25 @@ def test_top_k_is_brute_force(spark):
     assert [r["v"] for r in bad.select(topk.quantised("e").alias("v")).collect()] == [None, None, None, [63, -1]]
 
 
+def test_top_k_sends_a_vector_to_few_cells(spark, monkeypatch):
+    own = np.random.default_rng(9)  # a generator of its own: the other tests' numbers stay as they are
+    x = own.integers(-40, 40, (600, 8))
+    x[100:160] = x[0]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, vector array<long>").repartition(3)
+    real, seen = type(df).repartition, []
+    monkeypatch.setattr(type(df), "repartition", lambda self, *how: (seen.append(self), real(self, *how))[1])
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 16)
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", 32)
+    monkeypatch.setattr(topk, "LISTED", 50, raising=False)  # so a cell has several sets of lists
+    got = topk.top_k(df, df, 5).toPandas().sort_values(["query_id", "rank"])
+    score = x @ x.T
+    for q, g in got.groupby("query_id"):
+        want = [i for i in np.lexsort((np.arange(600), -score[q])) if i != q][:5]
+        assert g.vec_id.tolist() == want and g.score.tolist() == score[q][want].tolist()
+    assert len(got) == 3000
+    assert seen[0].agg(F.sum(F.length("rows"))).first()[0] <= 16 * x.size  # a byte a component is enough for these
+
+
 def test_threshold_stops_early():
     x = np.abs(rng.integers(0, 5, (4000, 8)))
     x[7] = 60
